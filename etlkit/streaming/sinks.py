@@ -86,8 +86,9 @@ def start_batch_sink(
 def run_to_table(sdf: DataFrame, label: str, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
     """Process all available input and return the written result as a batch frame.
 
-    Append mode uses the file sink. In update mode each batch replaces its own folder and the
-    latest version of every key is read back. Nothing passes through the driver.
+    Append mode uses the file sink. Otherwise each batch replaces its own folder: in update mode
+    the latest version of every key is read back, in complete mode the last folder. Nothing passes
+    through the driver.
     """
     spark = sdf.sparkSession
     base = shared_dir(spark, f"stream-{label}")
@@ -96,13 +97,17 @@ def run_to_table(sdf: DataFrame, label: str, mode: str = "append", keys: Sequenc
     if mode == "append":
         start_file_sink(sdf, out, ckpt, trigger=now).awaitTermination()
         return spark.read.schema(sdf.schema).parquet(out)
-    if mode != "update" or not keys:
-        raise ValueError("mode must be 'append', or 'update' with keys")
+    if _mode(mode) == "update" and not keys:
+        raise ValueError("update mode needs keys")
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    start_batch_sink(sdf, replace, ckpt, "update", now).awaitTermination()
+    query = start_batch_sink(sdf, replace, ckpt, mode, now)
+    query.awaitTermination()
+    if mode == "complete":
+        last = query.lastProgress["batchId"]
+        return spark.read.schema(sdf.schema).parquet(f"{out}/batch={last}")
     rest = [c for c in sdf.columns if c not in keys]
     versions = spark.read.parquet(out)
     latest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__row"))
