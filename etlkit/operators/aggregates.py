@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etlkit.functions.values import hash_below, salt
-from etlkit.operators.ordered import Ordering, cell_prefixes
+from etlkit.operators.ordered import Ordering
 from etlkit.runtime import join_groups, names, require
 
 Aggs = Mapping[str, Column]
@@ -69,14 +69,13 @@ def collect(
     counts = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(
         (F.lit(1).cast("long") if distinct else F.count(F.lit(1))).alias("__n")
     )
-    ordering = Ordering(by, [column], ordering_levels or [F.substring(F.col(column).cast("string"), 1, 1)])
-    base = ordering.with_levels(counts)
-    cells = base.groupBy(*ordering.cell).agg(F.sum("__n").alias("__before"))
-    before = cell_prefixes(cells, by, ordering.level_names, {"__before": F.sum}, ordering.sort)
+    levels = ordering_levels or [F.substring(F.col(column).cast("string"), 1, 1)]
+    ordering = Ordering(by, [column], levels)
+    base = ordering.with_cell(counts)
+    before = ordering.prefixes(ordering.cells(base, {"__before": F.sum("__n")}), {"__before": F.sum})
     in_cell = ordering.in_cell().rowsBetween(Window.unboundedPreceding, -1)
-    rows = join_groups(base, before, ordering.cell).withColumn(
-        "__start",
-        F.coalesce(F.col("__before"), F.lit(0)) + F.coalesce(F.sum("__n").over(in_cell), F.lit(0)),
+    rows = ordering.attach(base.withColumn("__inside", F.sum("__n").over(in_cell)), before).withColumn(
+        "__start", F.coalesce(F.col("__before"), F.lit(0)) + F.coalesce(F.col("__inside"), F.lit(0))
     )
     # A value repeated n times covers positions start .. start + n - 1, possibly over many pages.
     first, last = F.expr(f"__start div {page}"), F.expr(f"(__start + __n - 1) div {page}")
@@ -131,14 +130,12 @@ def exact_percentiles(
     require(df, *by, column)
     present = df.filter(F.col(column).isNotNull())
     ordering = Ordering(by, [column], levels)
-    base = ordering.with_levels(present)
-    cells = base.groupBy(*ordering.cell).agg(F.count(F.lit(1)).alias("__n"))
-    before = cell_prefixes(
-        cells.withColumnRenamed("__n", "__before"), by, ordering.level_names,
-        {"__before": F.sum}, ordering.sort,
-    )
+    base = ordering.with_cell(present)
+    cells = ordering.cells(base, {"__n": F.count(F.lit(1))})
+    before = ordering.prefixes(cells.withColumnRenamed("__n", "__before"), {"__before": F.sum})
     totals = cells.groupBy(*by).agg(F.sum("__n").alias("__all"))
-    placed = join_groups(join_groups(cells, before, ordering.cell), totals, by).withColumn(
+    cell = [*by, *ordering.level_names]
+    placed = join_groups(join_groups(cells, before, cell), totals, by).withColumn(
         "__before", F.coalesce("__before", F.lit(0))
     )
     exact = placed.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in ps]))).withColumn(
@@ -149,8 +146,8 @@ def exact_percentiles(
     ).filter(
         (F.col("__index") >= F.col("__before")) & (F.col("__index") < F.col("__before") + F.col("__n"))
     )
-    needed = wanted.select(*ordering.cell, "__before").distinct()
-    ranked = join_groups(base, needed, ordering.cell, "inner").withColumn(
+    needed = wanted.select(*cell, "__before").distinct()
+    ranked = ordering.attach(base, needed, "inner").withColumn(
         "__index", F.col("__before") + F.row_number().over(ordering.in_cell()) - 1
     ).select(*by, "__index", F.col(column).cast("double").alias("__value"))
     found = join_groups(wanted.select(*by, "__index", "p", "__rank"), ranked, [*by, "__index"], "inner")

@@ -12,6 +12,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def file(self, name: str) -> str:
         return f"{self.path}/{name}.parquet"
@@ -19,7 +20,9 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return self.spark.read.parquet(self.file(name))
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(self.file(name))
+        return self._frames[name]
 
 
 Query = Callable[[SparkSession, str], DataFrame]

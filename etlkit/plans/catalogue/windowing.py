@@ -21,10 +21,10 @@ def _lines(t):
 
 
 def _by_ship_date():
-    """Cells of one flag: month, day, then a range of order keys."""
+    """Cells of one flag: a day, then a range of order keys."""
     return W.Ordering(
         ["l_returnflag"], ["l_shipdate", *LINE_ID],
-        [F.trunc(F.to_date("l_shipdate"), "month"), F.col("l_shipdate"), F.expr("l_orderkey div 1000000")],
+        [F.col("l_shipdate"), F.expr("l_orderkey div 1000000")],
     )
 
 
@@ -48,10 +48,7 @@ def group_stats_on_rows(t):
     FROM lineitem WINDOW d AS (PARTITION BY l_returnflag ORDER BY l_shipdate)
 """.replace(f"(d, {_ID})", f"({_OVER})"))
 def rankings_by_date(t):
-    out = W.rankings(
-        _lines(t), "l_returnflag", "l_shipdate", LINE_ID, coarse=[F.trunc(F.to_date("l_shipdate"), "month")],
-        fine=[F.expr("l_orderkey div 1000000")],
-    )
+    out = W.rankings(_lines(t), "l_returnflag", "l_shipdate", LINE_ID, fine=[F.expr("l_orderkey div 1000000")])
     return out.select(*LINE_ID, "row_number", "rank", "dense_rank", F.round("percent_rank", 8).alias("percent_rank"),
                       F.round("cume_dist", 8).alias("cume_dist"), "ntile")
 
