@@ -30,7 +30,7 @@ _SESSIONS_SQL = """
     SELECT min(ts) AS window_start, max(ts) + INTERVAL 30 MINUTE AS window_end, user_id, round(sum(value), 4) AS total_amount,
            count(*) AS transaction_count
     FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (
-        SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END
+        SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END
                AS starts FROM events))
     GROUP BY user_id, session
 """

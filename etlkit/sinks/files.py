@@ -129,10 +129,14 @@ def write_bucketed(
     sort_by: str | Sequence[str] | None = None, path: str | None = None, fmt: str = "parquet",
     mode: str = "errorifexists",
 ) -> None:
-    """Bucketed, optionally sorted table. Shuffled on the bucket keys first: one file per bucket."""
+    """Bucketed, optionally sorted table.
+
+    Rows are shuffled on the bucket keys first, so a bucket is written by one task, or by a few
+    when it holds so many rows that AQE splits it.
+    """
     columns = names(columns)
     require(df, *columns)
-    writer = df.repartition(n, *columns).write.format(fmt).mode(mode).bucketBy(n, *columns)
+    writer = df.hint("rebalance", n, *columns).write.format(fmt).mode(mode).bucketBy(n, *columns)
     if sort_by:
         writer = writer.sortBy(*names(sort_by))
     (writer.option("path", path) if path else writer).saveAsTable(table)
@@ -146,7 +150,7 @@ def write_partitioned_bucketed(
     by, columns = names(by), names(columns)
     require(df, *by, *columns)
     writer = (
-        df.repartition(n, *by, *columns).write.format(fmt).mode(mode)
+        df.hint("rebalance", n, *by, *columns).write.format(fmt).mode(mode)
         .partitionBy(*by).bucketBy(n, *columns)
     )
     (writer.option("path", path) if path else writer).saveAsTable(table)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etlkit.runtime import BROADCAST_LIMIT, names, require
@@ -53,15 +53,46 @@ def tumbling_stats(
 
 
 def session_stats(
-    sdf: DataFrame, ts: str, key: str | Sequence[str], amount: str, gap: str = "5 minutes"
+    sdf: DataFrame, ts: str, key: str | Sequence[str], amount: str, gap: str = "5 minutes",
+    stretch: str = "1 hour",
 ) -> DataFrame:
-    """Sessions per key that end after ``gap`` without an event."""
-    require(sdf, ts, *names(key), amount)
-    at = F.session_window(F.col(ts).cast("timestamp") if not sdf.isStreaming else ts, gap)
-    out = sdf.groupBy(at.alias("window"), *names(key)).agg(
-        F.sum(amount).alias("total_amount"), F.count(F.lit(1)).alias("transaction_count")
+    """Sessions per key that end after ``gap`` without an event.
+
+    Streams use Spark's session window. A batch is cut into stretches of time first, so that a
+    busy key is worked on by many tasks: sessions inside each stretch, then sessions that touch
+    over a border are put together. A key has at most one piece per ``gap`` and stretch.
+    """
+    key = names(key)
+    require(sdf, ts, *key, amount)
+    totals = [F.sum("total_amount").alias("total_amount"), F.sum("transaction_count").alias("transaction_count")]
+    if sdf.isStreaming:
+        out = sdf.groupBy(F.session_window(ts, gap).alias("window"), *key).agg(
+            F.sum(amount).alias("total_amount"), F.count(F.lit(1)).alias("transaction_count")
+        )
+        return _ends(out)
+    length = F.expr(f"INTERVAL {gap}")
+    rows = sdf.filter(F.col(ts).isNotNull()).select(
+        *key, F.col(ts).cast("timestamp").alias("__at"), F.col(amount).alias("__amount")
+    ).withColumn("__stretch", F.window("__at", stretch)["start"])
+    pieces = _numbered_sessions(rows, [*key, "__stretch"], F.col("__at"), F.col("__at"), length).groupBy(
+        *key, "__stretch", "__session"
+    ).agg(
+        F.min("__at").alias("__first"), F.max("__at").alias("__last"),
+        F.sum("__amount").alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"),
+    ).drop("__stretch", "__session")
+    whole = _numbered_sessions(pieces, key, F.col("__first"), F.col("__last"), length).groupBy(*key, "__session").agg(
+        F.min("__first").alias("window_start"), (F.max("__last") + length).alias("window_end"), *totals
     )
-    return _ends(out)
+    return whole.select("window_start", "window_end", *key, "total_amount", "transaction_count")
+
+
+def _numbered_sessions(rows: DataFrame, keys: Sequence[str], first: Column, last: Column, gap: Column) -> DataFrame:
+    """Number rows per key so that rows which follow each other within ``gap`` share a number."""
+    order = Window.partitionBy(*keys).orderBy(first)
+    starts = F.when(first <= F.lag(last).over(order) + gap, 0).otherwise(1)
+    return rows.withColumn("__starts", starts).withColumn(
+        "__session", F.sum("__starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ).drop("__starts")
 
 
 def high_value_alerts(
