@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,8 +39,8 @@ def read_files(
         reader = reader.option("pathGlobFilter", glob)
     try:
         df = reader.load(path if isinstance(path, str) else list(path))
-    except AnalysisException as error:
-        if fmt in PACKAGED and "DATA_SOURCE" in (error.getCondition() or "") or "Failed to find" in str(error):
+    except (AnalysisException, Py4JJavaError) as error:
+        if fmt in PACKAGED and "Failed to find" in str(error):
             raise ValueError(f"reading {fmt} needs its package on the class path") from error
         raise
     if where is not None:
