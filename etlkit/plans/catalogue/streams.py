@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from etlkit.operators.joins import interval_join
 from etlkit.plans.catalogue.registry import query
 from etlkit.plans.catalogue.relational import _INTERVAL_SQL, _two_event_sides
-from etlkit.runtime import shared_dir
+from etlkit.runtime import plan_bytes, shared_dir
 from etlkit.streaming import events as E
 from etlkit.streaming.inputs import file_source, with_event_time
-from etlkit.streaming.sinks import run_to_table, start_file_sink
+from etlkit.streaming.sinks import run_to_table, sized_state_partitions, start_file_sink
 
 _SLIDES_SQL = """
     SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, event_type, round(sum(value), 4) AS total_amount,
@@ -58,6 +58,11 @@ def _stream(t, delay="10 minutes"):
     return with_event_time(sdf, "ts", delay)
 
 
+def _written(t, sdf, label, mode="append", keys=()):
+    """What the stream writes, with state partitions to suit the size of the table."""
+    return run_to_table(sdf, label, mode, keys, sized_state_partitions(t.spark, plan_bytes(t.events)))
+
+
 def _shape(df, digits):
     """Window bounds as plain timestamps, sums rounded."""
     bounds = {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")}
@@ -76,7 +81,7 @@ def sliding_window_stats(t):
 @query(_SLIDES_SQL.format(unique=""))
 def stream_sliding_window_stats(t):
     sdf = E.sliding_stats(_stream(t), "ts", "event_type", "value")
-    return _shape(run_to_table(sdf, "sliding", "update", [*_WINDOW, "event_type"]), _TOTALS)
+    return _shape(_written(t, sdf, "sliding", "update", [*_WINDOW, "event_type"]), _TOTALS)
 
 
 @query(_TUMBLE_SQL)
@@ -87,7 +92,7 @@ def tumbling_window_stats(t):
 @query(_TUMBLE_SQL)
 def stream_tumbling_window_stats(t):
     sdf = E.tumbling_stats(_stream(t), "ts", "event_type", "value")
-    return _shape(run_to_table(sdf, "tumbling", "update", [*_WINDOW, "event_type"]), _TOTALS)
+    return _shape(_written(t, sdf, "tumbling", "update", [*_WINDOW, "event_type"]), _TOTALS)
 
 
 @query(_SESSIONS_SQL)
@@ -98,7 +103,7 @@ def session_window_stats(t):
 @query(_SESSIONS_SQL)
 def stream_session_window_stats(t):
     sdf = E.session_stats(_stream(t), "ts", "user_id", "value", "30 minutes")
-    return _shape(run_to_table(sdf, "sessions", "complete"), {"total_amount": 4})
+    return _shape(_written(t, sdf, "sessions", "complete"), {"total_amount": 4})
 
 
 @query(_ALERTS_SQL)
@@ -110,7 +115,7 @@ def value_alerts(t):
 @query(_ALERTS_SQL)
 def stream_value_alerts(t):
     out = E.high_value_alerts(_stream(t), "value", 200)
-    return run_to_table(out.select("event_id", "user_id", "value", "alert_type", "risk_score"), "alerts")
+    return _written(t, out.select("event_id", "user_id", "value", "alert_type", "risk_score"), "alerts")
 
 
 _FRAUD = {"total_amount": 4, "fraud_score": 6}
@@ -124,7 +129,7 @@ def fraud_windows(t):
 @query(_FRAUD_SQL)
 def stream_fraud_windows(t):
     sdf = E.fraud_scores(_stream(t), "ts", "user_id", "value", "1 hour", 2, 300, 0.4)
-    return _shape(run_to_table(sdf, "fraud", "update", [*_WINDOW, "user_id"]), _FRAUD)
+    return _shape(_written(t, sdf, "fraud", "update", [*_WINDOW, "user_id"]), _FRAUD)
 
 
 @query("""
@@ -147,7 +152,7 @@ def late_and_on_time(t):
 @query(_LATE_SQL)
 def stream_late_and_on_time(t):
     sdf = E.split_late(_stream(t), "ts", "event_type", "value", length="1 hour", as_of=F.lit(_LATE_NOW))
-    out = run_to_table(sdf, "late", "update", [*_WINDOW, "event_type"])
+    out = _written(t, sdf, "late", "update", [*_WINDOW, "event_type"])
     return _shape(out, {"on_time_amount": 4, "late_amount": 4})
 
 
@@ -156,7 +161,7 @@ def stream_deduplicated(t):
     """Every third event arrives twice in the stream and leaves once."""
     twice = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     sdf = _stream(t).withColumn("copy", F.explode(twice)).drop("copy")
-    return run_to_table(E.dedup_stream(sdf, "event_id").select("event_id", "user_id", "value"), "dedup")
+    return _written(t, E.dedup_stream(sdf, "event_id").select("event_id", "user_id", "value"), "dedup")
 
 
 @query("""
@@ -167,7 +172,7 @@ def stream_enriched(t):
     kinds = t.events.groupBy("event_type").agg(
         F.count(F.lit(1)).alias("type_rows"), F.round(F.avg("value"), 4).alias("type_avg")
     )
-    return run_to_table(E.enrich(_stream(t).select("event_id", "event_type", "value"), kinds, "event_type"), "enriched")
+    return _written(t, E.enrich(_stream(t).select("event_id", "event_type", "value"), kinds, "event_type"), "enriched")
 
 
 def _stream_sides(t):
@@ -182,7 +187,7 @@ def _stream_sides(t):
 def stream_interval_join(t):
     left, right = _stream_sides(t)
     out = interval_join(left, right, "user_id", "ts", "other_ts", 120, 120)
-    return run_to_table(out.drop("ts", "other_ts"), "interval")
+    return _written(t, out.drop("ts", "other_ts"), "interval")
 
 
 @query()
@@ -190,7 +195,7 @@ def stream_interval_join_left(t):
     """Rows without a match appear once the watermark has passed, so the last ones stay open."""
     left, right = _stream_sides(t)
     out = interval_join(left, right, "user_id", "ts", "other_ts", 120, 120, "left")
-    return run_to_table(out.drop("ts", "other_ts"), "interval-left")
+    return _written(t, out.drop("ts", "other_ts"), "interval-left")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -83,7 +84,32 @@ def start_batch_sink(
     return with_trigger(writer.outputMode(_mode(mode)), trigger).start()
 
 
-def run_to_table(sdf: DataFrame, label: str, mode: str = "append", keys: Sequence[str] = ()) -> DataFrame:
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Start stateful queries with ``n`` state partitions, which a checkpoint then keeps for good.
+
+    Queries copy the session's settings when they start, so the setting is put back at once.
+    """
+    if n is None:
+        yield
+        return
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", n)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def sized_state_partitions(spark: SparkSession, input_bytes: int, mb: int = 32) -> int:
+    """One state partition per ``mb`` of input, at least one per core, never more than the session's."""
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(spark.sparkContext.defaultParallelism, -(-input_bytes // (mb * 1024 * 1024))))
+
+
+def run_to_table(
+    sdf: DataFrame, label: str, mode: str = "append", keys: Sequence[str] = (), partitions: int | None = None
+) -> DataFrame:
     """Process all available input and return the written result as a batch frame.
 
     Append mode uses the file sink. Otherwise each batch replaces its own folder: in update mode
@@ -95,7 +121,9 @@ def run_to_table(sdf: DataFrame, label: str, mode: str = "append", keys: Sequenc
     out, ckpt = f"{base}/rows", f"{base}/checkpoint"
     now = {"availableNow": True}
     if mode == "append":
-        start_file_sink(sdf, out, ckpt, trigger=now).awaitTermination()
+        with state_partitions(spark, partitions):
+            query = start_file_sink(sdf, out, ckpt, trigger=now)
+        query.awaitTermination()
         return spark.read.schema(sdf.schema).parquet(out)
     if _mode(mode) == "update" and not keys:
         raise ValueError("update mode needs keys")
@@ -103,7 +131,8 @@ def run_to_table(sdf: DataFrame, label: str, mode: str = "append", keys: Sequenc
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    query = start_batch_sink(sdf, replace, ckpt, mode, now)
+    with state_partitions(spark, partitions):
+        query = start_batch_sink(sdf, replace, ckpt, mode, now)
     query.awaitTermination()
     if mode == "complete":
         last = query.lastProgress["batchId"]

@@ -98,7 +98,9 @@ if __name__ == "__main__":
     path = sys.argv[1]
     wanted = sys.argv[2:] or list(QUERIES)
     wanted = [q for q in QUERIES if any(q == w or (w.endswith("*") and q.startswith(w[:-1])) for w in wanted)] if sys.argv[2:] else wanted
-    session, db, bad = make_session(), connect(path), 0
+    import os
+
+    session, db, bad = make_session(partitions=int(os.environ.get("PARTITIONS", "8"))), connect(path), 0
     for name in wanted:
         try:
             problems, rows, seconds = check(session, db, path, name)
