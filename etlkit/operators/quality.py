@@ -14,9 +14,9 @@ from etlkit.operators.windows import with_group_stats
 from etlkit.runtime import require
 
 __all__ = [
-    "CLEANING_PLANS", "CleaningPlan", "Cleaned", "clean", "dead_letter", "iqr_outliers",
-    "iqr_outliers_by_group", "mark_duplicates", "orphans", "profile", "repair_nulls",
-    "split_dead_letters", "try_convert", "validate",
+    "CLEANING_PLANS", "CleaningPlan", "Cleaned", "clean", "cleaning_stats", "dead_letter",
+    "iqr_outliers", "iqr_outliers_by_group", "kept_rows", "mark_duplicates", "orphans", "profile",
+    "repair_nulls", "split_dead_letters", "tag_rows", "try_convert", "validate",
 ]
 
 
@@ -157,43 +157,59 @@ class Cleaned:
     stats: DataFrame
 
 
-def clean(df: DataFrame, plan: CleaningPlan, as_of: Column) -> Cleaned:
-    """Apply a plan. ``stats`` has one row per reason with the number of rows removed.
+REASON, COPIES = "__reason", "__copies"
 
-    Every row is tagged once with the first rule it breaks, so rows and statistics share one
-    chain and the statistics cost a single aggregation.
-    """
+
+def _broken(plan: CleaningPlan, as_of: Column) -> list[tuple[str, Column]]:
+    """Removal rules of a plan in the order in which they apply."""
+    return [
+        *[(f"null_{c}", F.col(c).isNull()) for c in plan.drop_nulls],
+        *[(f"negative_{c}", ~F.coalesce(F.col(c) >= 0, F.lit(False))) for c in plan.non_negative],
+        *[(f"future_{c}", ~F.coalesce(F.col(c) <= as_of, F.lit(False))) for c in plan.not_after_as_of],
+    ]
+
+
+def tag_rows(df: DataFrame, plan: CleaningPlan, as_of: Column) -> DataFrame:
+    """Distinct rows with their number of copies and the first rule each one breaks."""
     require(df, *plan.drop_nulls, *plan.defaults, *plan.non_negative, *plan.not_after_as_of,
             *plan.standardise)
     if plan.remove_duplicates:
-        base = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__copies"))
+        base = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(COPIES))
     else:
-        base = df.withColumn("__copies", F.lit(1).cast("long"))
-    broken = [(f"null_{c}", F.col(c).isNull()) for c in plan.drop_nulls]
-    broken += [(f"negative_{c}", ~F.coalesce(F.col(c) >= 0, F.lit(False))) for c in plan.non_negative]
-    broken += [(f"future_{c}", ~F.coalesce(F.col(c) <= as_of, F.lit(False))) for c in plan.not_after_as_of]
-    reason = F.coalesce(*[F.when(condition, F.lit(name)) for name, condition in broken]) if broken \
-        else F.lit(None).cast("string")
-    tagged = base.withColumn("__reason", reason)
-
-    kept = tagged.filter(F.col("__reason").isNull()).drop("__reason", "__copies")
+        base = df.withColumn(COPIES, F.lit(1).cast("long"))
+    reasons = [F.when(condition, F.lit(name)) for name, condition in _broken(plan, as_of)]
+    return base.withColumn(REASON, F.coalesce(F.lit(None).cast("string"), *reasons))
+
+
+def kept_rows(tagged: DataFrame, plan: CleaningPlan) -> DataFrame:
+    """Rows that broke no rule, with defaults filled in and texts standardised."""
+    kept = tagged.filter(F.col(REASON).isNull()).drop(REASON, COPIES)
     if plan.defaults:
         kept = kept.fillna(dict(plan.defaults))
     for column, steps in plan.standardise.items():
         kept = kept.withColumn(column, reduce(lambda c, s: _STANDARD[s](c), steps, F.col(column)))
+    return kept
+
 
+def cleaning_stats(tagged: DataFrame, plan: CleaningPlan, as_of: Column) -> DataFrame:
+    """Rows before, rows removed for each reason and rows kept, from one aggregation."""
     counts = [
-        ("original", F.sum("__copies")),
-        ("duplicate", F.sum(F.col("__copies") - 1)),
-        *[(name, F.count_if(F.col("__reason") == name)) for name, _ in broken],
-        ("kept", F.count_if(F.col("__reason").isNull())),
+        ("original", F.sum(COPIES)),
+        ("duplicate", F.sum(F.col(COPIES) - 1)),
+        *[(name, F.count_if(F.col(REASON) == name)) for name, _ in _broken(plan, as_of)],
+        ("kept", F.count_if(F.col(REASON).isNull())),
     ]
-    stats = tagged.agg(F.array(*[
+    return tagged.agg(F.array(*[
         F.struct(F.lit(i).alias("step"), F.lit(name).alias("reason"),
                  F.coalesce(value, F.lit(0)).alias("rows"))
         for i, (name, value) in enumerate(counts)
     ]).alias("s")).select(F.explode("s").alias("s")).select("s.*")
-    return Cleaned(kept, stats)
+
+
+def clean(df: DataFrame, plan: CleaningPlan, as_of: Column) -> Cleaned:
+    """Apply a plan; ``stats`` has one row per reason with the number of rows removed."""
+    tagged = tag_rows(df, plan, as_of)
+    return Cleaned(kept_rows(tagged, plan), cleaning_stats(tagged, plan, as_of))
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:

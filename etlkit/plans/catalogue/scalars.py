@@ -7,15 +7,21 @@ from pyspark.sql import types as T
 
 from etlkit import functions as fn
 from etlkit.plans.catalogue.registry import query
+from etlkit.runtime import spread
 from etlkit.streaming.inputs import parse_envelope
 from etlkit.streaming.sinks import to_kafka_value
 
 _CLEAN_SQL = r"trim(regexp_replace(lower(regexp_replace(text, '[^a-zA-Z0-9\s]', '', 'g')), '\s+', ' ', 'g'))"
 
 
+def _documents(t):
+    """Whole texts; regular expressions over them are the work, so all cores should share it."""
+    return spread(t.documents.select("doc_id", "text"))
+
+
 @query(f"SELECT doc_id, {_CLEAN_SQL} AS cleaned FROM documents")
 def clean_texts(t):
-    return t.documents.select("doc_id", fn.clean_text(F.col("text")).alias("cleaned"))
+    return _documents(t).select("doc_id", fn.clean_text(F.col("text")).alias("cleaned"))
 
 
 @query(f"""
@@ -24,7 +30,7 @@ def clean_texts(t):
 """)
 def text_parts(t):
     text = F.col("text")
-    return t.documents.select(
+    return _documents(t).select(
         "doc_id", fn.first_token(text).alias("first_token"), fn.last_token(text).alias("last_token"),
         F.size(fn.name_parts(text)).alias("tokens"),
     )
@@ -53,10 +59,20 @@ def murmur_hash(t):
 def base64_and_md5(t):
     # Spark breaks long base64 into lines of 76 characters.
     encoded = F.replace(F.base64(F.col("text").cast("binary")), F.lit("\r\n"), F.lit(""))
-    return t.documents.select("doc_id", encoded.alias("text_base64"), F.md5("text").alias("text_md5"))
+    return _documents(t).select("doc_id", encoded.alias("text_base64"), F.md5("text").alias("text_md5"))
 
 
-@query()
+# Letters to digits, H and W (7) left out, runs of one digit joined, vowels (0) left out, three digits.
+_SOUNDEX_RUNS = "c1[1] || replace(c1[2:], '7', '')"
+for _digit in "0123456":
+    _SOUNDEX_RUNS = f"regexp_replace({_SOUNDEX_RUNS}, '{_digit}+', '{_digit}', 'g')"
+
+
+@query(f"""
+    SELECT p_partkey, upper(p_name)[1] || substr(replace(({_SOUNDEX_RUNS})[2:], '0', '') || '000', 1, 3) AS name_soundex
+    FROM (SELECT p_partkey, p_name,
+                 translate(upper(p_name), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ ', '012301270224550126230172020') AS c1 FROM part)
+""")
 def soundex_codes(t):
     return t.part.select("p_partkey", F.soundex("p_name").alias("name_soundex"))
 
@@ -112,7 +128,7 @@ def contact_details(t):
 """)
 def text_counts(t):
     text = F.col("text")
-    return t.documents.select(
+    return _documents(t).select(
         "doc_id", fn.word_count(text).alias("words"), fn.no_space_length(text).alias("characters")
     )
 
@@ -280,7 +296,7 @@ def array_functions(t):
     SELECT word, count(*) AS rows FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1
 """)
 def explode_words(t):
-    words = t.documents.select(F.split("text", " ").alias("words"))
+    words = _documents(t).select(F.split("text", " ").alias("words"))
     return fn.explode_rows(words, "words", "word").groupBy("word").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -361,7 +377,7 @@ def nested_json_to_rows(t):
         orders.alias("orders"),
     )
     parsed = fn.parse_json(F.to_json(document), fn.CUSTOMER_SCHEMA)
-    return fn.flatten_nested(t.conversations.select(parsed.alias("customer_data")))
+    return fn.flatten_nested(spread(t.conversations).select(parsed.alias("customer_data")))
 
 
 @query("""

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from etlkit.functions.values import pct, tier
 from etlkit.operators.joins import star_join
-from etlkit.operators.quality import CLEANING_PLANS, CleaningPlan, clean, profile
+from etlkit.operators.quality import (
+    CLEANING_PLANS, CleaningPlan, cleaning_stats, kept_rows, profile, tag_rows,
+)
 from etlkit.runtime import require
 from etlkit.sinks.files import write_partitioned, write_sized
 
@@ -150,6 +152,7 @@ class Run:
 
     staged: str
     profiles: str
+    tagged: str
     cleaned: str
     statistics: str
     curated: str
@@ -160,9 +163,13 @@ def run_staging_to_curated(
     plans: Mapping[str, CleaningPlan] = CLEANING_PLANS,
     on_stage: Callable[[str], None] = lambda stage: None,
 ) -> Run:
-    """Stage, profile, clean, curate and load. Each stage reads what the one before it wrote."""
+    """Stage, profile, clean, curate and load.
+
+    Each stage reads what the one before it wrote. Tagged rows are written once, so removing
+    duplicates costs one shuffle although both the kept rows and the statistics need it.
+    """
     base = target.rstrip("/")
-    run = Run(*(f"{base}/{name}" for name in ("staged", "profiles", "cleaned", "statistics", "curated")))
+    run = Run(*(f"{base}/{name}" for name in ("staged", "profiles", "tagged", "cleaned", "statistics", "curated")))
     spark = staging.transactions.sparkSession
     tables = [f.name for f in fields(staging)]
     for name in tables:
@@ -172,9 +179,11 @@ def run_staging_to_curated(
         staged = spark.read.parquet(f"{run.staged}/{name}")
         rules = transaction_rules(as_of) if name == "transactions" else None
         profile(staged, rules).write.mode("overwrite").parquet(f"{run.profiles}/{name}")
-        cleaned = clean(staged, plans.get(f"staging_{name}", CleaningPlan()), as_of)
-        cleaned.rows.write.mode("overwrite").parquet(f"{run.cleaned}/{name}")
-        cleaned.stats.write.mode("overwrite").parquet(f"{run.statistics}/{name}")
+        plan = plans.get(f"staging_{name}", CleaningPlan())
+        tag_rows(staged, plan, as_of).write.mode("overwrite").parquet(f"{run.tagged}/{name}")
+        tagged = spark.read.parquet(f"{run.tagged}/{name}")
+        kept_rows(tagged, plan).write.mode("overwrite").parquet(f"{run.cleaned}/{name}")
+        cleaning_stats(tagged, plan, as_of).write.mode("overwrite").parquet(f"{run.statistics}/{name}")
     on_stage("cleaned")
     ready = Staging(*(spark.read.parquet(f"{run.cleaned}/{name}") for name in tables))
     load_curated(curate(ready, as_of), run.curated)

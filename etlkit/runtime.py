@@ -35,6 +35,19 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     return F.broadcast(df) if plan_bytes(df) <= limit else df
 
 
+def spread(df: DataFrame, mb_per_core: int = 8) -> DataFrame:
+    """Use every core on a small scan that is stored as a few splits.
+
+    Meant for costly row-wise work on a freshly read table. A table with a split per core, or one
+    too large to be worth moving, is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if plan_bytes(df) > cores * mb_per_core * 1024 * 1024:
+        return df
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 

@@ -37,10 +37,16 @@ def write_files(
 
 
 def write_codecs(df: DataFrame, base: str, codecs: Sequence[str] = CODECS, mode: str = "errorifexists") -> dict[str, str]:
-    """The same frame as parquet under several codecs; returns codec -> path."""
+    """The same frame as parquet under several codecs; returns codec -> path.
+
+    The frame is evaluated once: later copies are made from the first.
+    """
     paths = {codec: f"{base.rstrip('/')}/{codec}" for codec in codecs}
+    source = df
     for codec, path in paths.items():
-        write_files(df, path, "parquet", codec, mode=mode)
+        write_files(source, path, "parquet", codec, mode=mode)
+        if source is df:
+            source = df.sparkSession.read.parquet(path)
     return paths
 
 
@@ -54,13 +60,18 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
 def write_formats(
     df: DataFrame, base: str, formats: Mapping[str, str] | None = None, mode: str = "errorifexists"
 ) -> dict[str, int]:
-    """The same frame in several formats (format -> codec); returns the bytes each one takes."""
+    """The same frame in several formats (format -> codec); returns the bytes each one takes.
+
+    After the first columnar copy, the others are made from it instead of from the frame.
+    """
     spark = df.sparkSession
-    sizes = {}
+    source, sizes = df, {}
     for fmt, codec in (formats or FORMATS).items():
         path = f"{base.rstrip('/')}/{fmt}"
-        write_files(df, path, fmt, codec, mode=mode)
+        write_files(source, path, fmt, codec, mode=mode)
         sizes[fmt] = stored_bytes(spark, path)
+        if source is df and fmt in ("parquet", "orc"):
+            source = spark.read.format(fmt).load(path)
     return sizes
 
 

@@ -11,6 +11,7 @@ from etlkit.operators import joins as J
 from etlkit.operators import relational as R
 from etlkit.operators import windows as W
 from etlkit.plans.catalogue import QUERIES
+from etlkit.runtime import spread
 
 
 def exchanges(plan):
@@ -89,6 +90,13 @@ def test_copartitioned_join_spreads_hot_keys(spark, table):
     assert sum(sizes) == lines.count() and len(sizes) > 3 and max(sizes) < 0.6 * lines.count()
 
 
+def test_spread_only_moves_small_tables_with_few_splits(spark, table):
+    docs = table("documents")
+    assert spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert "Exchange" not in initial_plan(spread(docs, mb_per_core=0))
+    assert "Exchange" not in initial_plan(spread(spark.range(0, 1000, 1, 64)))
+
+
 def test_two_level_totals_and_range_sort(spark, table):
     df = table("orders")
     assert "partial_sum" in initial_plan(A.preaggregate(df, ["o_orderdate"], {"y": F.year("o_orderdate")}, "o_totalprice"))
