@@ -22,6 +22,6 @@ def test_contract(spark):
     import __spark_entry__ as entry
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries())
     assert len(ORACLES) >= 0.85 * len(QUERIES)
     assert entry.entry(spark).columns[:2] == ["year", "month"]
