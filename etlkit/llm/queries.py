@@ -5,14 +5,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etlkit.llm import simhash
+from etlkit.llm import nbsvm, simhash, tokens, toxicity, vectors
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
 
+# Seed words of the weak category labels; every category is also bound to the label ``toxic``.
+TOXIC_CATEGORIES = {
+    "insult": ("idiot", "moron", "stupid", "clown", "loser"),
+    "contempt": ("trash", "scum", "worthless", "pathetic", "disgusting"),
+}
+
+
+@query()
+def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity probabilities of every document, by a chain fitted on labelled rows."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), "toxic", TOXIC_CATEGORIES)
+    return toxicity.scored(docs.select("doc_id", "text"), chain).drop("text")
+
+
+@query()
+def op3_nb_svm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; rows whose crc32 leaves 1 on division by 3 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    remainder = lambda c: F.crc32(F.col(c).cast("string")) % 3
+    model = nbsvm.fit_quality(docs, table(spark, sf_dir, "labels"), "quality", remainder("__id") != 1)
+    found = nbsvm.scored(docs, model)
+    return found.select("doc_id", (remainder("doc_id") == 1).alias("held_out"), "score", "predicted")
+
+
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document by the public 32k BPE model."""
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
 
 @query()
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 3-word shingles, linked at two or fewer differing bits."""
     found = simhash.near_groups(table(spark, sf_dir, "documents"), shingle=3, threshold=2)
     return found.withColumn("fingerprint", F.lower(F.hex("fingerprint")))
+
+
+@query()
+def op10_collision_counting_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of one label with cosine 0.93 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
