@@ -1,15 +1,16 @@
 """Toxicity categories by a chain of linear classifiers.
 
-Categories are predicted in a fixed order. Each is a logistic regression on word indicators and on
-the probabilities of the categories before it. In training those probabilities are out-of-fold, so
-a later model learns how far an earlier one can be trusted on texts it has not seen.
+Categories are predicted in a fixed order. Each is a logistic regression on indicators of words and
+of dense word beginnings, and on the probabilities of the categories before it. In training those
+probabilities are out-of-fold, so a later model learns how far an earlier one can be trusted on
+texts it has not seen.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Container, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,17 +26,36 @@ WORD = re.compile(r"[^\W\d_]+")
 SKETCHES = 6
 
 
-def words_of(text: str | None, chunk: int = 1 << 20) -> set[str]:
-    """Lower-cased words of letters in a whole text. Long texts are read a stretch at a time."""
+# Lengths of word beginnings, and the shares of a text's words at which one counts as dense.
+STEMS = (3, 4, 5, 6)
+DENSE, DENSER = 200, 100
+
+
+def features(text: str | None, known: Container[str] | None = None, chunk: int = 1 << 20) -> set[str]:
+    """Words of a whole text, lower-cased, and word beginnings that are dense in it.
+
+    ``ab*`` stands for a beginning of 1 in 200 words or more, ``ab**`` for two words and 1 in 100 or
+    more. Invented and inflected words share a beginning where they share no whole word, and a share
+    of the text means the same in a short and a very long one. ``known`` limits the beginnings that
+    are counted. Texts above ``chunk`` characters are read as a stream.
+    """
     text = text or ""
-    if len(text) <= chunk:
-        return set(WORD.findall(text.lower()))
-    return {m.group().lower() for m in WORD.finditer(text)}
+    found = WORD.findall(text.lower()) if len(text) <= chunk else (m.group().lower() for m in WORD.finditer(text))
+    counts = Counter(found)
+    total, stems = counts.total(), Counter()
+    for word, n in counts.items():
+        for k in STEMS:
+            if len(word) >= k and (known is None or word[:k] in known):
+                stems[word[:k]] += n
+    out = set(counts)
+    out.update(f"{s}*" for s, n in stems.items() if n * DENSE >= total)
+    out.update(f"{s}**" for s, n in stems.items() if n > 1 and n * DENSER >= total)
+    return out
 
 
 @dataclass(frozen=True)
 class Link:
-    """One category: its words with their weights, the weights of earlier probabilities, the bias."""
+    """One category: its features with their weights, the weights of earlier probabilities, the bias."""
 
     category: str
     weights: Mapping[str, float]
@@ -122,7 +142,7 @@ def fit_chain(
     return Chain(tuple(links))
 
 
-def _sketch(words: set[str], text: str) -> list[int]:
+def _sketch(text: str) -> list[int]:
     """Smallest hashes of a text's 3-word shingles, one for each of a few seeds."""
     tokens = WORD.findall(text.lower())
     shingles = {" ".join(tokens[i : i + 3]) for i in range(max(1, len(tokens) - 2))}
@@ -143,10 +163,10 @@ def fit_toxicity(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t.as_py() or "" for t in batch.column(2)]
-            found = [words_of(t) for t in texts]
+            found = [features(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([sorted(w) for w in found], pa.list_(pa.string())),
-                 pa.array([_sketch(w, t) for w, t in zip(found, texts)], pa.list_(pa.int64()))],
+                 pa.array([_sketch(t) for t in texts], pa.list_(pa.int64()))],
                 names=["doc_id", "label", "words", "sketch"])
 
     chosen = training_rows(docs, labels, label, usable if usable is not None else F.lit(True), doc_id, text, rows)
@@ -177,8 +197,10 @@ def scored(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # at most 256 words a category
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chain = shared.value
+        known = {w.rstrip("*") for link in chain.links for w in link.weights if w.endswith("*")}
         for batch in batches:
-            made = [shared.value.probabilities(words_of(t.as_py())) for t in batch.column("__text")]
+            made = [chain.probabilities(features(t.as_py(), known)) for t in batch.column("__text")]
             new = {name: pa.array([m[k] for m in made], pa.float64()) for k, name in enumerate(names)}
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new.values()], names=[*batch.schema.names[:-1], *new])
 
