@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etlkit.llm import nbsvm, simhash, tokens, toxicity, vectors
+from etlkit.llm import decontam, mixing, nbsvm, secret_scan, simhash, tokens, toxicity, urls, vectors
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -41,6 +41,152 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate of every document with the forest's verdict; values as digests."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.sha2("value", 256).alias("value_sha256"), "start", "n_chars", "probability", "is_secret")
+
+
+# The tree of the mixture: sources fall in three domains by their number.
+MIX_SOURCE = "CAST(coalesce(nullif(regexp_extract(source, '([0-9]+)$', 1), ''), '0') AS INT)"
+MIX_DOMAIN = f"CASE {MIX_SOURCE} % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'books' ELSE 'code' END"
+MIX_WEIGHTS = {
+    "domain": f"CASE {MIX_SOURCE} % 3 WHEN 0 THEN 5 WHEN 1 THEN 3 ELSE 2 END",
+    "lang": "CASE lang WHEN 'en' THEN 6 WHEN 'fr' THEN 2 WHEN 'de' THEN 2 ELSE 1 END",
+    "source": f"1 + {MIX_SOURCE} % 4",
+}
+
+
+def mixture(docs: DataFrame) -> DataFrame:
+    """The mixture of query and pipeline: as many tokens as the documents hold, at most four epochs of a source."""
+    weights = {k: F.expr(v) for k, v in MIX_WEIGHTS.items()}
+    return mixing.mixed(docs, F.expr(MIX_DOMAIN), F.col("lang"), F.col("source"), weights, share=1.0, epochs=4, seed=1)
+
+
+def _level_sql(depth: int) -> str:
+    """SQL of one level of budgets: ``given<depth>`` from the leaves and the level above."""
+    path, above = ["domain", "lang", "source"][: depth + 1], ["domain", "lang", "source"][:depth]
+    cols, by = ", ".join(path), f"PARTITION BY {', '.join(above)} " if above else ""
+    source = f"leaves JOIN given{depth - 1} USING ({', '.join(above)})" if above else "leaves, total"
+    return f"""
+nodes{depth} AS (SELECT {cols}, sum(room)::BIGINT AS cap, any_value(w{depth})::BIGINT AS w, any_value(given)::BIGINT AS b
+  FROM {source} WHERE room > 0 GROUP BY {cols}),
+rates{depth} AS (SELECT *, (b - coalesce(sum(cap) OVER ({by}ORDER BY cap / w, {path[-1]} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+  / (sum(w) OVER ({by}ORDER BY cap / w, {path[-1]} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS rate FROM nodes{depth}),
+given{depth} AS (SELECT {cols}, greatest(0, least(cap, floor(max(rate) OVER ({by.strip()}) * w + 1e-6)::BIGINT)) AS given FROM rates{depth})"""
+
+
+_MIX_SQL = rf"""
+WITH rows AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {MIX_DOMAIN} AS domain,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS n_tokens,
+    {MIX_WEIGHTS['domain']} AS w0, {MIX_WEIGHTS['lang']} AS w1, {MIX_WEIGHTS['source']} AS w2
+  FROM documents),
+leaves AS (SELECT domain, lang, source, max(w0) AS w0, max(w1) AS w1, max(w2) AS w2, sum(n_tokens)::BIGINT AS tokens, (4 * sum(n_tokens))::BIGINT AS room
+  FROM rows GROUP BY domain, lang, source),
+total AS (SELECT sum(tokens)::BIGINT AS given FROM leaves),
+{_level_sql(0)},
+{_level_sql(1)},
+{_level_sql(2)},
+plan AS (SELECT domain, lang, source, CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END AS epochs,
+    given - CASE WHEN tokens > 0 THEN given // tokens ELSE 0 END * tokens AS rest FROM leaves JOIN given2 USING (domain, lang, source)),
+placed AS (SELECT *, substr(md5('1:' || epochs::VARCHAR || ':' || doc_id::VARCHAR), 1, 15) AS u FROM rows JOIN plan USING (domain, lang, source)),
+past AS (SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY u, doc_id, n_tokens ROWS UNBOUNDED PRECEDING) AS past FROM placed)
+SELECT doc_id, domain, lang, source, n_tokens,
+  CASE WHEN n_tokens > 0 THEN epochs + CASE WHEN past <= rest THEN 1 ELSE 0 END ELSE 0 END::BIGINT AS copies FROM past"""
+
+
+@query(_MIX_SQL)
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the mixture holds each document."""
+    out = mixture(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    return out.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), "n_tokens", "copies")
+
+
+def _decontam_sql() -> str:
+    words = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
+    ahead = ", ".join(f"lead(w, {k}) OVER s AS w{k}" for k in range(1, 12))
+    hits = []
+    for mask in decontam.MASKS:
+        same = " AND ".join(f"a.w{k} = b.w{k}" for k in range(12) if mask[k] == "1")
+        hits.append(f"SELECT a.doc_id, b.item_id, a.p - b.p AS shift FROM dw a JOIN bw b ON {same} WHERE a.w11 IS NOT NULL AND b.w11 IS NOT NULL")
+    return f"""
+WITH d AS (SELECT doc_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS p FROM documents),
+b AS (SELECT item_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS p FROM benchmark),
+dw AS (SELECT doc_id, p, w AS w0, {ahead} FROM d WINDOW s AS (PARTITION BY doc_id ORDER BY p)),
+bw AS (SELECT item_id, p, w AS w0, {ahead} FROM b WINDOW s AS (PARTITION BY item_id ORDER BY p)),
+hits AS ({' UNION '.join(hits)}),
+equal AS (SELECT h.*, b.p, CASE WHEN d.w = b.w THEN 1 ELSE 0 END AS e FROM hits h JOIN b USING (item_id) JOIN d ON d.doc_id = h.doc_id AND d.p = b.p + h.shift),
+runs AS (SELECT doc_id, item_id, sum(e) OVER s AS overlap, count(*) OVER s AS n FROM equal
+  WINDOW s AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING))
+SELECT doc_id, item_id, max(overlap)::INT AS overlap FROM runs WHERE n = 16 AND overlap >= 13 GROUP BY doc_id, item_id"""
+
+
+@query(_decontam_sql())
+def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item that overlaps it in 13 of 16 neighbouring tokens."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# The pages carry no dates and there is no list table: fetch times follow from the page's id, and the
+# list's dated entries from digests of the hosts that the pages have.
+_FETCHED = "timestampadd(MINUTE, CAST(page_id * 7919 % 525600 AS INT), timestamp_ntz'2024-01-01 00:00:00')"
+# (key, smallest digest remainder, modulus, action, days after the digest's day)
+_ENTRIES = (
+    ("host", 0, 3, "block", 0), ("host", 0, 6, "remove", 60), ("host", 0, 12, "block", 120),
+    ("domain", 1, 2, "block", 30), ("domain", 1, 2, "remove", 90), ("section", 0, 5, "allow", 10), ("section", 0, 10, "block", 200),
+)
+
+
+def list_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries ``(key, action, at)`` derived from the hosts, parent domains and first path parts of pages."""
+    host = urls.url_host(F.col("url"))
+    section = F.concat(host, F.regexp_extract(urls.url_path(F.col("url")), "^(/[^/]+)", 1))
+    keys = pages.select(host.alias("host"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"), section.alias("section"))
+    digest = F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("int")
+    parts = []
+    for kind, remainder, modulus, action, days in _ENTRIES:
+        known = keys.select(F.col(kind).alias("key")).filter("key IS NOT NULL").distinct().filter(digest % modulus == remainder)
+        at = F.expr(f"timestampadd(DAY, digest % 150 + {days}, timestamp_ntz'2024-01-01 00:00:00')").alias("at")
+        parts.append(known.withColumn("digest", digest).select("key", F.lit(action).alias("action"), at))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _url_sql() -> str:
+    pick = " UNION ALL ".join(
+        f"SELECT key, '{action}' AS action, TIMESTAMP '2024-01-01' + to_days((digest % 150 + {days})::INT) AS since FROM keys WHERE kind = '{kind}' AND digest % {modulus} = {remainder}"
+        for kind, remainder, modulus, action, days in _ENTRIES)
+    return rf"""
+WITH p AS (SELECT page_id, url, TIMESTAMP '2024-01-01' + to_minutes((page_id * 7919 % 525600)::INT) AS fetched_at,
+    nullif(regexp_replace(regexp_extract(lower(trim(url)), '^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)', 1), '\.+$', ''), '') AS host,
+    regexp_replace(regexp_extract(trim(url), '^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(/[^?#]*)', 1), '/+$', '') AS path FROM pages),
+named AS (SELECT DISTINCT kind, key FROM (
+  SELECT 'host' AS kind, host AS key FROM p UNION ALL SELECT 'domain', regexp_extract(host, '([^.]+\.[^.]+)$', 1) FROM p
+  UNION ALL SELECT 'section', host || regexp_extract(path, '^(/[^/]+)', 1) FROM p) WHERE key IS NOT NULL),
+keys AS (SELECT *, ('0x' || substr(md5(key), 1, 6))::INT AS digest FROM named),
+entries AS (SELECT key, max(action) AS action, since FROM ({pick}) GROUP BY key, since),
+spans AS (SELECT *, lead(since) OVER (PARTITION BY key ORDER BY since) AS until FROM entries),
+asked AS (SELECT page_id, fetched_at, host, string_split(host, '.') AS l, string_split(path, '/') AS s FROM p),
+looks AS (
+  SELECT page_id, fetched_at, unnest(range(1, len(l) + 1)) AS rank, array_to_string(l[len(l) - rank + 1 :], '.') AS key FROM asked WHERE host IS NOT NULL
+  UNION ALL
+  SELECT page_id, fetched_at, 1000 + unnest(range(1, least(len(s) - 1, 3) + 1)) + 0 AS rank, host || array_to_string(s[: rank - 1000 + 1], '/') AS key FROM asked WHERE host IS NOT NULL AND len(s) > 1),
+met AS (SELECT page_id, action, key, since, row_number() OVER (PARTITION BY page_id ORDER BY rank DESC) AS k FROM looks JOIN spans USING (key)
+  WHERE action <> 'remove' AND since <= fetched_at AND (until IS NULL OR fetched_at < until))
+SELECT page_id, url, fetched_at, coalesce(action = 'block', false) AS blocked, key AS matched_key, since FROM p LEFT JOIN (SELECT * FROM met WHERE k = 1) USING (page_id)"""
+
+
+@query(_url_sql())
+def op8_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the list entry in force when it was fetched."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judged(pages.withColumn("fetched_at", F.expr(_FETCHED)), list_entries(pages))
+
+
 @query()
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of 3-word shingles, linked at two or fewer differing bits."""

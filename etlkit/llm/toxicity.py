@@ -117,8 +117,8 @@ def fit_chain(
     for category, target in targets.items():
         y = np.asarray(target, dtype=float)
         if n == 0 or y.min() == y.max():
-            # Nothing to tell apart: the base rate, kept off 0 and 1.
-            rate = (y.sum() + 0.5) / (n + 1) if n else 0.5
+            # Nothing to tell apart: the base rate, kept off 0 and 1; without any row, next to 0.
+            rate = (y.sum() + 0.5) / (n + 1) if n else 1e-6
             links.append(Link(category, {}, (0.0,) * passed.shape[1], float(np.log(rate / (1 - rate)))))
             passed = np.column_stack([passed, np.full(n, rate)])
             continue
