@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etlkit.llm import decontam, mixing, nbsvm, secret_scan, simhash, tokens, toxicity, urls, vectors
+from etlkit.llm import decontam, html_blocks, mixing, nbsvm, secret_scan, simhash, tokens, toxicity, urls, vectors
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -17,6 +17,13 @@ TOXIC_CATEGORIES = {
 }
 
 
+@query()
+def op1_html_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return html_blocks.extracted(pages, html_blocks.fit_pages(pages))
+
+
 @query()
 def op2_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity probabilities of every document, by a chain fitted on labelled rows."""
