@@ -180,7 +180,7 @@ def fit_toxicity(
             kept.append(row)
         seen |= slots
     found = [set(r.words) for r in kept]
-    toxic = np.array([r.label > 0 for r in kept])
+    toxic = np.array([r.label > 0 for r in kept], dtype=bool)
     targets = {c: toxic & np.array([not w.isdisjoint(seeds) for w in found], dtype=bool) for c, seeds in categories.items()}
     return fit_chain(found, targets | {final: toxic})
 
