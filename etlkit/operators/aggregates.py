@@ -6,9 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from etlkit.functions.values import hash_below, salt
-from etlkit.operators.ordered import Ordering
+from etlkit.operators.ordered import Ordering, search_tree
 from etlkit.runtime import join_groups, names, require
 
 Aggs = Mapping[str, Column]
@@ -55,6 +56,30 @@ def salted_agg(
     ).withColumn("mean", F.try_divide("total", "rows"))
 
 
+def value_levels(df: DataFrame, column: str, parts: int = 256) -> list[Column]:
+    """Levels that do not decrease along a column: quantile ranges of numbers and times, longer and longer prefixes of text.
+
+    The ``parts - 1`` quantiles are the only values read back.
+    """
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        return [F.substring(column, 1, n) for n in (4, 12, 32)]
+    if isinstance(kind, T.BooleanType):
+        return [F.col(column).cast("int")]
+    if isinstance(kind, T.DateType):
+        value = F.unix_date(column).cast("double")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        value = F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    elif isinstance(kind, T.NumericType):
+        value = F.col(column).cast("double")
+    else:
+        raise ValueError(f"name the levels of {column!r}: {kind.simpleString()} values have no ranges")
+    shares = [i / parts for i in range(1, parts)]
+    bounds = df.agg(F.percentile_approx(value, shares, 10 * parts)).first()[0]
+    bounds = sorted(set(bounds or []))
+    return [search_tree(value, bounds, 0, len(bounds))]
+
+
 def collect(
     df: DataFrame, by: str | Sequence[str], column: str, ordering_levels: Sequence[Column] = (),
     distinct: bool = False, page: int = 100_000,
@@ -69,7 +94,7 @@ def collect(
     counts = df.filter(F.col(column).isNotNull()).groupBy(*by, column).agg(
         (F.lit(1).cast("long") if distinct else F.count(F.lit(1))).alias("__n")
     )
-    levels = ordering_levels or [F.substring(F.col(column).cast("string"), 1, 1)]
+    levels = ordering_levels or value_levels(df, column)
     ordering = Ordering(by, [column], levels)
     base = ordering.with_cell(counts)
     before = ordering.prefixes(ordering.cells(base, {"__before": F.sum("__n")}), {"__before": F.sum})
@@ -123,37 +148,30 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles without holding a group's values in one place.
 
-    Counting rows per cell of ``levels`` shows which cells hold the wanted ranks; only the rows of
-    those cells are ranked.
+    Equal values are counted before the shuffle, counts are summed along the values of a group cell
+    by cell of ``levels``, and the values that hold the wanted ranks are picked. No row of ``df`` is
+    sorted, and a value that repeats is one row however often it does.
     """
     by = names(by)
     require(df, *by, column)
     present = df.filter(F.col(column).isNotNull())
+    counts = present.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
     ordering = Ordering(by, [column], levels)
-    base = ordering.with_cell(present)
-    cells = ordering.cells(base, {"__n": F.count(F.lit(1))})
-    before = ordering.prefixes(cells.withColumnRenamed("__n", "__before"), {"__before": F.sum})
-    totals = cells.groupBy(*by).agg(F.sum("__n").alias("__all"))
-    cell = [*by, *ordering.level_names]
-    placed = join_groups(join_groups(cells, before, cell), totals, by).withColumn(
-        "__before", F.coalesce("__before", F.lit(0))
-    )
-    exact = placed.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in ps]))).withColumn(
-        "__rank", F.col("p") * (F.col("__all") - 1)
-    )
-    wanted = exact.withColumn(
-        "__index", F.explode(F.array_distinct(F.array(F.floor("__rank"), F.ceil("__rank"))))
-    ).filter(
-        (F.col("__index") >= F.col("__before")) & (F.col("__index") < F.col("__before") + F.col("__n"))
-    )
-    needed = wanted.select(*cell, "__before").distinct()
-    ranked = ordering.attach(base, needed, "inner").withColumn(
-        "__index", F.col("__before") + F.row_number().over(ordering.in_cell()) - 1
-    ).select(*by, "__index", F.col(column).cast("double").alias("__value"))
-    found = join_groups(wanted.select(*by, "__index", "p", "__rank"), ranked, [*by, "__index"], "inner")
+    base = ordering.with_cell(counts)
+    cells = ordering.cells(base, {"__before": F.sum("__n")})
+    totals = cells.groupBy(*by).agg(F.sum("__before").alias("__all"))
+    per_cell = join_groups(cells.select(*by, *ordering.level_names), ordering.prefixes(cells, {"__before": F.sum}), [*by, *ordering.level_names])
+    per_cell = join_groups(per_cell, totals, by)
+    earlier = ordering.in_cell().rowsBetween(Window.unboundedPreceding, -1)
+    rows = ordering.attach(base.withColumn("__inside", F.sum("__n").over(earlier)), per_cell)
+    start = F.coalesce("__before", F.lit(0)) + F.coalesce("__inside", F.lit(0))
+    held = lambda k: (k >= F.col("__start")) & (k < F.col("__start") + F.col("__n"))
+    wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("__all") - 1)).alias("rank")) for p in ps])
+    rows = rows.withColumn("__start", start).withColumn("__hits", F.filter(wanted, lambda w: held(F.floor(w["rank"])) | held(F.ceil(w["rank"]))))
+    found = rows.select(*by, F.col(column).cast("double").alias("__value"), F.explode("__hits").alias("__hit"))
     low, high = F.min("__value"), F.max("__value")
-    part = F.max(F.col("__rank") - F.floor("__rank"))
-    return found.groupBy(*by, "p").agg((low + (high - low) * part).alias("value"))
+    part = F.max(F.col("__hit.rank") - F.floor("__hit.rank"))
+    return found.groupBy(*by, F.col("__hit.p").alias("p")).agg((low + (high - low) * part).alias("value"))
 
 
 def approx_profile(df: DataFrame, by: str | Sequence[str], key: str, value: str) -> DataFrame:

@@ -18,12 +18,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
     require(source, *target.columns)
     rest = [c for c in target.columns if c not in keys]
     once = source.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("__n"), *[F.first(c).alias(c) for c in rest]
+        F.count(F.lit(1)).alias("__n"), *[F.any_value(c).alias(c) for c in rest]
     )
-    single = F.when(F.col("__n") == 1, F.col(keys[0])).otherwise(
-        F.raise_error(F.lit(f"duplicate source key in {keys}"))
+    # A filter stays in the plan whatever columns the reader asks for.
+    single = F.when(F.col("__n") == 1, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"duplicate source key in {keys}")).cast("boolean")
     )
-    checked = once.withColumn(keys[0], single).select(*target.columns)
+    checked = once.filter(single).select(*target.columns)
     return unmatched(target, source, keys).select(*target.columns).unionByName(checked)
 
 

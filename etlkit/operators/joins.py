@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from etlkit.functions.values import salt
 from etlkit.operators.windows import with_group_stats
-from etlkit.runtime import BROADCAST_LIMIT, all_of, broadcast_if_small, names, plan_bytes, require
+from etlkit.runtime import BROADCAST_LIMIT, all_of, broadcast_if_small, is_small, names, require
 
 STRATEGIES = ("broadcast", "merge", "shuffle_hash", "shuffle_replicate_nl")
 
@@ -18,7 +18,7 @@ def join_dim(
     fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner",
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Lookup join. The dimension is broadcast only when its estimated size is under ``limit``."""
+    """Lookup join. The dimension is broadcast only when a size under ``limit`` is known."""
     return fact.join(broadcast_if_small(dim, limit), names(on), how)
 
 
@@ -26,11 +26,11 @@ def join_with(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], strategy: str, how: str = "inner",
     limit: int = BROADCAST_LIMIT,
 ) -> DataFrame:
-    """Equi-join with a named physical strategy. A broadcast is refused above ``limit`` bytes."""
+    """Equi-join with a named physical strategy; a broadcast above ``limit`` bytes becomes a shuffle."""
     if strategy not in STRATEGIES[:3]:
         raise ValueError(f"strategy must be one of {STRATEGIES[:3]}")
-    if strategy == "broadcast" and plan_bytes(right) > limit:
-        raise ValueError(f"right side is estimated at {plan_bytes(right)} bytes, over {limit}")
+    if strategy == "broadcast" and not is_small(right, limit):
+        strategy = "merge"
     return left.join(right.hint(strategy), names(on), how)
 
 
@@ -58,49 +58,62 @@ def star_join(
     return out
 
 
-def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows: at most ``1 / share`` of them."""
+def hot_keys(df: DataFrame, key: str, share: float, tracked: int = 20_000) -> dict:
+    """Keys that hold more than ``share`` of all rows, with their estimated row counts.
+
+    One map-side pass over the key column keeps a frequent-items sketch of ``tracked`` keys a task;
+    what reaches the driver is at most ``1 / share`` keys. The sketch never misses a key above
+    ``1 / tracked`` of the rows; a count may be off by that much.
+    """
     if not 0 < share <= 1:
         raise ValueError("share must be in (0, 1]")
     require(df, key)
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
-    total = counts.agg(F.sum("__rows").alias("n")).scalar()
-    return counts.filter(F.col("__rows") > total * share).select(key)
+    most = int(1 / share) + 1
+    kind = df.schema[key].dataType
+    named = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("k"))
+    if isinstance(kind, (T.ArrayType, T.StructType, T.MapType, T.BinaryType)):
+        raise ValueError("a hot key is a number, text, date or flag")
+    row = named.agg(F.expr(f"approx_top_k(k, {most}, {max(tracked, 2 * most)})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return {r["item"]: r["count"] for r in row.top or [] if r["count"] > row.n * share}
 
 
 def copartitioned_join(
     left: DataFrame, right: DataFrame, key: str, row_id: Sequence[str], n: int | None = None,
-    how: str = "inner", salts: int = 32, share: float = 0.005,
+    how: str = "inner", share: float = 0.005, rows_per_salt: int = 100_000, most_salts: int = 10_000,
 ) -> DataFrame:
-    """Join both sides partitioned alike on ``key``, with hot keys of ``left`` split ``salts`` ways.
+    """Join both sides partitioned alike on ``key``, with hot keys of ``left`` split by their size.
 
-    ``row_id`` tells rows of ``left`` apart. The rows of ``right`` that match a hot key are
-    repeated once per salt; the list of hot keys has at most ``1 / share`` rows, so it is
-    broadcast. Every row is kept: salting changes where a pair is made, not whether.
+    ``row_id`` tells rows of ``left`` apart. A key above ``share`` of all rows gets a salt for every
+    ``rows_per_salt`` of its rows (two at least, ``most_salts`` at most), and the rows of ``right``
+    that match it are repeated once per salt. The list has at most ``1 / share`` keys and is part of
+    the plan, so ``left`` is read twice: for the sketch and for the join. Every row is kept: salting
+    changes where a pair is made, not whether.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError("only the left side may be split: use inner, left, left_semi or left_anti")
     require(left, key, *row_id)
     require(right, key)
-    hot = F.broadcast(hot_keys(left, key, share).withColumn("__hot", F.lit(True)))
-    spread = salt([F.col(c) for c in row_id], salts)
-    # NULL keys never match, so they may be spread over all salts.
-    a = left.join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | F.col(key).isNull(), spread).otherwise(0)
-    ).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    b = right.join(hot, key, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
+    hot = {k: min(most_salts, max(2, -(-rows // rows_per_salt))) for k, rows in hot_keys(left, key, share).items()}
+    if not hot:
+        a, b = (left.repartition(n, key), right.repartition(n, key)) if n is not None else (left, right)
+        return a.join(b.hint("merge"), key, how)
+    lookup = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    salts = F.coalesce(F.element_at(lookup, F.col(key)), F.lit(1))
+    # NULL keys never match, so they may be spread over any salts.
+    ways = F.when(F.col(key).isNull(), F.lit(1024)).otherwise(salts)
+    a = left.withColumn("__salt", F.pmod(F.xxhash64(*row_id), ways).cast("int"))
+    b = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), (salts - 1).cast("int"))))
     if n is not None:
         a, b = a.repartition(n, key, "__salt"), b.repartition(n, key, "__salt")
-    return a.join(b, [key, "__salt"], how).drop("__salt")
+    return a.join(b.hint("merge"), [key, "__salt"], how).drop("__salt")
 
 
 def join_auto(
     left: DataFrame, right: DataFrame, key: str, row_id: Sequence[str], limit: int = BROADCAST_LIMIT,
     how: str = "inner",
 ) -> DataFrame:
-    """Broadcast a right side that plan statistics show to be small; otherwise split hot keys."""
-    if plan_bytes(right) <= limit:
+    """Broadcast a right side that is known to be small; otherwise split hot keys."""
+    if is_small(right, limit):
         return left.join(F.broadcast(right), key, how)
     return copartitioned_join(left, right, key, row_id, how=how)
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from etlkit.functions.dates import with_date_parts
 from etlkit.runtime import names, plan_bytes, require
@@ -122,3 +123,22 @@ def estimate_bytes(df: DataFrame) -> DataFrame:
         "estimated_bytes": F.col("rows") * width,
         "plan_bytes": F.lit(plan_bytes(df)).cast("long"),
     })
+
+
+def measured_bytes(df: DataFrame, fraction: float = 0.01, seed: int = 1) -> DataFrame:
+    """One row: rows x the average length of sampled rows, for texts and nested values of any length.
+
+    The sample is read once beside the count; a row's length is that of its values, not of its files.
+    """
+    def length(field: T.StructField) -> Column:
+        kind, column = field.dataType.simpleString(), F.col(f"`{field.name}`")
+        if kind in FIELD_BYTES and kind != "string":
+            return F.lit(FIELD_BYTES[kind])
+        text = column if kind in ("string", "binary") else F.to_json(F.struct(column))
+        return F.coalesce(F.octet_length(text), F.lit(0))
+
+    size = sum((length(f) for f in df.schema.fields), F.lit(0)).cast("long")
+    sampled = df.sample(False, fraction, seed) if fraction < 1 else df
+    mean = sampled.agg(F.avg(size).alias("m")).scalar()
+    rows = df.agg(F.count(F.lit(1)).alias("rows"))
+    return rows.withColumns({"bytes_per_row": F.round(mean, 2), "estimated_bytes": F.round(F.col("rows") * mean).cast("long")})

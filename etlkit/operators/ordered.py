@@ -212,3 +212,13 @@ def rankings(
         extra + F.floor(F.try_divide(at - wide, each))
     )
     return rows.withColumn("ntile", (tile + 1).cast("int")).drop(CELL, "__rows", "__in_cell", "__n")
+
+
+def search_tree(value: Column, bounds: Sequence[float], low: int, high: int) -> Column:
+    """How many of ``bounds[low:high]`` are below ``value``, plus ``low``, by binary search."""
+    if low == high:
+        return F.lit(low)
+    middle = (low + high) // 2
+    return F.when(value > F.lit(bounds[middle]), search_tree(value, bounds, middle + 1, high)).otherwise(
+        search_tree(value, bounds, low, middle)
+    )

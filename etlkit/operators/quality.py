@@ -9,9 +9,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from etlkit.operators.aggregates import exact_percentiles, value_levels
 from etlkit.operators.joins import unmatched
 from etlkit.operators.windows import with_group_stats
-from etlkit.runtime import require
+from etlkit.runtime import join_groups, names, require
 
 __all__ = [
     "CLEANING_PLANS", "CleaningPlan", "Cleaned", "clean", "cleaning_stats", "dead_letter",
@@ -81,12 +82,21 @@ def _fence(df: DataFrame, column: str, k: float) -> DataFrame:
     }).drop("__q1", "__q3")
 
 
-def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, accuracy: int = 10_000) -> DataFrame:
+def _exact_quartiles(df: DataFrame, by: Sequence[str], column: str) -> DataFrame:
+    return exact_percentiles(df, by, column, [0.25, 0.75], value_levels(df, column)).groupBy(*by).agg(
+        F.max(F.when(F.col("p") == 0.25, F.col("value"))).alias("__q1"), F.max(F.when(F.col("p") == 0.75, F.col("value"))).alias("__q3"))
+
+
+def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, accuracy: int = 10_000, exact: bool = False) -> DataFrame:
     """Flag values outside the interquartile fence and cap them to it.
 
-    The quartiles are a scalar subquery, evaluated on the cluster when the result is.
+    The quartiles are a scalar subquery, evaluated on the cluster when the result is. They are
+    approximate, or with ``exact`` interpolated from counts of distinct values.
     """
     require(df, column)
+    if exact:
+        found = _exact_quartiles(df.select(F.lit(0).alias("__whole"), column), ["__whole"], column)
+        return _fence(df.withColumns({q: found.agg(F.max(q)).scalar() for q in ("__q1", "__q3")}), column, k)
     quartiles = df.agg(F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q")).scalar()
     return _fence(
         df.withColumns({"__q1": F.get(quartiles, F.lit(0)), "__q3": F.get(quartiles, F.lit(1))}), column, k
@@ -94,10 +104,13 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, accuracy: int = 10_
 
 
 def iqr_outliers_by_group(
-    df: DataFrame, by: str | Sequence[str], column: str, k: float = 1.5, accuracy: int = 10_000
+    df: DataFrame, by: str | Sequence[str], column: str, k: float = 1.5, accuracy: int = 10_000, exact: bool = False,
 ) -> DataFrame:
     """The same with one fence per group."""
     require(df, column)
+    if exact:
+        by = names(by)
+        return _fence(join_groups(df, _exact_quartiles(df, by, column), by), column, k)
     stats = {
         "__q1": F.percentile_approx(column, 0.25, accuracy),
         "__q3": F.percentile_approx(column, 0.75, accuracy),

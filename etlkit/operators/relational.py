@@ -47,7 +47,7 @@ def slice_by_range(df: DataFrame, column: str, low, high) -> DataFrame:
 def with_slice(df: DataFrame, column: str, width: int, name: str = "slice") -> DataFrame:
     """Number of the id range that each row falls in, to work on all slices at once."""
     require(df, column)
-    return df.withColumn(name, F.floor(F.col(column) / width).cast("long"))
+    return df.withColumn(name, F.expr(f"(CAST(`{column}` AS BIGINT) - pmod(CAST(`{column}` AS BIGINT), {int(width)}L)) div {int(width)}L"))
 
 
 def union_all(*dfs: DataFrame) -> DataFrame:

@@ -101,7 +101,8 @@ def moving_range(
     """Aggregates over the rows of the last ``seconds`` up to and including the current time.
 
     Time is cut into stretches one frame long. A row is also copied into the next stretch, so each
-    window runs over one key and two stretches, never over a whole key.
+    window runs over one key and two stretches, never over a whole key. Rows without a time see each
+    other, as they do in a SQL window.
     """
     by = names(by)
     require(df, *by, ts)
@@ -110,11 +111,12 @@ def moving_range(
     rows = (
         df.withColumn("__at", F.unix_micros(F.col(ts).cast("timestamp")))
         .withColumn("__home", stretch)
-        .withColumn("__block", F.explode(F.array(F.col("__home"), F.col("__home") + 1)))
+        .withColumn("__block", F.explode(F.when(F.col("__home").isNull(), F.array(F.lit(None).cast("long"))).otherwise(
+            F.array(F.col("__home"), F.col("__home") + 1))))
     )
     frame = Window.partitionBy(*by, "__block").orderBy("__at").rangeBetween(-micros, 0)
     return (
         rows.withColumns({name: column.over(frame) for name, column in stats.items()})
-        .filter(F.col("__block") == F.col("__home"))
+        .filter(F.col("__block").eqNullSafe(F.col("__home")))
         .drop("__at", "__home", "__block")
     )

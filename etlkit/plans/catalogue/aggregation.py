@@ -8,6 +8,7 @@ from etlkit.operators import aggregates as A
 from etlkit.operators.reshape import crosstab, pivot_sum, unpivot
 from etlkit.plans.catalogue.registry import query
 from etlkit.plans.catalogue.relational import LINE_ID
+from etlkit.runtime import join_groups
 
 TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 FLAGS = ["A", "N", "R"]
@@ -150,14 +151,29 @@ def correlation(t):
     })
 
 
-@query("""
-    SELECT l_returnflag, quantile_disc(l_extendedprice, 0.25) AS q1, quantile_disc(l_extendedprice, 0.5) AS median,
-           quantile_disc(l_extendedprice, 0.75) AS q3, quantile_disc(l_extendedprice, 0.95) AS p95
-    FROM lineitem GROUP BY 1
-""")
+_SHARES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95}
+
+
+def _rank_checked(df, by, column, found, shares, accuracy):
+    """Groups with, for each approximate percentile, whether it is a value whose rank is off by at most n / accuracy + 1."""
+    rows = join_groups(df.filter(F.col(column).isNotNull()).select(*by, column), found, by)
+    counts = {}
+    for name in shares:
+        counts[f"{name}_below"] = F.count_if(F.col(column) < F.col(name))
+        counts[f"{name}_upto"] = F.count_if(F.col(column) <= F.col(name))
+    ranks = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()])
+    slack = F.col("rows") / accuracy + 1
+    ok = {n: (F.col(f"{n}_upto") > F.col(f"{n}_below")) & (F.col(f"{n}_below") <= F.col("rows") * p + slack) & (F.col(f"{n}_upto") >= F.col("rows") * p - slack)
+          for n, p in shares.items()}
+    return ranks.select(*by, "rows", *[c.alias(f"{n}_in_bounds") for n, c in ok.items()])
+
+
+@query("SELECT l_returnflag, count(*) AS rows, " + ", ".join(f"true AS {n}_in_bounds" for n in _SHARES) + " FROM lineitem GROUP BY 1")
 def approximate_percentiles(t):
-    return A.percentiles(t.lineitem, "l_returnflag", "l_extendedprice",
-                         {"q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95}, accuracy=1_000_000)
+    """Percentiles at the default accuracy, with their true ranks held against its bound."""
+    lines = t.lineitem.select("l_returnflag", "l_extendedprice")
+    found = A.percentiles(lines, "l_returnflag", "l_extendedprice", _SHARES)
+    return _rank_checked(lines, ["l_returnflag"], "l_extendedprice", found, _SHARES, 10_000)
 
 
 @query("\n UNION ALL ".join(f"""
@@ -170,9 +186,15 @@ def exact_percentiles(t):
     return out.withColumn("value", F.round("value", 4))
 
 
-@query()
+@query("SELECT l_returnflag, true AS distinct_in_bounds, true AS median_in_bounds FROM lineitem GROUP BY 1")
 def approximate_profile(t):
-    return A.approx_profile(t.lineitem, "l_returnflag", "l_partkey", "l_extendedprice")
+    """Distinct keys and median from sketches, held against exact figures: 15 % (three deviations) and rank 1 in 10,000."""
+    found = A.approx_profile(t.lineitem, "l_returnflag", "l_partkey", "l_extendedprice")
+    exact = t.lineitem.groupBy("l_returnflag").agg(F.count_distinct("l_partkey").alias("keys"))
+    lines = t.lineitem.select("l_returnflag", "l_extendedprice")
+    ranked = _rank_checked(lines, ["l_returnflag"], "l_extendedprice", found.withColumnRenamed("approx_median", "median"), {"median": 0.5}, 10_000)
+    both = found.join(exact, "l_returnflag").join(ranked, "l_returnflag")
+    return both.select("l_returnflag", (F.abs(F.col("approx_distinct") - F.col("keys")) <= 0.15 * F.col("keys") + 1).alias("distinct_in_bounds"), "median_in_bounds")
 
 
 @query("""
@@ -186,9 +208,14 @@ def id_range_totals(t):
     })
 
 
-@query()
+@query("SELECT l_returnflag, true AS in_bounds FROM lineitem GROUP BY 1")
 def sampled_total(t):
-    return A.estimate_total(t.lineitem, "l_returnflag", "l_extendedprice", ["l_orderkey"], 0.1)
+    """Totals from a tenth of the orders, within five standard errors of the true totals."""
+    found = A.estimate_total(t.lineitem, "l_returnflag", "l_extendedprice", ["l_orderkey"], 0.1)
+    per_order = t.lineitem.groupBy("l_returnflag", "l_orderkey").agg(F.sum("l_extendedprice").alias("v"))
+    exact = per_order.groupBy("l_returnflag").agg(F.sum("v").alias("total"), F.sqrt(F.sum(F.col("v") * F.col("v")) * 9).alias("error"))
+    return exact.join(found, "l_returnflag", "left").select(
+        "l_returnflag", (F.abs(F.coalesce("estimated_total", F.lit(0.0)) - F.col("total")) <= 5 * F.col("error")).alias("in_bounds"))
 
 
 @query("""
@@ -314,24 +341,32 @@ def drop_duplicate_keys(t):
     return t.events.dropDuplicates(["user_id", "event_type"]).select("user_id", "event_type")
 
 
-@query("\n UNION ALL ".join(
-    f"SELECT {q}::DOUBLE AS quantile, quantile_disc(l_extendedprice, {q}) AS value FROM lineitem" for q in (0.1, 0.5, 0.9)
-))
+@query("\n UNION ALL ".join(f"SELECT {q}::DOUBLE AS quantile, true AS in_bounds FROM lineitem HAVING count(*) > 0" for q in (0.1, 0.5, 0.9)))
 def column_quantiles(t):
-    return A.quantiles(t.lineitem, "l_extendedprice", [0.1, 0.5, 0.9], error=0.000001)
+    """Quantiles at an error of 1 in 10,000, with their true ranks held against it."""
+    found = A.quantiles(t.lineitem, "l_extendedprice", [0.1, 0.5, 0.9], error=0.0001)
+    # Three rows, so every price is compared with three numbers where it is read.
+    known = found.agg(F.map_from_entries(F.collect_list(F.struct("quantile", "value"))).alias("known"))
+    prices = t.lineitem.select("l_extendedprice", F.explode(known.scalar()).alias("quantile", "value"))
+    ranks = prices.groupBy("quantile").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_extendedprice") < F.col("value")).alias("below"),
+        F.count_if(F.col("l_extendedprice") <= F.col("value")).alias("upto"))
+    slack = F.col("n") * 0.0001 + 1
+    at = F.col("n") * F.col("quantile")
+    return ranks.select("quantile", ((F.col("upto") > F.col("below")) & (F.col("below") <= at + slack) & (F.col("upto") >= at - slack)).alias("in_bounds"))
 
 
 def _pivoted(t):
-    lines = t.lineitem.select("l_linestatus", "l_returnflag", "l_extendedprice", "l_linenumber").filter(
-        ~((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A"))
-    )
+    """One pair of status and flag has no price, so that its cell is empty."""
+    priced = F.when(~((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "A")), F.col("l_extendedprice"))
+    lines = t.lineitem.select("l_linestatus", "l_returnflag", priced.alias("l_extendedprice"))
     return pivot_sum(lines, "l_linestatus", "l_returnflag", "l_extendedprice", FLAGS)
 
 
 _PIVOT_SQL = """
-    SELECT l_linestatus, {columns} FROM lineitem WHERE NOT (l_linestatus = 'O' AND l_returnflag = 'A') GROUP BY 1
+    SELECT l_linestatus, {columns} FROM lineitem GROUP BY 1
 """.format(columns=", ".join(
-    f"round(sum(CASE WHEN l_returnflag = '{f}' THEN l_extendedprice END), 2) AS \"{f}\"" for f in FLAGS
+    f"round(sum(CASE WHEN l_returnflag = '{f}' AND NOT (l_linestatus = 'O' AND l_returnflag = 'A') THEN l_extendedprice END), 2) AS \"{f}\"" for f in FLAGS
 ))
 
 

@@ -100,21 +100,21 @@ _IQR_SQL = """
 
 @query(_IQR_SQL.format(key="event_id") + """
     FROM (SELECT event_id, value AS v FROM events),
-         (SELECT quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events)
+         (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
 """)
 def outliers(t):
-    out = Q.iqr_outliers(t.events.select("event_id", "value"), "value", accuracy=1_000_000)
+    out = Q.iqr_outliers(t.events.select("event_id", "value"), "value", exact=True)
     return out.select("event_id", "is_outlier", F.round("capped", 4).alias("capped"))
 
 
 @query(_IQR_SQL.format(key="event_id") + """
     FROM (SELECT event_id, event_type, value AS v FROM events) JOIN
-         (SELECT event_type, quantile_disc(value, 0.25) AS q1, quantile_disc(value, 0.75) AS q3 FROM events GROUP BY 1)
+         (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)
          USING (event_type)
 """)
 def outliers_by_group(t):
     rows = t.events.select("event_id", "event_type", "value")
-    out = Q.iqr_outliers_by_group(rows, "event_type", "value", accuracy=1_000_000)
+    out = Q.iqr_outliers_by_group(rows, "event_type", "value", exact=True)
     return out.select("event_id", "is_outlier", F.round("capped", 4).alias("capped"))
 
 
@@ -277,19 +277,29 @@ def partition_value_report(t):
     return out.withColumns({"avg_rows": F.round("avg_rows", 6), "small_share": F.round(F.col("small_share").cast("double"), 6)})
 
 
-@query()
+@query("SELECT count(*) AS rows, true AS nonempty, true AS once FROM lineitem")
 def partition_size_list(t):
-    return L.partition_sizes(t.lineitem.select("l_orderkey").repartition(16, "l_orderkey"))
+    """Partitions of the scan as it is: their sizes add up to the table, each is listed once and holds rows."""
+    sizes = L.partition_sizes(t.lineitem.select("l_orderkey"))
+    return sizes.agg(F.sum("rows").alias("rows"), F.every(F.col("rows") > 0).alias("nonempty"), (F.count_distinct("partition") == F.count(F.lit(1))).alias("once"))
 
 
-@query()
+@query("SELECT count(*) AS total_rows, greatest(1, count(*) // 100000) AS recommended_partitions, true AS consistent FROM lineitem")
 def partition_balance(t):
-    return L.balance(t.lineitem.select("l_suppkey").repartition(16, "l_suppkey"))
+    """Balance of the scan as it is: extremes, average, score and skew agree with each other."""
+    b = L.balance(t.lineitem.select("l_suppkey"))
+    agree = (F.col("min_rows") <= F.col("avg_rows")) & (F.col("avg_rows") <= F.col("max_rows")) & (
+        F.abs(F.col("avg_rows") * F.col("partitions") - F.col("total_rows")) < 0.5) & (
+        F.col("balance_score") == F.round(F.col("min_rows") * 100.0 / F.col("max_rows"), 2)) & (F.col("skew_ratio") >= 1)
+    return b.select("total_rows", "recommended_partitions", agree.alias("consistent"))
 
 
-@query()
+@query("SELECT count(*) AS rows, true AS in_range, true AS consistent FROM orders")
 def bucket_size_report(t):
-    return L.bucket_sizes(t.orders, ["o_custkey"], 16)
+    """Buckets that Spark's own bucketing would fill: they add up to the table and the ratio fits the sizes."""
+    b = L.bucket_sizes(t.orders, ["o_custkey"], 16)
+    ratio = F.max("rows") / F.avg("rows")
+    return b.agg(F.sum("rows").alias("rows"), F.every(F.col("bucket").between(0, 15)).alias("in_range"), (F.abs(F.max("skew_ratio") - ratio) < 1e-9).alias("consistent"))
 
 
 # Four keys (three of 8 bytes, one of 4), four doubles, two strings of 20 and a timestamp.

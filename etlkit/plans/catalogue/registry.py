@@ -12,6 +12,8 @@ class Tables:
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path.rstrip("/")
+        # Files in a micro-batch of a stream over a table; all there are, unless set.
+        self.stream_files: int | None = None
         self._frames: dict[str, DataFrame] = {}
 
     def file(self, name: str) -> str:

@@ -13,7 +13,7 @@ from etlkit.operators.relational import (
     with_slice, with_tier,
 )
 from etlkit.plans.catalogue.registry import query
-from etlkit.runtime import shared_dir
+from etlkit.runtime import plan_bytes, scratch_table, shared_dir
 from etlkit.sinks.files import write_bucketed
 from etlkit.sources.files import read_files
 from etlkit.streaming.events import enrich, fraud_scores, high_value_alerts
@@ -145,14 +145,32 @@ def rename_drop_cast(t):
     )
 
 
-@query()
+_SAMPLE_SQL = "SELECT count(*) AS rows, true AS all_from_table, true AS size_in_bounds FROM orders"
+
+
+def _sample_checked(t, kept, unit):
+    """A tenth of the orders held against the table: every kept row is one of it, and their number is in five deviations."""
+    inside = t.orders.select("o_orderkey", F.col(unit).alias("u"), F.lit(1).alias("whole")).join(
+        kept.select("o_orderkey", F.lit(1).alias("kept")), "o_orderkey", "full")
+    per_unit = inside.groupBy("u").agg(F.count("whole").alias("n"), F.count("kept").alias("k"), F.count_if(F.col("whole").isNull()).alias("alien"))
+    bound = 5 * F.sqrt(0.1 * 0.9 * F.sum(F.col("n") * F.col("n"))) + 1
+    return per_unit.agg(
+        F.sum("n").alias("rows"), (F.sum("alien") == 0).alias("all_from_table"), (F.abs(F.sum("k") - 0.1 * F.sum("n")) <= bound).alias("size_in_bounds"))
+
+
+@query(_SAMPLE_SQL)
 def bernoulli_sample(t):
-    return sample(t.orders, 0.1, seed=7).select("o_orderkey", "o_totalprice")
+    return _sample_checked(t, sample(t.orders, 0.1, seed=7), "o_orderkey")
 
 
-@query()
+@query(_SAMPLE_SQL.replace(" FROM", ", true AS keys_whole FROM"))
 def hash_sample(t):
-    return sample_by_key(t.orders, "o_custkey", 0.1).select("o_orderkey", "o_custkey")
+    """The sample takes or leaves all orders of a customer."""
+    kept = sample_by_key(t.orders, "o_custkey", 0.1)
+    per_key = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")).join(
+        kept.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k")), "o_custkey")
+    whole = per_key.agg(F.coalesce(F.every(F.col("n") == F.col("k")), F.lit(True)).alias("keys_whole"))
+    return _sample_checked(t, kept, "o_custkey").withColumn("keys_whole", whole.scalar())
 
 
 @query("\n UNION ALL ".join(f"""
@@ -256,13 +274,16 @@ def join_size_adaptive(t):
 
 @query(_ORDER_JOIN_SQL)
 def join_bucketed(t):
+    """Both tables bucketed alike; ``clear_scratch`` drops them."""
     lines, orders = _lines_and_orders(t)
+    # A bucket for every 128 MB of the larger side, and at least one for each core.
+    buckets = max(t.spark.sparkContext.defaultParallelism, -(-plan_bytes(lines) // (128 * 1024 * 1024)))
     base = shared_dir(t.spark, "buckets")
     tag = base.rsplit("-", 1)[1]
     tables = []
     for name, df in (("lines", lines), ("orders", orders)):
-        tables.append(f"etlkit_{name}_{tag}")
-        write_bucketed(df, tables[-1], "l_orderkey", 8, sort_by="l_orderkey", path=f"{base}/{name}")
+        tables.append(scratch_table(f"etlkit_{name}_{tag}"))
+        write_bucketed(df, tables[-1], "l_orderkey", buckets, sort_by="l_orderkey", path=f"{base}/{name}")
     return bucketed_join(t.spark, *tables, "l_orderkey")
 
 

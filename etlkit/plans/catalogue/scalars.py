@@ -7,7 +7,6 @@ from pyspark.sql import types as T
 
 from etlkit import functions as fn
 from etlkit.plans.catalogue.registry import query
-from etlkit.runtime import spread
 from etlkit.streaming.inputs import parse_envelope
 from etlkit.streaming.sinks import to_kafka_value
 
@@ -16,7 +15,7 @@ _CLEAN_SQL = r"trim(regexp_replace(lower(regexp_replace(text, '[^a-zA-Z0-9\s]',
 
 def _documents(t):
     """Whole texts; regular expressions over them are the work, so all cores should share it."""
-    return spread(t.documents.select("doc_id", "text"))
+    return t.documents.select("doc_id", "text")
 
 
 @query(f"SELECT doc_id, {_CLEAN_SQL} AS cleaned FROM documents")
@@ -50,9 +49,11 @@ def string_basics(t):
     )
 
 
-@query()
+@query("SELECT doc_id, true AS same_for_copies FROM documents")
 def murmur_hash(t):
-    return t.documents.select("doc_id", F.hash("text").alias("text_hash"))
+    """Hashes of texts: a copy of a text, made by splitting and joining it, has the same hash."""
+    copy = F.concat(F.substring("text", 1, 7), F.expr("substring(text, 8)"))
+    return t.documents.select("doc_id", ((F.hash("text") == F.hash(copy)) & (F.hash("text") != F.hash(F.concat("text", F.lit("x"))))).alias("same_for_copies"))
 
 
 @query("SELECT doc_id, base64(encode(text)) AS text_base64, md5(text) AS text_md5 FROM documents")
@@ -258,10 +259,13 @@ def math_functions(t):
     )
 
 
-@query()
+@query("SELECT l_returnflag, count(*) AS rows, 8::BIGINT AS salts, true AS even FROM lineitem GROUP BY 1")
 def row_salts(t):
+    """Rows of a flag spread over all eight salts, none with half as many again as its share."""
     keys = [F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
-    return t.lineitem.groupBy("l_returnflag", fn.salt(keys, 8).alias("salt")).agg(F.count(F.lit(1)).alias("rows"))
+    salted = t.lineitem.groupBy("l_returnflag", fn.salt(keys, 8).alias("salt")).agg(F.count(F.lit(1)).alias("n"))
+    return salted.groupBy("l_returnflag").agg(
+        F.sum("n").alias("rows"), F.count_if(F.col("salt").between(0, 7)).alias("salts"), (F.max("n") * 8 <= 1.5 * F.sum("n")).alias("even"))
 
 
 @query("""
@@ -377,7 +381,7 @@ def nested_json_to_rows(t):
         orders.alias("orders"),
     )
     parsed = fn.parse_json(F.to_json(document), fn.CUSTOMER_SCHEMA)
-    return fn.flatten_nested(spread(t.conversations).select(parsed.alias("customer_data")))
+    return fn.flatten_nested(t.conversations.select(parsed.alias("customer_data")))
 
 
 @query("""

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from etlkit.operators.joins import interval_join
 from etlkit.plans.catalogue.registry import query
 from etlkit.plans.catalogue.relational import _INTERVAL_SQL, _two_event_sides
-from etlkit.runtime import plan_bytes, shared_dir
+from etlkit.runtime import shared_dir
 from etlkit.streaming import events as E
-from etlkit.streaming.inputs import file_source, with_event_time
-from etlkit.streaming.sinks import run_to_table, sized_state_partitions, start_file_sink
+from etlkit.streaming.inputs import file_source, flushed_source, with_event_time
+from etlkit.streaming.sinks import run_to_table, start_file_sink
 
 _SLIDES_SQL = """
     SELECT s AS window_start, s + INTERVAL 5 MINUTE AS window_end, event_type, round(sum(value), 4) AS total_amount,
@@ -52,15 +52,23 @@ _LATE_SQL = """
 _LATE_NOW = "2024-01-15 12:45:00"
 
 
-def _stream(t, delay="10 minutes"):
-    """The events table as a stream with event time, whether stored as one file or a folder."""
-    sdf = file_source(t.spark, t.file("events") + "*", t.events.schema, max_files=1000)
-    return with_event_time(sdf, "ts", delay)
+def _delay(t):
+    """A watermark delay that no event of the table can exceed, in whatever order its files come."""
+    first, last = t.events.agg(F.unix_seconds(F.min("ts").cast("timestamp")), F.unix_seconds(F.max("ts").cast("timestamp"))).first()
+    return f"{(last or 0) - (first or 0) + 1} seconds"
 
 
-def _written(t, sdf, label, mode="append", keys=()):
-    """What the stream writes, with state partitions to suit the size of the table."""
-    return run_to_table(sdf, label, mode, keys, sized_state_partitions(t.spark, plan_bytes(t.events)))
+def _raw(t):
+    """The events table as a stream, whether stored as one file or a folder."""
+    return file_source(t.spark, t.file("events") + "*", t.events.schema, max_files=t.stream_files)
+
+
+def _stream(t):
+    return with_event_time(_raw(t), "ts", _delay(t))
+
+
+def _written(t, sdf, label, mode="append", keys=(), flush=None):
+    return run_to_table(sdf, label, mode, keys, flush)
 
 
 def _shape(df, digits):
@@ -102,8 +110,10 @@ def session_window_stats(t):
 
 @query(_SESSIONS_SQL)
 def stream_session_window_stats(t):
-    sdf = E.session_stats(_stream(t), "ts", "user_id", "value", "30 minutes")
-    return _shape(_written(t, sdf, "sessions", "complete"), {"total_amount": 4})
+    """A closed session is written once and leaves the state; the last ones close by the flush."""
+    raw, flush = flushed_source(_raw(t), "ts", shared_dir(t.spark, "flush"))
+    sdf = E.session_stats(with_event_time(raw, "ts", _delay(t)), "ts", "user_id", "value", "30 minutes")
+    return _shape(_written(t, sdf, "sessions", flush=flush), {"total_amount": 4})
 
 
 @query(_ALERTS_SQL)
@@ -177,10 +187,9 @@ def stream_enriched(t):
 
 def _stream_sides(t):
     """Two streams over the events, each with its own watermark so that both sides' state is bounded."""
-    left, _ = _two_event_sides(_stream(t, "5 minutes"))
-    raw = file_source(t.spark, t.file("events") + "*", t.events.schema, max_files=1000)
-    _, right = _two_event_sides(raw)
-    return left, with_event_time(right, "other_ts", "5 minutes")
+    left, _ = _two_event_sides(_stream(t))
+    _, right = _two_event_sides(_raw(t))
+    return left, with_event_time(right, "other_ts", _delay(t))
 
 
 @query(_INTERVAL_SQL.format(how=""))
@@ -190,20 +199,24 @@ def stream_interval_join(t):
     return _written(t, out.drop("ts", "other_ts"), "interval")
 
 
-@query()
+@query(_INTERVAL_SQL.format(how="LEFT"))
 def stream_interval_join_left(t):
-    """Rows without a match appear once the watermark has passed, so the last ones stay open."""
-    left, right = _stream_sides(t)
-    out = interval_join(left, right, "user_id", "ts", "other_ts", 120, 120, "left")
-    return _written(t, out.drop("ts", "other_ts"), "interval-left")
+    """Rows without a match appear once the watermark has passed; the flush lets it pass the last ones."""
+    sides, flushes = [], []
+    for k in (0, 1):
+        raw, flush = flushed_source(_raw(t), "ts", shared_dir(t.spark, "flush"))
+        side = _two_event_sides(raw)[k]
+        sides.append(with_event_time(side, ("ts", "other_ts")[k], _delay(t)))
+        flushes.append(flush)
+    out = interval_join(*sides, "user_id", "ts", "other_ts", 120, 120, "left")
+    return _written(t, out.drop("ts", "other_ts"), "interval-left", flush=lambda: [flush() for flush in flushes])
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_file_sink(t):
     """File source to a partitioned file sink and back."""
-    sdf = file_source(t.spark, t.file("events") + "*", t.events.schema, max_files=1000)
     base = shared_dir(t.spark, "stream-files")
-    start_file_sink(sdf, f"{base}/rows", f"{base}/checkpoint", "event_type", trigger={"availableNow": True}).awaitTermination()
+    start_file_sink(_raw(t), f"{base}/rows", f"{base}/checkpoint", "event_type", trigger={"availableNow": True}).awaitTermination()
     return t.spark.read.schema(t.events.schema).parquet(f"{base}/rows")
 
 

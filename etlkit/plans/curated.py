@@ -126,24 +126,27 @@ def transaction_rules(as_of: Column) -> dict[str, Column]:
     }
 
 
-def load_table(name: str, df: DataFrame, target: str, files_mb: int = 128) -> str:
-    """Write one curated table under ``target``; the fact is partitioned by year and month."""
+def load_table(name: str, df: DataFrame, target: str, files_mb: int = 128, increment: bool = False) -> str:
+    """Write one curated table under ``target``; the fact is partitioned by year and month.
+
+    A full load replaces the whole table. An ``increment`` of the fact replaces only the months it holds.
+    """
     path = f"{target.rstrip('/')}/{name}"
     if name == "fact_sales":
-        write_partitioned(df, ["year", "month"], path=path)
+        write_partitioned(df, ["year", "month"], path=path, dynamic=increment)
     else:
         write_sized(df, path, target_mb=files_mb, mode="overwrite")
     return path
 
 
-def load_curated(curated: Curated, target: str, files_mb: int = 128) -> None:
+def load_curated(curated: Curated, target: str, files_mb: int = 128, increment: bool = False) -> None:
     """Write all curated tables. The summary is computed from the fact as written."""
     spark = curated.fact_sales.sparkSession
     for item in fields(curated):
         df = getattr(curated, item.name)
         if item.name == "agg_sales_summary":
             df = sales_summary(spark.read.parquet(f"{target.rstrip('/')}/fact_sales"))
-        load_table(item.name, df, target, files_mb)
+        load_table(item.name, df, target, files_mb, increment)
 
 
 @dataclass(frozen=True)

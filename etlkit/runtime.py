@@ -30,22 +30,53 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
-    """Hint a broadcast when the estimate is under ``limit``; otherwise leave the choice to AQE."""
-    return F.broadcast(df) if plan_bytes(df) <= limit else df
+# Nodes that give at most the rows of what is below them, with columns as they are.
+_PLAIN_NODES = ("Relation", "LogicalRelation", "LocalRelation", "LogicalRDD", "Range", "Filter", "SubqueryAlias", "GlobalLimit", "LocalLimit", "Sample", "Distinct")
+
+
+def _plain_output(node) -> bool:
+    """Whether every output column is a column of the input, or a number, date or flag made from it."""
+    expressions = node.output()
+    known = {str(c) for child in _children(node) for c in _items(child.output())}
+    fixed = ("int", "bigint", "smallint", "tinyint", "double", "float", "boolean", "date", "timestamp", "timestamp_ntz")
+    return all(str(c) in known or c.dataType().catalogString() in fixed for c in _items(expressions))
+
+
+def _items(seq) -> list:
+    return [seq.apply(i) for i in range(seq.length())]
 
 
-def spread(df: DataFrame, mb_per_core: int = 8) -> DataFrame:
-    """Use every core on a small scan that is stored as a few splits.
+def _children(node) -> list:
+    return _items(node.children())
 
-    Meant for costly row-wise work on a freshly read table. A table with a split per core, or one
-    too large to be worth moving, is left as it is.
+
+def estimate_holds(df: DataFrame) -> bool:
+    """Whether the optimizer's size of a frame bounds its real size, up to compression.
+
+    True for scans, filters, limits and projections or aggregations that build no long values. A
+    plan that explodes rows, joins, or builds strings, arrays or structs can be any size.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if plan_bytes(df) > cores * mb_per_core * 1024 * 1024:
-        return df
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    def holds(node) -> bool:
+        name = node.nodeName().split(" ")[0]
+        plain = name in _PLAIN_NODES or (name in ("Project", "Aggregate") and _plain_output(node))
+        return plain and all(holds(child) for child in _children(node))
+
+    return holds(df._jdf.queryExecution().optimizedPlan())
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> bool:
+    return plan_bytes(df) <= limit and estimate_holds(df)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Hint a broadcast when a size under ``limit`` is known.
+
+    Otherwise AQE decides on measured bytes, except where Spark would trust a low estimate that does
+    not hold before it has measured anything: such a frame joins by a shuffle, right at any size.
+    """
+    if plan_bytes(df) <= limit:
+        return F.broadcast(df) if estimate_holds(df) else df.hint("merge")
+    return df
 
 
 def all_of(conditions: Sequence[Column]) -> Column:
@@ -63,6 +94,10 @@ def join_groups(detail: DataFrame, groups: DataFrame, keys: Sequence[str], how:
     return detail.join(right, on, how).drop(*[f"__{k}" for k in keys])
 
 
+# Folders and tables made by this process for results that are read back.
+_SCRATCH: dict[str, list[str]] = {"folders": [], "tables": []}
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the folder named by ``spark.checkpoint.dir``.
 
@@ -73,4 +108,24 @@ def shared_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
         base = tempfile.mkdtemp(prefix="etlkit-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _SCRATCH["folders"].append(path)
+    return path
+
+
+def scratch_table(name: str) -> str:
+    """Note a catalog table for ``clear_scratch``."""
+    _SCRATCH["tables"].append(name)
+    return name
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Drop the scratch tables and folders that this process made; frames read from them end with it."""
+    tables, folders = _SCRATCH["tables"], _SCRATCH["folders"]
+    done = len(tables) + len(folders)
+    while tables:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": tables.pop()})
+    while folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folders.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return done

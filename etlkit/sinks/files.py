@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.readwriter import DataFrameWriter
 
-from etlkit.runtime import names, require
+from etlkit.operators.ordered import search_tree
+from etlkit.runtime import names, require, shared_dir
 
 MB = 1024 * 1024
 CODECS = ("snappy", "gzip", "lz4", "zstd")
@@ -75,43 +76,42 @@ def write_formats(
     return sizes
 
 
-def row_bytes(schema: T.StructType) -> int:
-    """Planned bytes per row, from the column types."""
-    return sum(_type_bytes(field.dataType) for field in schema.fields)
-
-
-def _type_bytes(kind: T.DataType) -> int:
-    if isinstance(kind, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(kind, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(kind, T.StructType):
-        return sum(_type_bytes(f.dataType) for f in kind.fields)
-    return 1 if isinstance(kind, T.BooleanType) else 20
+def written_row_bytes(df: DataFrame, fmt: str = "parquet", codec: str | None = None, rows: int = 20_000) -> float:
+    """Bytes a row takes in files of a format, from at most ``rows`` rows written to a scratch folder."""
+    path = shared_dir(df.sparkSession, "row-size")
+    sample = df.limit(rows)
+    write_files(sample, path, fmt, codec)
+    n = df.sparkSession.read.format(fmt).load(path).count()
+    return stored_bytes(df.sparkSession, path) / n if n else 1.0
 
 
 def write_sized(
     df: DataFrame, path: str, fmt: str = "parquet", codec: str | None = None,
     target_rows: int | None = None, target_mb: int | None = None, mode: str = "errorifexists",
 ) -> None:
-    """Even files of a target size without counting first.
+    """Even files of a target size.
 
-    AQE rebalances partitions by measured bytes (splitting large ones, merging small ones) and
-    the writer starts a new file at the row limit.
+    With ``target_rows`` AQE rebalances partitions by measured bytes and the writer starts a new file
+    at the row limit. With ``target_mb`` the bytes a row takes are measured on a written sample, rows
+    are counted, and as many even partitions are made as there are to be files, whatever the
+    session's advisory size.
     """
     if (target_rows is None) == (target_mb is None):
         raise ValueError("give either target_rows or target_mb")
-    rows = target_rows or max(1, target_mb * MB // max(1, row_bytes(df.schema)))
-    writer = _writer(df.hint("rebalance"), fmt, codec or FORMATS.get(fmt), mode)
-    writer.option("maxRecordsPerFile", rows).save(path)
+    if target_rows:
+        writer = _writer(df.hint("rebalance"), fmt, codec or FORMATS.get(fmt), mode)
+        writer.option("maxRecordsPerFile", target_rows).save(path)
+        return
+    files = max(1, round(df.count() * written_row_bytes(df, fmt, codec) / (target_mb * MB)))
+    _writer(df.repartition(files), fmt, codec or FORMATS.get(fmt), mode).save(path)
 
 
 def write_partitioned(
     df: DataFrame, by: str | Sequence[str], path: str | None = None, table: str | None = None,
     fmt: str = "parquet", codec: str | None = None, mode: str = "overwrite",
-    max_rows_per_file: int = 10_000_000,
+    max_rows_per_file: int = 10_000_000, dynamic: bool = True,
 ) -> None:
-    """Partitioned files or table. Overwriting replaces only the partitions present in ``df``.
+    """Partitioned files or table. A ``dynamic`` overwrite replaces only the partitions present in ``df``.
 
     Rows of one partition value meet in few tasks, but a large value is split over several.
     """
@@ -121,7 +121,7 @@ def write_partitioned(
         raise ValueError("give either path or table")
     writer = (
         _writer(df.hint("rebalance", *by), fmt, codec or FORMATS.get(fmt), mode)
-        .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", max_rows_per_file)
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static").option("maxRecordsPerFile", max_rows_per_file)
     )
     if path:
         writer.partitionBy(*by).save(path)
@@ -129,8 +129,8 @@ def write_partitioned(
         # Replace partitions of an existing table instead of dropping it.
         order = df.sparkSession.table(table).columns
         df.select(*order).hint("rebalance", *by).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(table)
+            "partitionOverwriteMode", "dynamic" if dynamic else "static"
+        ).option("maxRecordsPerFile", max_rows_per_file).insertInto(table)
     else:
         writer.partitionBy(*by).saveAsTable(table)
 
@@ -179,16 +179,6 @@ def write_table(
     return full
 
 
-def _search_tree(value: Column, bounds: Sequence[float], low: int, high: int) -> Column:
-    """How many of ``bounds[low:high]`` are below ``value``, plus ``low``, by binary search."""
-    if low == high:
-        return F.lit(low)
-    middle = (low + high) // 2
-    return F.when(value > F.lit(bounds[middle]), _search_tree(value, bounds, middle + 1, high)).otherwise(
-        _search_tree(value, bounds, low, middle)
-    )
-
-
 def z_value(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
     """Interleaved bits of each column's quantile bucket.
 
@@ -205,7 +195,7 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int) -> Column:
     z = F.lit(0).cast("long")
     for j, c in enumerate(columns):
         bounds = sorted(set(row[c] or []))
-        rank = _search_tree(numbers[c], bounds, 0, len(bounds)).cast("long")
+        rank = search_tree(numbers[c], bounds, 0, len(bounds)).cast("long")
         for i in range(bits):
             bit = F.shiftright(rank, i).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(bit, i * len(columns) + j))

@@ -34,13 +34,15 @@ def sliding_stats(
     totals = [F.sum(amount).alias("total_amount"), F.count(F.lit(1)).alias("transaction_count")]
     if unique and exact:
         # One row per value and window first: no task or state row ever holds a set of values.
-        fine = sdf.filter(F.col(unique).isNotNull()).groupBy(at.alias("window"), *by, unique).agg(*totals)
+        # Rows without a value stay in the totals and are no value of their own.
+        fine = sdf.groupBy(at.alias("window"), *by, F.col(unique).alias("__unique")).agg(*totals, F.count(amount).alias("__amounts"))
         coarse = fine.groupBy("window", *by).agg(
             F.sum("total_amount").alias("total_amount"),
             F.sum("transaction_count").alias("transaction_count"),
-            F.count(F.lit(1)).alias("unique_values"),
+            F.count("__unique").alias("unique_values"),
+            F.sum("__amounts").alias("__amounts"),
         )
-        return _ends(coarse.withColumn("avg_amount", F.try_divide("total_amount", "transaction_count")))
+        return _ends(coarse.withColumn("avg_amount", F.try_divide("total_amount", "__amounts")).drop("__amounts"))
     extra = [F.approx_count_distinct(unique).alias("unique_values")] if unique else []
     out = sdf.groupBy(at.alias("window"), *by).agg(*totals, F.avg(amount).alias("avg_amount"), *extra)
     return _ends(out)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +18,8 @@ TRANSACTION_SCHEMA = T.StructType([
     T.StructField("transaction_time", T.StringType()),
     T.StructField("category", T.StringType()),
 ])
-# Consumer defaults.
-KAFKA_OPTIONS = {
+# A preset that starts at new records and passes over lost ones. Ask for it by name.
+KAFKA_LATEST_LOSSY = {
     "startingOffsets": "latest",
     "maxOffsetsPerTrigger": "100000",
     "kafka.consumer.session.timeout.ms": "30000",
@@ -26,14 +28,18 @@ KAFKA_OPTIONS = {
 }
 
 
-def kafka_options(servers: str, topics: str, **overrides: str) -> dict[str, str]:
+# All records from the first on; a lost offset is an error.
+KAFKA_COMPLETE = {"startingOffsets": "earliest", "failOnDataLoss": "true"}
+
+
+def kafka_options(servers: str, topics: str, preset: Mapping[str, str] = KAFKA_COMPLETE, **overrides: str) -> dict[str, str]:
     base = {"kafka.bootstrap.servers": servers, "subscribe": topics}
-    return base | KAFKA_OPTIONS | {k: str(v) for k, v in overrides.items()}
+    return base | dict(preset) | {k: str(v) for k, v in overrides.items()}
 
 
-def kafka_source(spark: SparkSession, servers: str, topics: str, **overrides: str) -> DataFrame:
+def kafka_source(spark: SparkSession, servers: str, topics: str, preset: Mapping[str, str] = KAFKA_COMPLETE, **overrides: str) -> DataFrame:
     """Subscribe to topics. Needs Spark's Kafka package on the class path."""
-    return spark.readStream.format("kafka").options(**kafka_options(servers, topics, **overrides)).load()
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topics, preset, **overrides)).load()
 
 
 def file_source(
@@ -51,6 +57,22 @@ def file_source(
     return reader.load(path)
 
 
+def flushed_source(source: DataFrame, ts: str, folder: str) -> tuple[DataFrame, Callable[[], None]]:
+    """A stream with a second, empty source, and a call that puts one row of the year 9000 in it.
+
+    That row, null but for its time, moves the watermark past everything that came before, so that a
+    stream that has ended can emit its open windows. Its own window never closes.
+    """
+    spark = source.sparkSession
+    spark.createDataFrame([], source.schema).write.parquet(folder)
+    last = [F.lit("9000-01-01 00:00:00").cast(f.dataType).alias(f.name) if f.name == ts else F.lit(None).cast(f.dataType).alias(f.name) for f in source.schema]
+
+    def flush() -> None:
+        spark.range(1).select(*last).write.mode("append").parquet(folder)
+
+    return source.unionByName(file_source(spark, folder, source.schema)), flush
+
+
 def parse_envelope(df: DataFrame, schema: T.StructType = TRANSACTION_SCHEMA) -> DataFrame:
     """Key and JSON value of messages to typed columns, next to topic, partition, offset, timestamp."""
     require(df, "key", "value", "topic", "partition", "offset", "timestamp")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,56 +83,55 @@ def start_batch_sink(
     return with_trigger(writer.outputMode(_mode(mode)), trigger).start()
 
 
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
-    """Start stateful queries with ``n`` state partitions, which a checkpoint then keeps for good.
+def rows_dropped(query: StreamingQuery) -> int:
+    """Rows that a finished query left out because they came later than the watermark allows.
 
-    Queries copy the session's settings when they start, so the setting is put back at once.
+    Spark remembers a bounded number of batches; a run of more than these cannot be vouched for.
     """
-    if n is None:
-        yield
-        return
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", n)
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
-def sized_state_partitions(spark: SparkSession, input_bytes: int, mb: int = 32) -> int:
-    """One state partition per ``mb`` of input, at least one per core, never more than the session's."""
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(spark.sparkContext.defaultParallelism, -(-input_bytes // (mb * 1024 * 1024))))
+    seen = query.recentProgress
+    if seen and seen[-1]["batchId"] - seen[0]["batchId"] > len({p["batchId"] for p in seen}) - 1 or len(seen) >= int(
+        SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates", "100")
+    ):
+        raise RuntimeError("batches are missing from the progress; raise spark.sql.streaming.numRecentProgressUpdates")
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in seen for op in p.get("stateOperators", []))
 
 
 def run_to_table(
-    sdf: DataFrame, label: str, mode: str = "append", keys: Sequence[str] = (), partitions: int | None = None
+    sdf: DataFrame, label: str, mode: str = "append", keys: Sequence[str] = (), flush: Callable[[], None] | None = None,
+    allow_late: bool = False,
 ) -> DataFrame:
     """Process all available input and return the written result as a batch frame.
 
     Append mode uses the file sink. Otherwise each batch replaces its own folder: in update mode
     the latest version of every key is read back, in complete mode the last folder. Nothing passes
-    through the driver.
+    through the driver. ``flush`` is called when all input is processed and adds a row so late that
+    every open window closes; the query then goes on to emit what was open. Rows dropped as late are
+    an error unless ``allow_late`` asks for them to be left out.
     """
     spark = sdf.sparkSession
     base = shared_dir(spark, f"stream-{label}")
     out, ckpt = f"{base}/rows", f"{base}/checkpoint"
     now = {"availableNow": True}
-    if mode == "append":
-        with state_partitions(spark, partitions):
-            query = start_file_sink(sdf, out, ckpt, trigger=now)
-        query.awaitTermination()
-        return spark.read.schema(sdf.schema).parquet(out)
     if _mode(mode) == "update" and not keys:
         raise ValueError("update mode needs keys")
 
     def replace(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    with state_partitions(spark, partitions):
-        query = start_batch_sink(sdf, replace, ckpt, mode, now)
-    query.awaitTermination()
+    def run() -> StreamingQuery:
+        query = start_file_sink(sdf, out, ckpt, trigger=now) if mode == "append" else start_batch_sink(sdf, replace, ckpt, mode, now)
+        query.awaitTermination()
+        dropped = rows_dropped(query)
+        if dropped and not allow_late:
+            raise RuntimeError(f"{dropped} rows came later than the watermark allows; give the stream a longer delay")
+        return query
+
+    query = run()
+    if flush:
+        flush()
+        query = run()
+    if mode == "append":
+        return spark.read.schema(sdf.schema).parquet(out)
     if mode == "complete":
         last = query.lastProgress["batchId"]
         return spark.read.schema(sdf.schema).parquet(f"{out}/batch={last}")

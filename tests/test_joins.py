@@ -21,13 +21,13 @@ def sides(spark):
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_split_hot_keys_changes_nothing(sides, how):
     left, right = sides
-    ours = J.copartitioned_join(left, right, "k", ["id"], n=5, how=how, salts=4, share=0.1)
+    ours = J.copartitioned_join(left, right, "k", ["id"], n=5, how=how, share=0.1, rows_per_salt=5)
     assert rows(ours.na.fill("-").na.fill(-1)) == rows(left.join(right, "k", how).select(ours.columns).na.fill("-").na.fill(-1))
 
 
 def test_hot_keys_are_few(sides):
     hot = J.hot_keys(sides[0], "k", 0.1)
-    assert rows(hot) == [(7,)]
+    assert list(hot) == [7]
     with pytest.raises(ValueError):
         J.hot_keys(sides[0], "k", 0)
     with pytest.raises(ValueError):
@@ -39,8 +39,7 @@ def test_broadcast_needs_a_small_side(sides):
     assert "BroadcastHashJoin" in executed_plan(J.join_dim(left, right, "k"))
     big = left.sparkSession.range(10_000_000).select(F.col("id").cast("int").alias("k"), F.lit("x").alias("name"))
     assert plan_bytes(big) > 1024
-    with pytest.raises(ValueError, match="over"):
-        J.join_with(left, big, "k", "broadcast", limit=1024)
+    assert "SortMergeJoin" in J.join_with(left, big, "k", "broadcast", limit=1024)._jdf.queryExecution().executedPlan().toString()
     with pytest.raises(ValueError, match="strategy"):
         J.join_with(left, right, "k", "shuffle_replicate_nl")
     assert "SortMergeJoin" in J.join_with(left, right, "k", "merge")._jdf.queryExecution().executedPlan().toString()

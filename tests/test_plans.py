@@ -11,7 +11,7 @@ from etlkit.operators import joins as J
 from etlkit.operators import relational as R
 from etlkit.operators import windows as W
 from etlkit.plans.catalogue import QUERIES
-from etlkit.runtime import spread
+from etlkit.runtime import estimate_holds, plan_bytes
 
 
 def exchanges(plan):
@@ -78,17 +78,29 @@ def test_semi_and_anti_joins(spark, data):
 
 
 def test_copartitioned_join_spreads_hot_keys(spark, table):
-    lines = table("lineitem").select(F.lit(1).cast("bigint").alias("p_partkey"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    joined = J.copartitioned_join(lines, table("part").select("p_partkey", "p_name"), "p_partkey", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], n=8)
+    one = (F.col("l_orderkey") - F.col("l_orderkey") + 1).alias("p_partkey")
+    lines = table("lineitem").select(one, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    joined = J.copartitioned_join(lines, table("part").select("p_partkey", "p_name"), "p_partkey", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], n=8, rows_per_salt=500)
     sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     assert sum(sizes) == lines.count() and len(sizes) > 3 and max(sizes) < 0.6 * lines.count()
 
 
-def test_spread_only_moves_small_tables_with_few_splits(spark, table):
-    docs = table("documents")
-    assert spread(docs).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert "Exchange" not in initial_plan(spread(docs, mb_per_core=0))
-    assert "Exchange" not in initial_plan(spread(spark.range(0, 1000, 1, 64)))
+def test_copartitioned_join_reads_the_fact_twice(spark, table):
+    joined = J.copartitioned_join(table("lineitem"), table("part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey", ["l_orderkey", "l_linenumber"])
+    assert initial_plan(joined).count("FileScan") == 2  # the sketch's own read of the key is a job of its own
+
+
+def test_no_broadcast_by_an_estimate_that_does_not_hold(spark, table):
+    few = spark.range(1000).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(100_000)))).select("k")
+    long = spark.range(1000).select("id", F.repeat(F.lit("x"), 1_000_000).alias("v"))
+    fact = table("lineitem").select(F.col("l_partkey").cast("int").alias("k"), F.col("l_partkey").alias("id"))
+    assert plan_bytes(few) < 100_000 and not estimate_holds(few) and not estimate_holds(long)
+    for joined in (J.join_dim(fact, few, "k"), J.join_dim(fact, long, "id"), J.join_with(fact, few, "k", "broadcast"),
+                   J.join_auto(fact, few, "k", ["id"])):
+        assert "BroadcastHashJoin" not in initial_plan(joined)
+    assert estimate_holds(table("part").filter("p_size > 3").select("p_partkey", "p_name"))
+    assert estimate_holds(table("part").groupBy("p_brand").agg(F.sum("p_size").alias("s")))
+    assert not estimate_holds(table("part").groupBy("p_brand").agg(F.collect_list("p_name").alias("s")))
 
 
 def test_two_level_totals_and_range_sort(spark, table):

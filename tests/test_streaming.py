@@ -68,7 +68,7 @@ def totals(df):
 
 
 def test_late_rows_do_not_reach_closed_windows(spark, late_input):
-    out = S.run_to_table(E.tumbling_stats(stream(spark, late_input), "ts", "category", "amount"), "late")
+    out = S.run_to_table(E.tumbling_stats(stream(spark, late_input), "ts", "category", "amount"), "late", allow_late=True)
     assert totals(out) == [(0, "x", 30.0), (30, "x", 1.0), (30, "y", 5.0)]
 
 
@@ -161,7 +161,9 @@ def test_progress_flags():
 
 def test_kafka_options_and_values(spark):
     o = I.kafka_options("h:1", "t", maxOffsetsPerTrigger=5)
-    assert (o["subscribe"], o["startingOffsets"], o["maxOffsetsPerTrigger"], o["failOnDataLoss"]) == ("t", "latest", "5", "false")
+    assert (o["subscribe"], o["startingOffsets"], o["maxOffsetsPerTrigger"], o["failOnDataLoss"]) == ("t", "earliest", "5", "true")
+    lossy = I.kafka_options("h:1", "t", I.KAFKA_LATEST_LOSSY)
+    assert (lossy["startingOffsets"], lossy["failOnDataLoss"]) == ("latest", "false")
     assert S.kafka_sink_options("h:1", "t", "/c") == {"kafka.bootstrap.servers": "h:1", "topic": "t", "checkpointLocation": "/c"}
     assert rows(S.to_kafka_value(spark.createDataFrame([(1, "x")], "a int, b string"))) == [('{"a":1,"b":"x"}',)]
     with pytest.raises(ValueError):
