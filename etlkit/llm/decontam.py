@@ -34,7 +34,7 @@ class _Hashes(dict):
 
     def __missing__(self, token: str) -> int:
         h = xxhash.xxh64_intdigest(token, 17)
-        if len(self) >= 200_000:
+        if len(self) >= 100_000:
             self.clear()
         self[token] = h
         return h

@@ -116,12 +116,13 @@ def _logistic(x: np.ndarray, t: np.ndarray, rounds: int = 50) -> tuple[float, fl
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id: str, text: str, rows: int) -> DataFrame:
     """At most ``rows`` labelled texts, picked by a hash of their id: ``(doc_id, label, text)``.
 
-    The ids are picked from the labels alone, so their number bounds the side that is joined.
+    The ids are picked from the labels alone, so their number bounds the side that is broadcast.
     """
     picked = labels.filter(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("label"))
     picked = picked.filter(usable).distinct().orderBy(F.xxhash64("__id"), "__id", "label").limit(rows)
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("__id"))
-    return found.select("doc_id", "label", "text")
+    # An id that many rows carry gives one text.
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str, usable: Column, doc_id: str = "doc_id", text: str = "text", rows: int = 6_000) -> Model:

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Container, Iterator, Mapping, Sequence
+from collections.abc import Container, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from etlkit.llm.common import materialize
 from etlkit.llm.nbsvm import training_rows
 from etlkit.runtime import require
 
@@ -76,25 +77,48 @@ class Chain:
         return out
 
 
-def _signal_words(rows: list[set[str]], y: np.ndarray, most: int, least_rows: int) -> list[str]:
-    """Words whose log-odds between the classes differ from 0 by more than chance among as many words."""
-    seen = (Counter(), Counter())
-    for words, t in zip(rows, y):
-        seen[int(t)].update(words)
-    n = [max(1, int((y == t).sum())) for t in (0, 1)]
-    tested = [w for w in seen[0].keys() | seen[1].keys() if seen[0][w] + seen[1][w] >= least_rows]
+class Rows:
+    """Feature sets of training rows as sorted arrays of numbers: a few bytes a feature."""
+
+    def __init__(self, sets: Iterable[Iterable[str]]) -> None:
+        number: dict[str, int] = {}
+        self.items = [np.array(sorted({number.setdefault(w, len(number)) for w in words}), dtype=np.int32) for words in sets]
+        self.names = list(number)
+
+    def __len__(self) -> int:
+        return len(self.items)
+
+    def counts(self, pick: np.ndarray) -> np.ndarray:
+        """How many of the picked rows have each feature."""
+        some = [self.items[i] for i in pick]
+        return np.bincount(np.concatenate(some), minlength=len(self.names)) if some and self.names else np.zeros(len(self.names), dtype=np.int64)
+
+    def matrix(self, features: np.ndarray) -> np.ndarray:
+        """Indicators of the given features, one column each."""
+        column = np.full(len(self.names), -1, dtype=np.int64)
+        column[features] = np.arange(len(features))
+        x = np.zeros((len(self), len(features)))
+        for i, row in enumerate(self.items):
+            at = column[row]
+            x[i, at[at >= 0]] = 1
+        return x
+
+
+def _signals(rows: Rows, y: np.ndarray, pick: np.ndarray, most: int, least_rows: int) -> np.ndarray:
+    """Features whose log-odds between the classes differ from 0 by more than chance among as many features."""
+    with_, without = pick[y[pick] > 0], pick[y[pick] == 0]
+    a, b = rows.counts(with_), rows.counts(without)
+    n1, n0 = max(1, len(with_)), max(1, len(without))
+    tested = np.flatnonzero(a + b >= least_rows)
+    a, b = a[tested], b[tested]
+    odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
+    z = np.abs(odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5) + 1 / (n1 - a + 0.5) + 1 / (n0 - b + 0.5)))
     # The largest of as many independent standard normal deviates seldom exceeds this.
-    scored, least_z = [], np.sqrt(2 * np.log(max(2, len(tested))))
-    for w in tested:
-        a, b = seen[1][w], seen[0][w]
-        odds = np.log((a + 0.5) / (n[1] - a + 0.5)) - np.log((b + 0.5) / (n[0] - b + 0.5))
-        z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5) + 1 / (n[1] - a + 0.5) + 1 / (n[0] - b + 0.5))
-        if abs(z) >= least_z:
-            scored.append((-abs(z), w))
-    return [w for _, w in sorted(scored)[:most]]
+    kept = np.flatnonzero(z >= np.sqrt(2 * np.log(max(2, len(tested)))))
+    return tested[sorted(kept, key=lambda k: (-z[k], rows.names[tested[k]]))[:most]] if len(kept) else np.empty(0, dtype=np.int64)
 
 
-def _regress(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30) -> np.ndarray:
+def _regress(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
     """Ridge logistic regression by Newton steps; the last column is the bias."""
     w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     keep[-1] = 1e-6
@@ -102,14 +126,13 @@ def _regress(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 30)
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep + 1e-9), x.T @ (p - y) + keep * w)
         w -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-3:
             break
     return w
 
 
 def fit_chain(
-    rows: list[set[str]], targets: Mapping[str, np.ndarray], folds: int = 5, most_words: int = 256, least_rows: int = 5,
-    seed: int = 3,
+    rows: Rows, targets: Mapping[str, np.ndarray], folds: int = 5, most_words: int = 256, least_rows: int = 5, seed: int = 3,
 ) -> Chain:
     """Fit the categories of ``targets`` in their order, passing out-of-fold probabilities along."""
     n, fold = len(rows), np.random.default_rng(seed).integers(0, folds, len(rows))
@@ -125,19 +148,14 @@ def fit_chain(
         held = np.zeros(n)
         for k in [*range(folds), None]:
             inside = np.flatnonzero(fold != k) if k is not None else np.arange(n)
-            words = _signal_words([rows[i] for i in inside], y[inside], most_words, least_rows)
-            at = {w: j for j, w in enumerate(words)}
-            x = np.zeros((n, len(words)))
-            for i, found in enumerate(rows):
-                for w in found & at.keys():
-                    x[i, at[w]] = 1
-            x = np.column_stack([x, passed, np.ones(n)])
+            used = _signals(rows, y, inside, most_words, least_rows)
+            x = np.column_stack([rows.matrix(used), passed, np.ones(n)])
             w = _regress(x[inside], y[inside])
             if k is not None:
                 outside = fold == k
                 held[outside] = 1 / (1 + np.exp(-np.clip(x[outside] @ w, -30, 30)))
-        weights = dict(zip(words, w[: len(words)].tolist()))
-        links.append(Link(category, weights, tuple(w[len(words) : -1].tolist()), float(w[-1])))
+        weights = dict(zip((rows.names[j] for j in used), w[: len(used)].tolist()))
+        links.append(Link(category, weights, tuple(w[len(used) : -1].tolist()), float(w[-1])))
         passed = np.column_stack([passed, held])
     return Chain(tuple(links))
 
@@ -173,16 +191,21 @@ def fit_toxicity(
     chosen = chosen.filter(F.coalesce(F.char_length("text"), F.lit(0)) <= longest)
     kind = docs.schema[doc_id].dataType.simpleString()
     made = chosen.mapInArrow(run, f"doc_id {kind}, label int, words array<string>, sketch array<long>")
+    made = materialize(made, "toxic-rows")
     kept, seen = [], set()
-    for row in sorted(made.toLocalIterator(), key=lambda r: (r.doc_id, r.label)):
+    for row in sorted(made.select("doc_id", "label", "sketch").collect(), key=lambda r: (r.doc_id, r.label)):
         slots = set(enumerate(row.sketch))
         if not slots & seen:
-            kept.append(row)
+            kept.append((row.doc_id, row.label))
         seen |= slots
-    found = [set(r.words) for r in kept]
-    toxic = np.array([r.label > 0 for r in kept], dtype=bool)
-    targets = {c: toxic & np.array([not w.isdisjoint(seeds) for w in found], dtype=bool) for c, seeds in categories.items()}
-    return fit_chain(found, targets | {final: toxic})
+    place, sets = {k: i for i, k in enumerate(kept)}, [()] * len(kept)
+    number: dict[str, str] = {}
+    for row in made.select("doc_id", "label", "words").toLocalIterator():
+        if (row.doc_id, row.label) in place:
+            sets[place[row.doc_id, row.label]] = tuple(number.setdefault(w, w) for w in row.words)
+    toxic = np.array([label > 0 for _, label in kept], dtype=bool)
+    targets = {c: toxic & np.array([not set(seeds).isdisjoint(w) for w in sets], dtype=bool) for c, seeds in categories.items()}
+    return fit_chain(Rows(sets), targets | {final: toxic})
 
 
 def scored(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
@@ -200,11 +223,11 @@ def scored(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "t
         chain = shared.value
         known = {w.rstrip("*") for link in chain.links for w in link.weights if w.endswith("*")}
         for batch in batches:
-            made = [chain.probabilities(features(t.as_py(), known)) for t in batch.column("__text")]
+            made = [chain.probabilities(features(t.as_py(), known)) for t in batch.column(body)]
             new = {name: pa.array([m[k] for m in made], pa.float64()) for k, name in enumerate(names)}
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new.values()], names=[*batch.schema.names[:-1], *new])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new.values()], names=[*batch.schema.names, *new])
 
     kept = docs.drop(*names, "rejected")
+    body = next(c for c in kept.columns if c.lower() == text.lower())
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields), *(f"`{n}` double" for n in names)])
-    out = kept.withColumn("__text", F.col(text)).mapInArrow(run, schema)
-    return out.withColumn("rejected", F.col(names[-1]) >= threshold)
+    return kept.mapInArrow(run, schema).withColumn("rejected", F.col(names[-1]) >= threshold)

@@ -85,7 +85,7 @@ def test_earlier_probabilities_are_out_of_fold():
     rnd = np.random.default_rng(0)
     rows = [{f"w{i}", f"x{rnd.integers(5)}"} for i in range(200)]
     noise = rnd.random(200) < 0.5
-    chain = toxicity.fit_chain(rows, {"a": noise, "b": noise}, least_rows=1)
+    chain = toxicity.fit_chain(toxicity.Rows(rows), {"a": noise, "b": noise}, least_rows=1)
     assert abs(chain.links[1].earlier[0]) < 3
 
 
