@@ -118,10 +118,14 @@ def _signals(rows: Rows, y: np.ndarray, pick: np.ndarray, most: int, least_rows:
     return tested[sorted(kept, key=lambda k: (-z[k], rows.names[tested[k]]))[:most]] if len(kept) else np.empty(0, dtype=np.int64)
 
 
-def _regress(x: np.ndarray, y: np.ndarray, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last column is the bias."""
-    w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
-    keep[-1] = 1e-6
+def _regress(x: np.ndarray, y: np.ndarray, words: int, ridge: float = 0.1, rounds: int = 30) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; the last column is the bias.
+
+    The first ``words`` columns are held lightly, as a rare word may decide alone; earlier
+    probabilities are held ten times as hard.
+    """
+    w, keep = np.zeros(x.shape[1]), np.full(x.shape[1], 10 * ridge)
+    keep[:words], keep[-1] = ridge, 1e-6
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(keep + 1e-9), x.T @ (p - y) + keep * w)
@@ -150,7 +154,7 @@ def fit_chain(
             inside = np.flatnonzero(fold != k) if k is not None else np.arange(n)
             used = _signals(rows, y, inside, most_words, least_rows)
             x = np.column_stack([rows.matrix(used), passed, np.ones(n)])
-            w = _regress(x[inside], y[inside])
+            w = _regress(x[inside], y[inside], len(used))
             if k is not None:
                 outside = fold == k
                 held[outside] = 1 / (1 + np.exp(-np.clip(x[outside] @ w, -30, 30)))
