@@ -164,17 +164,16 @@ def sales_summary(t):
 
 
 def _operator_set(t):
-    """Filtered lines with a category lookup, squares, logarithms and z-scores per category."""
+    """Filtered lines with a category lookup, squares and logarithms."""
     v = F.col("l_extendedprice")
     lines = t.lineitem.filter((v > 0) & F.col("l_returnflag").isin("A", "N")).select(*LINE_ID, "l_extendedprice")
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("category"))
     kinds = t.part.select(F.col("p_type").alias("category")).distinct().withColumn(
         "category_type", F.when(F.col("category").like("%PROMO%"), "premium").otherwise("standard")
     )
-    rows = join_dim(lines.join(parts, "l_partkey"), kinds, "category").withColumns({
+    return join_dim(lines.join(parts, "l_partkey"), kinds, "category").withColumns({
         "amount_squared": v * v, "log_amount": F.log1p(v),
     })
-    return zscore(rows, "category", "l_extendedprice", "normalized")
 
 
 _SET_SQL = """
@@ -201,6 +200,7 @@ def operator_set_totals(t):
         FROM r WINDOW w AS (PARTITION BY category)) WHERE amount_squared > 1000000
 """)
 def operator_set_large(t):
-    return _operator_set(t).filter(F.col("amount_squared") > 1_000_000).select(
+    rows = zscore(_operator_set(t), "category", "l_extendedprice", "normalized")
+    return rows.filter(F.col("amount_squared") > 1_000_000).select(
         *LINE_ID, "amount_squared", F.round("log_amount", 8).alias("log_amount"), F.round("normalized", 6).alias("normalized")
     )

@@ -107,3 +107,8 @@ def test_two_level_totals_and_range_sort(spark, table):
     df = table("orders")
     assert "partial_sum" in initial_plan(A.preaggregate(df, ["o_orderdate"], {"y": F.year("o_orderdate")}, "o_totalprice"))
     assert "rangepartitioning" in initial_plan(R.range_sorted(df, "o_orderdate", 4))
+
+
+def test_operator_set_totals_reads_each_table_once_a_use(spark, data):
+    plan = initial_plan(QUERIES["operator_set_totals"](spark, data))
+    assert plan.count("FileScan") == 3 and "stddev" not in plan
