@@ -5,8 +5,11 @@ of its 4,096 codewords, so its codewords serve as anchors with covering radius 3
 ``t`` bits apart meet at an anchor when one is filed under its nearest anchor (its home) and the
 other under every anchor within 3 + t bits. A fingerprint is cut into 23-bit blocks; whole
 fingerprints at most ``t`` bits apart are at most ``t`` bits apart in any block, so one block is
-enough for an exact join at a small threshold. A loose threshold on a wide fingerprint uses several
-blocks: a pair is found when at least one of them differs in two bits or fewer.
+enough for an exact join at a small threshold. Very many fingerprints take the product of two codes, a
+codeword for each of two blocks (16.8 million anchors), so that anchors stay small; the bits beyond
+radius 3 that a copy may differ by are then shared between the blocks. A loose threshold on a wide
+fingerprint uses several blocks on their own: a pair is found when at least one of them differs in two
+bits or fewer.
 """
 
 from __future__ import annotations
@@ -29,8 +32,10 @@ BLOCK = 23
 RADIUS = 3
 # Generator polynomial of the binary Golay code (a fixed value of the code).
 GENERATOR = 0b110001110101
-# Anchors compared in one call, and rows of an anchor compared in one cell.
-ANCHORS_PER_GROUP, CELL_ROWS = 8, 20_000
+# Rows compared in one call, about, and rows of an anchor compared in one cell.
+GROUP_ROWS, CELL_ROWS = 5_000, 20_000
+# From so many distinct fingerprints on, two codes give fewer copies and comparisons than one.
+TWO_CODES_FROM = 40_000_000
 
 
 def _spread_bits(h: np.ndarray, words: int) -> np.ndarray:
@@ -120,6 +125,35 @@ def anchors_of(x: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.nd
     return row, (x[row] ^ errors[at]) >> 11, at == first[row]
 
 
+def product_anchors(x: np.ndarray, y: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for pairs of 23-bit words and pairs of codewords.
+
+    If two words differ by ``d1`` bits in one block and ``d2`` in the other, with ``d1 + d2`` at most
+    ``threshold``, the second is within ``3 + d1`` and ``3 + d2`` bits of the first's nearest codewords.
+    So a copy goes to pairs of codewords whose distances exceed 3 by at most ``threshold`` in all.
+    """
+    one, two = anchors_of(x, RADIUS + threshold), anchors_of(y, RADIUS + threshold)
+    over = [np.maximum(np.bitwise_count(_codeword_distance(w, row, a)).astype(np.int64) - RADIUS, 0) for w, (row, a, _) in ((x, one), (y, two))]
+    starts = np.searchsorted(two[0], np.arange(len(y) + 1))
+    first, count = starts[one[0]], (starts[1:] - starts[:-1])[one[0]]
+    left = np.repeat(np.arange(len(one[0])), count)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)
+    near = over[0][left] + over[1][right] <= threshold
+    left, right = left[near], right[near]
+    return one[0][left], one[1][left] * 4096 + two[1][right], one[2][left] & two[2][right]
+
+
+def _codeword_distance(words: np.ndarray, row: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """Differing bits, as a mask, of each word and the codeword that an anchor names."""
+    return words[row] ^ _codewords()[anchor]
+
+
+@cache
+def _codewords() -> np.ndarray:
+    """All codewords by their leading 12 bits."""
+    return np.array([(m << 11) ^ _remainder(m << 11) for m in range(4096)])
+
+
 def _blocks(raw: np.ndarray, blocks: int) -> list[np.ndarray]:
     """The first ``blocks`` runs of 23 bits of each row of bytes, as integers."""
     bits = np.unpackbits(raw, axis=1)
@@ -169,7 +203,7 @@ def link_within(ids: np.ndarray, words: np.ndarray, home: np.ndarray, side: np.n
     return ids[moved], ids[labels[moved]]
 
 
-def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, everywhere: bool = False) -> DataFrame:
+def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, everywhere: bool = False, codes: int | None = None) -> DataFrame:
     """``(id, low)``: spanning links between rows ``(id long, fingerprint binary)`` of distinct fingerprints.
 
     By default a row is at home with its nearest anchor and copied to all within the covering radius
@@ -177,9 +211,18 @@ def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, e
     as met in a block when it differs there in two bits or fewer. Such a pair has a midpoint one bit
     from both, whose anchor lies within radius + 1 of both, so rows are filed there and all are
     compared, which takes a quarter of the copies. A crowded anchor is cut in cells by id and every
-    pair of its cells is compared in a task of its own; nothing is capped.
+    pair of its cells is compared in a task of its own; nothing is capped. ``codes`` of 2 files under
+    anchors of the product code, which is the default for very many fingerprints; links between the
+    same rows are found either way.
     """
     reach = RADIUS + (1 if everywhere else threshold)
+    many = classes.count()
+    codes = codes or (2 if many >= TWO_CODES_FROM and not everywhere else 1)
+    if codes not in (1, 2) or codes == 2 and (everywhere or blocks != 1):
+        raise ValueError("two codes make one anchor of two blocks")
+    # Anchors are compared in bundles of a bounded expected number of rows.
+    copies = many * (61 if codes == 2 else 22 if not everywhere else 5.4 * blocks)
+    width = max(1, int((1 << 24 if codes == 2 else 4096 * blocks) // max(512, copies / GROUP_ROWS)))
     columns = [f"w{k}" for k in range(words)]
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,9 +232,13 @@ def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, e
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(len(ids), 8 * words)
             longs = raw.view(">u8").astype(np.uint64).view(np.int64)
-            for b, x in enumerate(_blocks(raw, blocks)):
+            cut = _blocks(raw, 2 if codes == 2 else blocks)
+            for b, x in enumerate(cut[:blocks]):
                 for at in range(0, len(ids), 4096):
-                    row, anchor, home = anchors_of(x[at : at + 4096], reach)
+                    if codes == 2:
+                        row, anchor, home = product_anchors(x[at : at + 4096], cut[1][at : at + 4096], threshold)
+                    else:
+                        row, anchor, home = anchors_of(x[at : at + 4096], reach)
                     row += at
                     yield pa.RecordBatch.from_arrays(
                         [pa.array((anchor + 4096 * b).astype(np.int32)), pa.array(home | everywhere), pa.array(ids[row]),
@@ -216,7 +263,7 @@ def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, e
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     split = split.withColumn("low_cell", F.least("own", "other")).withColumn("high_cell", F.greatest("own", "other"))
     split = split.withColumn("side", (F.col("own") > F.col("other")).cast("int"))
-    split = split.withColumn("bundle", F.expr(f"anchor div {ANCHORS_PER_GROUP}"))
+    split = split.withColumn("bundle", F.expr(f"anchor div {width}"))
     grouped = split.groupBy("bundle", "low_cell", "high_cell")
     return grouped.applyInArrow(compare, "id long, low long")
 

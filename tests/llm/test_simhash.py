@@ -5,6 +5,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from etlkit.llm import simhash
+from etlkit.llm.common import components
 
 
 def brute_fingerprint(text, shingle=3):
@@ -91,6 +92,28 @@ def test_groups_match_brute_force(spark, monkeypatch):
     assert {(r.doc_id, r.component_id) for r in simhash.near_groups(docs).collect()} == {(r.doc_id, r.component_id) for r in got}
 
 
+def test_product_code_finds_the_same_links(spark):
+    rng = np.random.default_rng(9)
+    x, y = rng.integers(0, 1 << 23, 200), rng.integers(0, 1 << 23, 200)
+    row, anchor, home = simhash.product_anchors(x, y, 2)
+    assert home.sum() == 200 and 40 < len(row) / 200 < 90
+    nearest = {i: a for i, a, h in zip(row, anchor, home) if h}
+    for i in range(200):
+        flips = [1 << int(k) for k in rng.integers(0, 46, 2)]
+        u, v = x[i], y[i]
+        for f in flips:
+            u, v = (u ^ f, v) if f < 1 << 23 else (u, v ^ (f >> 23))
+        assert nearest[i] in set(simhash.product_anchors(np.array([u]), np.array([v]), 2)[1])
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    prints = [int(b) ^ (1 << int(rng.integers(64))) ^ (1 << int(rng.integers(64))) for b in base for _ in range(4)]
+    rows = [(i, p.to_bytes(8, "big")) for i, p in enumerate(dict.fromkeys(prints))]
+    classes = spark.createDataFrame(rows, "id long, fingerprint binary")
+    want = brute_components({i: int.from_bytes(p, "big") for i, p in rows}, 2)
+    for codes in (1, 2):
+        got = {r.node: r.component for r in components(simhash.links(classes, 2, codes=codes), "id", "low").collect()}
+        assert {i: got.get(i, i) for i in want} == want
+
+
 def test_loose_threshold_finds_near_copies(spark):
     rnd = random.Random(5)
     rows, pairs = [], []
