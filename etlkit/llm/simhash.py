@@ -33,7 +33,7 @@ RADIUS = 3
 # Generator polynomial of the binary Golay code (a fixed value of the code).
 GENERATOR = 0b110001110101
 # Rows compared in one call, about, and rows of an anchor compared in one cell.
-GROUP_ROWS, CELL_ROWS = 5_000, 20_000
+GROUP_ROWS, CELL_ROWS = 20_000, 20_000
 # From so many distinct fingerprints on, two codes give fewer copies and comparisons than one.
 TWO_CODES_FROM = 40_000_000
 
@@ -222,7 +222,7 @@ def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, e
         raise ValueError("two codes make one anchor of two blocks")
     # Anchors are compared in bundles of a bounded expected number of rows.
     copies = many * (61 if codes == 2 else 22 if not everywhere else 5.4 * blocks)
-    width = max(1, int((1 << 24 if codes == 2 else 4096 * blocks) // max(512, copies / GROUP_ROWS)))
+    width = max(1, int((1 << 24 if codes == 2 else 4096 * blocks) // max(512 * blocks, copies / GROUP_ROWS)))
     columns = [f"w{k}" for k in range(words)]
 
     def replicate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
