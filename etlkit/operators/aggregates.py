@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from etlkit.functions.values import hash_below, salt
-from etlkit.operators.ordered import Ordering, search_tree
+from etlkit.operators.ordered import CELL, Ordering, search_tree
 from etlkit.runtime import join_groups, names, require
 
 Aggs = Mapping[str, Column]
@@ -148,27 +148,32 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles without holding a group's values in one place.
 
-    Equal values are counted before the shuffle, counts are summed along the values of a group cell
-    by cell of ``levels``, and the values that hold the wanted ranks are picked. No row of ``df`` is
-    sorted, and a value that repeats is one row however often it does.
+    Rows are counted per cell of ``levels``, which shows the cells that hold the wanted ranks. In
+    those cells alone equal values are counted before the shuffle and the counts summed along the
+    values. No row of ``df`` is sorted, and a value that repeats is one row however often it does.
     """
     by = names(by)
     require(df, *by, column)
-    present = df.filter(F.col(column).isNotNull())
-    counts = present.groupBy(*by, column).agg(F.count(F.lit(1)).alias("__n"))
     ordering = Ordering(by, [column], levels)
-    base = ordering.with_cell(counts)
-    cells = ordering.cells(base, {"__before": F.sum("__n")})
+    base = ordering.with_cell(df.filter(F.col(column).isNotNull())).select(CELL, column)
+    cells = ordering.cells(base, {"__before": F.count(F.lit(1))})
     totals = cells.groupBy(*by).agg(F.sum("__before").alias("__all"))
-    per_cell = join_groups(cells.select(*by, *ordering.level_names), ordering.prefixes(cells, {"__before": F.sum}), [*by, *ordering.level_names])
-    per_cell = join_groups(per_cell, totals, by)
-    earlier = ordering.in_cell().rowsBetween(Window.unboundedPreceding, -1)
-    rows = ordering.attach(base.withColumn("__inside", F.sum("__n").over(earlier)), per_cell)
-    start = F.coalesce("__before", F.lit(0)) + F.coalesce("__inside", F.lit(0))
-    held = lambda k: (k >= F.col("__start")) & (k < F.col("__start") + F.col("__n"))
+    keys = [*by, *ordering.level_names]
+    per_cell = join_groups(cells.withColumnRenamed("__before", "__rows"), ordering.prefixes(cells, {"__before": F.sum}), keys)
+    per_cell = join_groups(per_cell, totals, by).withColumn("__before", F.coalesce("__before", F.lit(0)))
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.lit(float(p)) * (F.col("__all") - 1)).alias("rank")) for p in ps])
-    rows = rows.withColumn("__start", start).withColumn("__hits", F.filter(wanted, lambda w: held(F.floor(w["rank"])) | held(F.ceil(w["rank"]))))
-    found = rows.select(*by, F.col(column).cast("double").alias("__value"), F.explode("__hits").alias("__hit"))
+
+    def hits(start: Column, rows: Column) -> Column:
+        held = lambda k: (k >= start) & (k < start + rows)
+        return F.filter(wanted, lambda w: held(F.floor(w["rank"])) | held(F.ceil(w["rank"])))
+
+    needed = per_cell.filter(F.size(hits(F.col("__before"), F.col("__rows"))) > 0).select(*keys, "__before", "__all")
+    counts = ordering.attach(base, needed, "inner").groupBy(CELL, column, "__before", "__all").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = ordering.in_cell().rowsBetween(Window.unboundedPreceding, -1)
+    rows = counts.withColumn("__start", F.col("__before") + F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    found = rows.select(
+        *[F.col(f"{CELL}.{k}").alias(k) for k in by], F.col(column).cast("double").alias("__value"),
+        F.explode(hits(F.col("__start"), F.col("__n"))).alias("__hit"))
     low, high = F.min("__value"), F.max("__value")
     part = F.max(F.col("__hit.rank") - F.floor("__hit.rank"))
     return found.groupBy(*by, F.col("__hit.p").alias("p")).agg((low + (high - low) * part).alias("value"))
