@@ -1,15 +1,17 @@
 """Benchmark decontamination by spaced seeds.
 
 A spaced seed looks at some positions of a window of tokens and ignores the rest, so a hit survives
-substitutions at the ignored positions. Hashes of all windows of the benchmark and of the corpus
-under a few fixed masks are joined; around each hit the two texts are laid side by side and the
-overlap is verified by counting equal tokens, substitutions allowed.
+substitutions at the ignored positions. Hashes of the benchmark and of the corpus under short seeds,
+of which every overlap asked for holds one, are joined; around each hit the two texts are laid side
+by side and the overlap is verified by counting equal tokens, substitutions allowed.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +23,12 @@ from etlkit.llm.common import materialize
 from etlkit.runtime import require
 
 TOKEN = re.compile(r"\w+")
-# Positions looked at in a window of 12 tokens; a position ignored by one mask is seen by another.
+# Seeds of the join, and the run whose hits are counted before a seed is sent. Three substitutions in
+# 16 tokens leave a run of four; of 15 tokens they may leave runs of three, which the second seed meets.
+SEEDS, GRAM = ("1111", "11101"), "111"
+# Items below this number of tokens are looked for as a whole.
+SHORT = 12
+# Masks of the registered SQL: positions looked at in a window of 12 tokens. Overlaps that hit none exist.
 MASKS = ("110110111011", "101101101111", "111011011101", "111100111110")
 SPAN = 12
 # Bits of the filter that is sent to the executors, as a power of two: 4 MiB whatever the benchmark.
@@ -48,18 +55,46 @@ def token_hashes(text: str | None, memory: _Hashes) -> np.ndarray:
 
 def window_hashes(tokens: np.ndarray, mask: int) -> np.ndarray:
     """Hash of the looked-at positions of every window, different for each mask."""
-    n = len(tokens) - SPAN + 1
+    return pattern_hashes(tokens, MASKS[mask], mask)
+
+
+def pattern_hashes(tokens: np.ndarray, pattern: str, row: int = 0) -> np.ndarray:
+    """Hash of the places of every window that a pattern marks by 1, different for each pattern."""
+    n = len(tokens) - len(pattern) + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    h = np.full(n, mask, dtype=np.uint64)
-    for k, seen in enumerate(MASKS[mask]):
+    h = np.full(n, int("1" + pattern, 2), dtype=np.uint64)
+    for k, seen in enumerate(pattern):
         if seen == "1":
-            h += tokens[k : k + n] * MULTIPLIERS[mask, k]
+            h += tokens[k : k + n] * MULTIPLIERS[row, k]
     h ^= h >> np.uint64(32)
     h *= np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
 
 
+def needed(n: int, window: int, share: float) -> int:
+    """Equal tokens that make an overlap with an item of ``n`` tokens: all of a short one, else a share of the window."""
+    return n if n < SHORT else int(np.ceil(share * min(window, n) - 1e-9))
+
+
+@cache
+def seeds_for(n: int, changed: int) -> tuple[str, ...]:
+    """Seeds of which every window of ``n`` tokens with at most ``changed`` substitutions holds one."""
+    for many in range(1, len(SEEDS) + 1):
+        places = [{at + k for k, seen in enumerate(s) if seen == "1"} for s in SEEDS[:many] for at in range(n - len(s) + 1)]
+        if all(any(p.isdisjoint(c) for p in places) for c in combinations(range(n), changed)):
+            return SEEDS[:many]
+    raise ValueError(f"no seeds find every overlap of {n} tokens with {changed} substitutions")
+
+
+def _counted(hits: np.ndarray, width: int, least: int) -> np.ndarray:
+    """Positions from which ``width`` places hold ``least`` hits, and the ``width - 1`` positions after each of them."""
+    total = np.cumsum(np.concatenate(([0], hits, np.zeros(width, dtype=np.int64))))
+    full = (total[width:] - total[:-width] >= least)[: len(hits)]
+    total = np.cumsum(np.concatenate((np.zeros(width, dtype=np.int64), full)))
+    return total[width:] > total[:-width]
+
+
 def _joined_spans(positions: np.ndarray, reach: int, n: int) -> list[tuple[int, int]]:
     """Stretches of tokens within ``reach`` of some position, overlapping ones joined."""
     low, high = np.maximum(positions - reach, 0), np.minimum(positions + SPAN + reach, n)
@@ -87,13 +122,19 @@ def contaminated(
     """``(doc_id, item_id, overlap)`` of every pair of a row and an item with a verified overlap.
 
     An overlap is ``window`` neighbouring tokens of an item of which at least ``share`` stand at the
-    same places of the text; ``overlap`` is the largest count of equal tokens. A pair is looked at
-    when a window of 12 tokens agrees under one of the masks; each of them forgives two to four
-    substitutions. Items with fewer tokens than ``window`` cannot be told from common phrases and
-    match nothing; null texts count as empty. An item above ``longest_item`` tokens is cut in pieces
+    same places of the text; ``overlap`` is the largest count of equal tokens. Every overlap holds one
+    of the seeds; a window and share for which none of them is sure to raise ``ValueError``. An item
+    shorter than ``window`` is its own window, and below 12 tokens all of them must be equal. Items
+    without tokens match nothing; null texts count as empty. An item above ``longest_item`` tokens is cut in pieces
     that overlap by two windows, so each part of it is looked for. Rows of one id count as one document; rows and items with a null
     id are left out. An empty table on either side gives no rows.
     """
+    lengths = range(SHORT, window + 1)
+    if window < SHORT:
+        raise ValueError(f"a window has {SHORT} tokens or more")
+    asked = {n: seeds_for(n, n - needed(n, window, share)) for n in lengths}
+    # A substitution takes away at most three of a window's runs of three.
+    least = min(n - len(GRAM) + 1 - len(GRAM) * (n - needed(n, window, share)) for n in lengths)
     require(docs, doc_id, text)
     require(benchmark, item_id, item_text)
     kinds = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
@@ -115,12 +156,14 @@ def contaminated(
         for batch in batches:
             for i, number, raw in zip(*(c.to_pylist() for c in batch.columns)):
                 tokens = np.frombuffer(raw, dtype=np.uint64)
-                hashes = [window_hashes(tokens, m) for m in range(len(MASKS))]
-                n = sum(map(len, hashes))
-                at = np.concatenate([np.arange(len(h)) for h in hashes])
+                patterns = ("1" * len(tokens),) if len(tokens) < SHORT else asked[min(window, len(tokens))]
+                # Runs that are only counted have no place.
+                counted = pattern_hashes(tokens, GRAM)[: len(tokens) if len(tokens) >= SHORT else 0]
+                hashes = [pattern_hashes(tokens, q, int(len(tokens) < SHORT)) for q in patterns]
+                at = np.concatenate([*map(np.arange, map(len, hashes)), np.full(len(counted), -1)])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array([i] * n, batch.schema.types[0]),
-                     pa.array([number] * n, pa.int64()), pa.array(at, pa.int32())], names=["hash", "item_id", "piece", "item_at"])
+                    [pa.array(np.concatenate([*hashes, counted]).view(np.int64)), pa.array([i] * len(at), batch.schema.types[0]),
+                     pa.array([number] * len(at), pa.int64()), pa.array(at, pa.int32())], names=["hash", "item_id", "piece", "item_at"])
 
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).filter("item_id IS NOT NULL")
     items = materialize(items.distinct().mapInArrow(pieces, f"item_id {kinds[1]}, piece long, item binary"), "items")
@@ -133,19 +176,28 @@ def contaminated(
     bitmap = np.zeros(1 << (FILTER_LOG2 - 6), dtype=np.uint64)
     for row in cells.toLocalIterator():
         bitmap[row.cell] = np.uint64(row.bits % 2**64)
+    size = F.octet_length("item") / 8
+    short = sorted(int(r.n) for r in items.filter(size < SHORT).select(size.alias("n")).distinct().collect())
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, words, shift = _Hashes(), shared.value, np.uint64(64 - FILTER_LOG2)
+
+        def known(h: np.ndarray) -> np.ndarray:
+            place = h >> shift
+            return (words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
+
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [])
             for i, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 tokens = token_hashes(value.as_py(), memory)
                 marks, hashes, places = np.zeros(len(tokens), dtype=bool), [], []
-                for m in range(len(MASKS)):
-                    h = window_hashes(tokens, m)
-                    place = h >> shift
-                    hit = np.flatnonzero(words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1))
+                near = _counted(known(pattern_hashes(tokens, GRAM)), window - len(GRAM) + 1, least) if least > 0 else np.ones(len(tokens), dtype=bool)
+                patterns = [(q, 0) for q in SEEDS if near.any()] + [("1" * n, 1) for n in short]
+                for q, whole in patterns:
+                    h = pattern_hashes(tokens, q, whole)
+                    hit = known(h)
+                    hit = np.flatnonzero(hit if whole else hit & near[: len(h)])
                     marks[hit] = True
                     hashes.append(h[hit]), places.append(hit)
                 if not marks.any():
@@ -167,17 +219,21 @@ def contaminated(
     texts = spans.groupBy("key").agg(F.any_value("span").alias("span"), F.any_value("hits").alias("hits"))
     texts = materialize(texts, "span-texts")
     hits = texts.select("key", F.explode("hits").alias("hit")).select("key", "hit.hash", "hit.at").distinct()
-    found = hits.join(seeded, "hash").select("key", "item_id", "piece", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
+    found = hits.join(seeded.filter("item_at >= 0"), "hash").select("key", "item_id", "piece", (F.col("at") - F.col("item_at")).alias("offset")).distinct()
     found = found.join(texts.select("key", "span"), "key").join(items, ["item_id", "piece"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist())
-            best = [best_overlap(np.frombuffer(s, np.uint64), np.frombuffer(t, np.uint64), o, window) for s, t, o in columns]
+            best = []
+            for s, t, o in columns:
+                item = np.frombuffer(t, np.uint64)
+                n = best_overlap(np.frombuffer(s, np.uint64), item, o, min(window, len(item)))
+                best.append(n if n >= needed(len(item), window, share) else 0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(best, pa.int32())], names=["key", "item_id", "overlap"])
 
     checked = found.select("key", "item_id", "span", "item", "offset").mapInArrow(verify, f"key string, item_id {kinds[1]}, overlap int")
-    checked = checked.filter(F.col("overlap") >= int(np.ceil(share * window))).groupBy("key", "item_id").agg(F.max("overlap").alias("overlap"))
+    checked = checked.filter("overlap > 0").groupBy("key", "item_id").agg(F.max("overlap").alias("overlap"))
     checked = materialize(checked, "verified")
     return spans.select("doc_id", "key").join(checked, "key").groupBy("doc_id", "item_id").agg(F.max("overlap").alias("overlap"))
 

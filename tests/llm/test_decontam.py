@@ -79,3 +79,36 @@ def test_empty_tables(spark):
     d, b = spark.createDataFrame(docs[:5], SCHEMA), spark.createDataFrame(items, ITEMS)
     assert D.contaminated(d.filter("doc_id < 0"), b).count() == 0
     assert D.contaminated(d, b.filter("item_id < 0")).count() == 0
+
+
+def plain(docs, items, window=16):
+    """Every alignment of every pair, without seeds: 80 % of a window, all of an item below 12 tokens."""
+    out = {}
+    for i, t, *_ in docs:
+        for j, s, *_ in items:
+            a, b = (D.TOKEN.findall((x or "").lower()) for x in (t, s))
+            w = min(window, len(b))
+            need = w if w < 12 else -(-w * 4 // 5)
+            for shift in range(w - len(b), len(a) - w + 1) if w and None not in (i, j) else ():
+                low, high = max(0, -shift), min(len(b), len(a) - shift)
+                for at in range(low, high - w + 1):
+                    n = sum(a[at + k + shift] == b[at + k] for k in range(w))
+                    if n >= need:
+                        out[i, j] = max(out.get((i, j), 0), n)
+    return out
+
+
+def test_matches_the_plain_definition(spark):
+    docs, items = corpus()
+    fifth = " ".join("changed" if k % 5 == 4 else w for k, w in enumerate(items[1][1].split()))
+    docs = docs[:-1] + [(50, "and so " + fifth, 5, 6)]
+    d, b = spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame(items, ITEMS)
+    got = {(r.doc_id, r.item_id): r.overlap for r in D.contaminated(d, b).collect()}
+    assert got == plain(docs, items) and (50, 1) in got
+
+
+def test_seeds_find_every_overlap():
+    for n, changed in ((16, 3), (15, 3), (14, 2), (13, 2), (12, 2)):
+        assert D.seeds_for(n, changed)
+    with np.testing.assert_raises(ValueError):
+        D.seeds_for(20, 12)
