@@ -147,7 +147,7 @@ def contaminated(
                 tokens = token_hashes(t, memory)
                 for at in range(0, max(1, len(tokens) - 2 * window), longest_item - 2 * window):
                     part = tokens[at : at + longest_item]
-                    if len(part) >= window:
+                    if len(part):
                         ids.append(i), numbers.append(at), parts.append(part.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch.schema.types[0]), pa.array(numbers, pa.int64()), pa.array(parts, pa.binary())], names=["item_id", "piece", "item"])

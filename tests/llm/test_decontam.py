@@ -107,6 +107,16 @@ def test_matches_the_plain_definition(spark):
     assert got == plain(docs, items) and (50, 1) in got
 
 
+def test_items_below_the_window(spark):
+    words = [f"v{k}" for k in range(15)]
+    items = [(n, " ".join(words[:n]), 1) for n in (15, 14, 13, 12, 11, 5)] + [(0, "", 1)]
+    change = lambda *at: " ".join("changed" if k in at else w for k, w in enumerate(words))
+    docs = [(k, t, 5, 6) for k, t in enumerate([change(), "a b " + change(3, 7, 11) + " c", change(3, 7, 10, 12), change(5, 11), change(0), "v0 v1 v2 v3 v4", "v0 v1 v2 v3", "x " * 40 + change(4)])]
+    d, b = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, ITEMS)
+    got = {(r.doc_id, r.item_id): r.overlap for r in D.contaminated(d, b).collect()}
+    assert got == plain(docs, items) and {(0, 15), (1, 15), (0, 5), (5, 5)} <= set(got)
+
+
 def test_seeds_find_every_overlap():
     for n, changed in ((16, 3), (15, 3), (14, 2), (13, 2), (12, 2)):
         assert D.seeds_for(n, changed)
