@@ -11,10 +11,18 @@ from pyspark.sql import functions as F
 from etlkit.llm.common import materialize
 from etlkit.runtime import require
 
-# Runs of 16 or more key characters with a digit among them.
-CANDIDATE = r"(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*[0-9])[A-Za-z0-9_+/\-]{16,}={0,2}"
+# Web tokens of three parts, and runs of 16 or more key characters with a digit among them.
+CANDIDATE = r"\beyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+|(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*[0-9])[A-Za-z0-9_+/\-]{16,}={0,2}"
 # Words that often stand beside a credential, and words that secrets do not spell.
-NEIGHBOURS = r"(?i)(token|secret|passw|passphrase|pwd|api_?-?key|apikey|access_?-?key|private|credential|bearer|auth)"
+NEIGHBOURS = (
+    r"(?i)(token|secret|passw|password|passphrase|pwd|api_?-?key|apikey|access_?-?key|private|private_?-?key|credentials?|bearer"
+    r"|authori[sz]ation|auth(?!or))"
+)
+# Forms that issuers give their keys.
+KNOWN = (
+    r"^(eyJ[\w\-]+\.[\w\-]+\.[\w\-]+|(AKIA|ASIA)[0-9A-Z]{16}|gh[opsur]_[A-Za-z0-9]{36,}|github_pat_\w{22,}|glpat-[\w\-]{20,}"
+    r"|xox[abeprs]-[\w\-]{10,}|AIza[\w\-]{35}|[rs]k_(live|test)_[A-Za-z0-9]{16,})$"
+)
 DICTIONARY = (
     "the", "and", "for", "with", "this", "that", "from", "test", "example", "sample", "dummy", "file", "page", "index",
     "image", "http", "https", "www", "html", "content", "article", "number", "order", "date", "time", "name", "user",
@@ -25,7 +33,7 @@ BEFORE, AFTER = 48, 16
 FEATURES = (
     "n_chars", "digit_share", "upper_share", "other_share", "distinct_share", "switches", "case_switches", "longest_letters",
     "longest_digits", "is_hex", "is_digits", "word_share", "test_path", "path_depth", "near_keyword", "assigned", "quoted",
-    "before_letters", "after_letters",
+    "before_letters", "after_letters", "bearer", "known_form",
 )
 
 
@@ -57,17 +65,24 @@ def with_features(found: DataFrame) -> DataFrame:
         "switches": (count(v, "[A-Za-z](?=[0-9])") + count(v, "[0-9](?=[A-Za-z])")) / n, "case_switches": count(v, "[a-z](?=[A-Z])") / n,
         "longest_letters": longest("[A-Za-z]+"), "longest_digits": longest("[0-9]+"), "is_hex": flag(v.rlike("^[0-9a-fA-F]+$")),
         "is_digits": flag(v.rlike("^[0-9_+/-]+$")), "word_share": 1 - F.length(F.regexp_replace(F.lower(v), "|".join(DICTIONARY), "")) / n,
-        "test_path": flag(path.rlike(TEST_PATH)), "path_depth": count(path, "/"), "near_keyword": flag(before.rlike(NEIGHBOURS + r"\W*$")),
-        "assigned": flag(before.rlike(r"[=:]\s*[\"']?$")), "quoted": flag(before.rlike("[\"']$") & after.rlike("^[\"']")),
+        "test_path": flag(path.rlike(TEST_PATH)), "path_depth": count(path, "/"), "near_keyword": flag(before.rlike(NEIGHBOURS + r"[\w-]*\W*$")),
+        "assigned": flag(before.rlike(r"[=:]>?\s*[\"'`]?$")), "quoted": flag(before.rlike("[\"']$") & after.rlike("^[\"']")),
         "before_letters": F.length(F.regexp_extract(before, r"(\p{L}*)\P{L}*$", 1)).cast("double"),
         "after_letters": F.length(F.regexp_extract(after, r"^\P{L}*(\p{L}*)", 1)).cast("double"),
+        "bearer": flag(before.rlike(r"(?i)\bbearer\s+$")), "known_form": flag(v.rlike(KNOWN)),
     }
     return found.withColumns(columns)
 
 
 def rule_labels(found: DataFrame) -> Column:
-    """Labels of findings where no reviewer gave any: a quoted value given to a credential's name."""
-    return ((F.col("near_keyword") > 0) & (F.col("assigned") > 0) & (F.col("quoted") > 0) & (F.col("is_digits") == 0)).cast("double")
+    """Labels of findings where no reviewer gave any.
+
+    A value given to a credential's name, quoted or not, a bearer's and one of a known form are
+    secrets. Others beside such a name, but for numbers, are left without a label (null), the rest are none.
+    """
+    named = (F.col("near_keyword") > 0) & (F.col("assigned") > 0) | (F.col("bearer") > 0)
+    secret = (F.col("known_form") > 0) | named & (F.col("is_digits") == 0)
+    return F.when(secret, 1.0).when((F.col("near_keyword") > 0) & (F.col("is_digits") == 0), F.lit(None)).otherwise(0.0)
 
 
 def scored_findings(featured: DataFrame, labelled: DataFrame, rows: int = 5_000, trees: int = 20, depth: int = 6, seed: int = 1) -> DataFrame:
@@ -96,15 +111,20 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
 
     Whole texts are searched; null and empty texts have no candidates. Repeated rows give repeated
     findings. ``labelled`` are reviewed findings (``doc_id``, ``value``, ``label``); without them the rule
-    of ``rule_labels`` labels the corpus's own. Extra columns play no part. An empty table gives no rows.
+    of ``rule_labels`` labels the corpus's own, and what it calls a secret is one whatever the forest
+    makes of a rare form. Extra columns play no part. An empty table gives no rows.
     """
     featured = materialize(with_features(findings(docs, doc_id, text, path)), "findings")
     if labelled is None:
-        known = featured.withColumn("label", rule_labels(featured))
+        known = featured.withColumn("label", rule_labels(featured)).filter("label IS NOT NULL")
     else:
         marks = labelled.select("doc_id", "value", F.col("label").cast("double").alias("label")).distinct()
         known = featured.join(marks, ["doc_id", "value"])
     found = scored_findings(featured, known, **options)
+    if labelled is None:
+        ruled = F.coalesce(rule_labels(found), F.lit(0.0)) > 0
+        found = found.withColumn("probability", F.when(ruled, 1.0).otherwise(F.col("probability")))
+        found = found.withColumn("is_secret", F.col("is_secret") | ruled)
     return found.select("doc_id", "value", "start", F.col("n_chars").cast("int").alias("n_chars"), "probability", "is_secret")
 
 
