@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -37,18 +39,40 @@ FEATURES = (
 )
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _starts(lengths: Column) -> Column:
+    """Sum of all lengths before each, by sums of stretches of 256, so that long texts take about linear time."""
+    total = lambda a: F.aggregate(a, F.lit(0), lambda t, n: t + n)
+    stretches = F.transform(F.sequence(F.lit(0), F.expr("0") + F.floor(F.size(lengths) / 256).cast("int")), lambda c: total(F.slice(lengths, c * 256 + 1, 256)))
+    before = lambda sums: F.transform(sums, lambda _, c: total(F.slice(sums, 1, c)))
+    place = lambda sums: F.transform(lengths, lambda _, i: sums[F.floor(i / 256).cast("int")] + total(F.slice(lengths, i - i % 256 + 1, i % 256)))
+    return _bound(_bound(stretches, before), place)
+
+
 def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source") -> DataFrame:
-    """``(doc_id, path, value, start, before, after)``: each different candidate of a text at its first place."""
+    """``(doc_id, path, value, start, before, after)``: each candidate of a text at each of its places."""
     require(docs, doc_id, text, path)
     body = F.col(text)
-    values = F.array_distinct(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)))
-
-    def around(v: Column) -> Column:
-        at = F.expr("0") + F.instr(body, v)
-        low = F.greatest(at - BEFORE, F.lit(1))
-        return F.struct(v.alias("value"), at.alias("start"), body.substr(low, at - low).alias("before"), body.substr(at + F.length(v), F.lit(AFTER)).alias("after"))
-
-    got = docs.select(F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), F.explode(F.transform(values, around)).alias("f"))
+    found = F.struct(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("v"), F.split(body, CANDIDATE, -1).alias("p"))
+
+    def at(i: Column, s: Column, starts: Column) -> Column:
+        # Values have 16 or more characters, so three of them fill the text before a place.
+        piece = lambda a, k: F.coalesce(F.get(a, k), F.lit(""))
+        prior = F.concat(*[piece(s[n], i - k) for k in (3, 2, 1) for n in ("p", "v")], piece(s["p"], i))
+        after = F.concat(piece(s["p"], i + 1), piece(s["v"], i + 1))
+        return F.struct(
+            F.get(s["v"], i).alias("value"), (F.get(starts, i) + F.char_length(piece(s["p"], i)) + 1).alias("start"),
+            F.right(prior, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"))
+
+    def places(s: Column) -> Column:
+        lengths = F.transform(s["v"], lambda v, i: F.char_length(v) + F.char_length(F.get(s["p"], i)))
+        return _bound(_bound(lengths, _starts), lambda starts: F.transform(s["v"], lambda _, i: at(i, s, starts)))
+
+    got = docs.select(F.col(doc_id).alias("doc_id"), F.col(path).cast("string").alias("path"), F.explode(_bound(found, places)).alias("f"))
     return got.select("doc_id", "path", "f.*")
 
 
@@ -107,9 +131,10 @@ def scored_findings(featured: DataFrame, labelled: DataFrame, rows: int = 5_000,
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", labelled: DataFrame | None = None, **options) -> DataFrame:
-    """``(doc_id, value, start, n_chars, probability, is_secret)`` of every different candidate of every row.
+    """``(doc_id, value, start, n_chars, probability, is_secret)`` of every place of every candidate of every row.
 
-    Whole texts are searched; null and empty texts have no candidates. Repeated rows give repeated
+    ``probability`` is that of the place; a value is a secret in all its places in the rows of an id if
+    it is in one. Whole texts are searched; null and empty texts have no candidates. Repeated rows give repeated
     findings. ``labelled`` are reviewed findings (``doc_id``, ``value``, ``label``); without them the rule
     of ``rule_labels`` labels the corpus's own, and what it calls a secret is one whatever the forest
     makes of a rare form. Extra columns play no part. An empty table gives no rows.
@@ -125,6 +150,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
         ruled = F.coalesce(rule_labels(found), F.lit(0.0)) > 0
         found = found.withColumn("probability", F.when(ruled, 1.0).otherwise(F.col("probability")))
         found = found.withColumn("is_secret", F.col("is_secret") | ruled)
+    found = materialize(found, "scored-findings")
+    secret = found.filter("is_secret").select(F.col("doc_id").alias("__d"), F.col("value").alias("__v")).distinct()
+    found = found.join(secret, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("value") == F.col("__v")), "left")
+    found = found.withColumn("is_secret", F.col("__v").isNotNull())
     return found.select("doc_id", "value", "start", F.col("n_chars").cast("int").alias("n_chars"), "probability", "is_secret")
 
 

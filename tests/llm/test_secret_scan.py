@@ -1,4 +1,5 @@
 import random
+import re
 
 from etlkit.llm import secret_scan as S
 
@@ -72,3 +73,19 @@ def test_forms_of_secrets(spark):
         assert "[SECRET]" in clean[i] and h not in clean[i] and jwt[-20:] not in clean[i], t
     found = S.with_features(S.findings(spark.createDataFrame(spared, SCHEMA)))
     assert {r.label for r in found.select(S.rule_labels(found).alias("label")).collect()} == {0.0}
+
+
+def test_every_place_is_a_finding(spark):
+    h = "0a1b2c3d4e5f60718293a4b5c6d7e8f9"
+    text = f'é see x.org/{h}/a, {h} or {h[:16]} {h[16:]} {h[::-1]} {h}\n' + f'token = "{h}" end'
+    long = " ".join(f"ü{k} " + h for k in range(700))
+    rows, _ = corpus()
+    docs = spark.createDataFrame(rows + [(900, text, "a", 0, "x"), (901, long, "a", 0, "x"), (902, h, "a", 0, "x")], SCHEMA)
+    texts = {900: text, 901: long, 902: h}
+    got = [r for r in S.findings(docs).collect() if r.doc_id >= 900]
+    for i, t in texts.items():
+        want = [(m.start() + 1, m.group(), t[max(0, m.start() - 48) : m.start()], t[m.end() : m.end() + 16]) for m in re.finditer(S.CANDIDATE, t)]
+        assert sorted((r.start, r.value, r.before, r.after) for r in got if r.doc_id == i) == want and len(want) >= 1
+    assert sum(r.value == h for r in got if r.doc_id == 900) == 3
+    assert all(r.is_secret for r in S.scan(docs).filter("doc_id = 900").collect() if r.value == h)
+    assert h not in next(r.text for r in S.redacted(docs).collect() if r.doc_id == 900)
