@@ -8,7 +8,7 @@ fingerprints at most ``t`` bits apart are at most ``t`` bits apart in any block,
 enough for an exact join at a small threshold. Very many fingerprints take the product of two codes, a
 codeword for each of two blocks (16.8 million anchors), so that anchors stay small; the bits beyond
 radius 3 that a copy may differ by are then shared between the blocks. A loose threshold on a wide
-fingerprint uses several blocks on their own: a pair is found when at least one of them differs in two
+fingerprint uses several blocks on their own: a pair is found when at least one of them differs in four
 bits or fewer.
 """
 
@@ -208,20 +208,20 @@ def links(classes: DataFrame, threshold: int, words: int = 1, blocks: int = 1, e
 
     By default a row is at home with its nearest anchor and copied to all within the covering radius
     plus ``threshold``; every pair within the threshold is found. With ``everywhere`` a pair counts
-    as met in a block when it differs there in two bits or fewer. Such a pair has a midpoint one bit
-    from both, whose anchor lies within radius + 1 of both, so rows are filed there and all are
-    compared, which takes a quarter of the copies. A crowded anchor is cut in cells by id and every
+    as met in a block when it differs there in four bits or fewer. Such a pair has a midpoint at most
+    two bits from both, whose anchor lies within radius + 2 of both, so rows are filed there and all
+    are compared; every pair is found when the threshold is below five bits a block. A crowded anchor is cut in cells by id and every
     pair of its cells is compared in a task of its own; nothing is capped. ``codes`` of 2 files under
     anchors of the product code, which is the default for very many fingerprints; links between the
     same rows are found either way.
     """
-    reach = RADIUS + (1 if everywhere else threshold)
+    reach = RADIUS + (2 if everywhere else threshold)
     many = classes.count()
     codes = codes or (2 if many >= TWO_CODES_FROM and not everywhere else 1)
     if codes not in (1, 2) or codes == 2 and (everywhere or blocks != 1):
         raise ValueError("two codes make one anchor of two blocks")
     # Anchors are compared in bundles of a bounded expected number of rows.
-    copies = many * (61 if codes == 2 else 22 if not everywhere else 5.4 * blocks)
+    copies = many * (61 if codes == 2 else 22 if not everywhere else 22 * blocks)
     width = max(1, int((1 << 24 if codes == 2 else 4096 * blocks) // max(512 * blocks, copies / GROUP_ROWS)))
     columns = [f"w{k}" for k in range(words)]
 

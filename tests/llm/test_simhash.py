@@ -132,3 +132,19 @@ def test_loose_threshold_finds_near_copies(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_groups(docs).count() == 0
+
+
+def test_loose_threshold_over_blocks_is_exact(spark):
+    rng, rows, far = np.random.default_rng(5), [], [5] * 8 + [4] * 3
+    for k in range(60):
+        bits = rng.integers(0, 2, 256, dtype=np.uint8)
+        other = bits.copy()
+        # 52 differing bits, four or five in each block; every third pair has one more.
+        for b, n in enumerate(rng.permutation(far)):
+            other[b * 23 + rng.choice(23, n, replace=False)] ^= 1
+        if k % 3 == 0:
+            other[255] ^= 1
+        rows += [(2 * k, np.packbits(bits).tobytes()), (2 * k + 1, np.packbits(other).tobytes())]
+    classes = spark.createDataFrame(rows, "id long, fingerprint binary")
+    got = {(r.id, r.low) for r in simhash.links(classes, 52, 4, 11, True).collect()}
+    assert got == {(2 * k + 1, 2 * k) for k in range(60) if k % 3}
