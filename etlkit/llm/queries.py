@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etlkit.llm import decontam, html_blocks, mixing, nbsvm, secret_scan, simhash, tokens, toxicity, urls, vectors
+from etlkit.llm import decontam, html_blocks, licenses, mixing, nbsvm, phrases, secret_scan, simhash, tokens, toxicity, urls, vectors, whitening
 from etlkit.llm.registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -205,3 +205,60 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_collision_counting_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors of one label with cosine 0.93 or more."""
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.93)
+
+
+def _phrase_sql() -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+cut AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS l FROM pieces),
+totals AS (SELECT lang, sum(len(l))::BIGINT AS n FROM cut GROUP BY lang),
+grams AS (SELECT lang, unnest(l) AS phrase, 1 AS size FROM cut
+  UNION ALL SELECT lang, unnest([l[i] || ' ' || l[i + 1] FOR i IN range(1, len(l))]), 2 FROM cut
+  UNION ALL SELECT lang, unnest([l[i] || ' ' || l[i + 1] || ' ' || l[i + 2] FOR i IN range(1, len(l) - 1)]), 3 FROM cut),
+counts AS (SELECT lang, phrase, size, count(*) AS f FROM grams GROUP BY lang, phrase, size HAVING count(*) >= 10),
+cuts AS (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counts WHERE size > 1),
+parts AS (SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+  FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:k], ' ') JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(w[k + 1:], ' ')),
+worst AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS o FROM parts) WHERE o = 1),
+inside AS (SELECT lang, phrase, max(f) AS longer FROM (
+  SELECT lang, f, array_to_string(w[1:2], ' ') AS phrase FROM cuts WHERE size = 3 UNION ALL SELECT lang, f, array_to_string(w[2:3], ' ') FROM cuts WHERE size = 3) GROUP BY lang, phrase),
+ranked AS (SELECT w.*, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank
+  FROM worst w LEFT JOIN inside i ON i.lang = w.lang AND i.phrase = w.phrase WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query(_phrase_sql())
+def op11_son_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best collocations of each language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def _license_sql() -> str:
+    known = licenses.filed(licenses.PHRASES, licenses.TEMPLATES, 0.8, {})
+    rows = ", ".join(
+        f"({t}, '{f.label}', {f.base}, {len(f.words)}, {f.need}, {len(f.keys)}, {k}, '{w}', {k in f.keys})" for t, f in enumerate(known) for k, w in enumerate(f.words))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS l FROM documents),
+w AS (SELECT doc_id, unnest(l) AS word, generate_subscripts(l, 1) - 1 AS p FROM d),
+known(t, label, base, size, need, keys, k, word, is_key) AS (VALUES {rows}),
+met AS (SELECT doc_id, t, any_value(label) AS label, any_value(base) AS base, p - k AS start, count(*) / any_value(size) AS score
+  FROM w JOIN known USING (word) GROUP BY doc_id, t, p - k HAVING count(*) >= any_value(need) AND count(*) FILTER (is_key) = any_value(keys)),
+found AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM met GROUP BY doc_id)
+SELECT doc_id, len(l) AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN found USING (doc_id)"""
+
+
+@query(_license_sql())
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and passages of every document."""
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 strongest components, whitened."""
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=32)
