@@ -23,17 +23,16 @@ from etlkit.llm.common import materialize
 from etlkit.runtime import require
 
 TOKEN = re.compile(r"\w+")
-# Seeds of the join, and the run whose hits are counted before a seed is sent. Three substitutions in
-# 16 tokens leave a run of four; of 15 tokens they may leave runs of three, which the second seed meets.
-SEEDS, GRAM = ("1111", "11101"), "111"
+# Seeds of the join (fixed masks, 0 is ignored). Together they meet every overlap of 16 or 15 tokens with three
+# substitutions and of 12 to 14 tokens with two; ``seeds_for`` tries all of these.
+SEEDS = ("111101", "1100111")
+# Runs of three that are counted before a seed is sent: an overlap holds some whatever is substituted.
+GRAM = "111"
 # Items below this number of tokens are looked for as a whole.
 SHORT = 12
-# Masks of the registered SQL: positions looked at in a window of 12 tokens. Overlaps that hit none exist.
-MASKS = ("110110111011", "101101101111", "111011011101", "111100111110")
-SPAN = 12
 # Bits of the filter that is sent to the executors, as a power of two: 4 MiB whatever the benchmark.
 FILTER_LOG2 = 25
-MULTIPLIERS = np.random.default_rng(20240).integers(1, 2**62, (len(MASKS), SPAN), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MULTIPLIERS = np.random.default_rng(20240).integers(1, 2**62, (2, SHORT), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class _Hashes(dict):
@@ -53,11 +52,6 @@ def token_hashes(text: str | None, memory: _Hashes) -> np.ndarray:
     return np.fromiter(map(memory.__getitem__, found), dtype=np.uint64, count=len(found))
 
 
-def window_hashes(tokens: np.ndarray, mask: int) -> np.ndarray:
-    """Hash of the looked-at positions of every window, different for each mask."""
-    return pattern_hashes(tokens, MASKS[mask], mask)
-
-
 def pattern_hashes(tokens: np.ndarray, pattern: str, row: int = 0) -> np.ndarray:
     """Hash of the places of every window that a pattern marks by 1, different for each pattern."""
     n = len(tokens) - len(pattern) + 1
@@ -97,7 +91,7 @@ def _counted(hits: np.ndarray, width: int, least: int) -> np.ndarray:
 
 def _joined_spans(positions: np.ndarray, reach: int, n: int) -> list[tuple[int, int]]:
     """Stretches of tokens within ``reach`` of some position, overlapping ones joined."""
-    low, high = np.maximum(positions - reach, 0), np.minimum(positions + SPAN + reach, n)
+    low, high = np.maximum(positions - reach, 0), np.minimum(positions + SHORT + reach, n)
     cut = np.flatnonzero(low[1:] > high[:-1]) + 1
     starts, ends = np.concatenate(([0], cut)), np.concatenate((cut, [len(low)]))
     return [(int(low[a]), int(high[b - 1])) for a, b in zip(starts, ends)]
@@ -117,7 +111,7 @@ def best_overlap(tokens: np.ndarray, item: np.ndarray, offset: int, window: int)
 
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",
-    item_text: str = "text", window: int = 16, share: float = 0.8, longest_item: int = 4_096,
+    item_text: str = "text", window: int = 16, share: float = 0.8, longest_item: int = 4_096, least_item: int = 1,
 ) -> DataFrame:
     """``(doc_id, item_id, overlap)`` of every pair of a row and an item with a verified overlap.
 
@@ -125,7 +119,8 @@ def contaminated(
     same places of the text; ``overlap`` is the largest count of equal tokens. Every overlap holds one
     of the seeds; a window and share for which none of them is sure to raise ``ValueError``. An item
     shorter than ``window`` is its own window, and below 12 tokens all of them must be equal. Items
-    without tokens match nothing; null texts count as empty. An item above ``longest_item`` tokens is cut in pieces
+    below ``least_item`` tokens and without any match nothing (with 1, a document that holds a one-word item
+    matches it); null texts count as empty. An item above ``longest_item`` tokens is cut in pieces
     that overlap by two windows, so each part of it is looked for. Rows of one id count as one document; rows and items with a null
     id are left out. An empty table on either side gives no rows.
     """
@@ -147,7 +142,7 @@ def contaminated(
                 tokens = token_hashes(t, memory)
                 for at in range(0, max(1, len(tokens) - 2 * window), longest_item - 2 * window):
                     part = tokens[at : at + longest_item]
-                    if len(part):
+                    if len(part) and len(tokens) >= least_item:
                         ids.append(i), numbers.append(at), parts.append(part.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, batch.schema.types[0]), pa.array(numbers, pa.int64()), pa.array(parts, pa.binary())], names=["item_id", "piece", "item"])
@@ -238,7 +233,8 @@ def contaminated(
     return spans.select("doc_id", "key").join(checked, "key").groupBy("doc_id", "item_id").agg(F.max("overlap").alias("overlap"))
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, columns as they are, whose id is in no verified pair. Null ids stay."""
-    bad = contaminated(docs, benchmark, doc_id, **options).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(materialize(bad, "bad-documents"), F.col(doc_id) == F.col("__bad"), "left_anti")
+def decontaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, columns as they are, whose text has no verified overlap. Ids, null ones too, play no part."""
+    keyed = docs.select(F.md5(text).alias("__key"), F.col(text).alias("text"))
+    bad = contaminated(keyed, benchmark, "__key", **options).select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(materialize(bad, "bad-documents"), F.md5(text) == F.col("__bad"), "left_anti")

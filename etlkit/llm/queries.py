@@ -111,26 +111,23 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("__domain").alias("domain"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), "n_tokens", "copies")
 
 
-def _decontam_sql() -> str:
-    words = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
-    ahead = ", ".join(f"lead(w, {k}) OVER s AS w{k}" for k in range(1, 12))
-    hits = []
-    for mask in decontam.MASKS:
-        same = " AND ".join(f"a.w{k} = b.w{k}" for k in range(12) if mask[k] == "1")
-        hits.append(f"SELECT a.doc_id, b.item_id, a.p - b.p AS shift FROM dw a JOIN bw b ON {same} WHERE a.w11 IS NOT NULL AND b.w11 IS NOT NULL")
-    return f"""
-WITH d AS (SELECT doc_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS p FROM documents),
-b AS (SELECT item_id, unnest({words}) AS w, generate_subscripts({words}, 1) AS p FROM benchmark),
-dw AS (SELECT doc_id, p, w AS w0, {ahead} FROM d WINDOW s AS (PARTITION BY doc_id ORDER BY p)),
-bw AS (SELECT item_id, p, w AS w0, {ahead} FROM b WINDOW s AS (PARTITION BY item_id ORDER BY p)),
-hits AS ({' UNION '.join(hits)}),
-equal AS (SELECT h.*, b.p, CASE WHEN d.w = b.w THEN 1 ELSE 0 END AS e FROM hits h JOIN b USING (item_id) JOIN d ON d.doc_id = h.doc_id AND d.p = b.p + h.shift),
-runs AS (SELECT doc_id, item_id, sum(e) OVER s AS overlap, count(*) OVER s AS n FROM equal
-  WINDOW s AS (PARTITION BY doc_id, item_id, shift ORDER BY p ROWS BETWEEN CURRENT ROW AND 15 FOLLOWING))
-SELECT doc_id, item_id, max(overlap)::INT AS overlap FROM runs WHERE n = 16 AND overlap >= 13 GROUP BY doc_id, item_id"""
-
-
-@query(_decontam_sql())
+# The plain definition: every item laid over every document at every place where enough tokens are equal.
+_DECONTAM_SQL = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w, generate_subscripts(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), 1) AS p FROM documents),
+b AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS w, generate_subscripts(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+'), 1) AS p FROM benchmark),
+items AS (SELECT item_id, count(*) AS n, least(count(*), 16) AS width, CASE WHEN count(*) < 12 THEN count(*) ELSE ceil(0.8 * least(count(*), 16)) END AS need FROM b GROUP BY item_id),
+lengths AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+equal AS (SELECT doc_id, item_id, d.p - b.p AS shift, b.p FROM d JOIN b USING (w)),
+offsets AS (SELECT doc_id, item_id, shift, count(*) AS hits FROM equal GROUP BY doc_id, item_id, shift),
+laid AS (SELECT doc_id, item_id, shift, width, need, greatest(1, 1 - shift) AS low, least(items.n, lengths.n - shift) AS high
+  FROM offsets JOIN items USING (item_id) JOIN lengths USING (doc_id) WHERE hits >= need),
+starts AS (SELECT DISTINCT doc_id, item_id, shift, width, need, least(p, high - width + 1) AS s FROM laid JOIN equal USING (doc_id, item_id, shift) WHERE high - low + 1 >= width),
+runs AS (SELECT doc_id, item_id, shift, s, any_value(need) AS need, count(*) AS overlap FROM starts JOIN equal USING (doc_id, item_id, shift)
+  WHERE p BETWEEN s AND s + width - 1 GROUP BY doc_id, item_id, shift, s)
+SELECT doc_id, item_id, max(overlap)::INT AS overlap FROM runs WHERE overlap >= need GROUP BY doc_id, item_id"""
+
+
+@query(_DECONTAM_SQL)
 def op7_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with every benchmark item that overlaps it in 13 of 16 neighbouring tokens."""
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
