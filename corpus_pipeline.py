@@ -12,16 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from etlkit.llm import decontam, secret_scan, simhash, toxicity
+from etlkit.llm import decontam, near_texts, secret_scan, toxicity
 from etlkit.llm.common import materialize
 from etlkit.llm.queries import TOXIC_CATEGORIES, mixture
 from etlkit.llm.registry import table
 
-# Near duplicates: 256-bit fingerprints of 5-word shingles. At 52 differing bits two texts have an
-# estimated cosine of 0.8; shingle sets with a Jaccard similarity of 0.8 differ in 39 bits on average.
-NEAR = {"shingle": 5, "words": 4, "blocks": 11, "threshold": 52, "everywhere": True}
-
-
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the classifier chain rejects."""
     chain = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), "toxic", TOXIC_CATEGORIES)
@@ -29,16 +24,8 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near duplicates; of repeated ids one row.
-
-    Rows without an id cannot be told apart and stay.
-    """
-    groups = materialize(simhash.near_groups(docs, **NEAR).select("doc_id", "component_id"), "near-groups")
-    known = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("c"), F.count(F.lit(1)).alias("n"))
-    marked = materialize(known.filter("doc_id <> c OR n > 1").select(F.col("doc_id").alias("__id"), F.expr("doc_id = c").alias("__repeated")), "near-marked")
-    once = docs.join(marked, F.col("doc_id") == F.col("__id"), "left_anti")
-    repeated = docs.join(marked.filter("__repeated"), F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated)
+    """Keep one document of each group linked by a Jaccard similarity of 0.8 or more on 5-word shingles."""
+    return near_texts.distinct_texts(docs)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
