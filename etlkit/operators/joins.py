@@ -22,6 +22,17 @@ def join_dim(
     return fact.join(broadcast_if_small(dim, limit), names(on), how)
 
 
+def join_pruned(fact: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "inner", limit: int = BROADCAST_LIMIT) -> DataFrame:
+    """Join a partitioned fact with a filtered dimension on partition columns; only matching partitions are read.
+
+    Spark builds the filter of partitions at run time from the broadcast dimension, so this needs a
+    dimension of a known small size and a filter on it; otherwise it is a plain join, with the same rows.
+    """
+    if how not in ("inner", "left_semi"):
+        raise ValueError("partitions can be pruned by inner and left_semi joins")
+    return join_dim(fact, dim, on, how, limit)
+
+
 def join_with(
     left: DataFrame, right: DataFrame, on: str | Sequence[str], strategy: str, how: str = "inner",
     limit: int = BROADCAST_LIMIT,

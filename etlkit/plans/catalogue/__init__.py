@@ -6,6 +6,7 @@ from etlkit.plans.catalogue import (  # noqa: F401
     quality,
     relational,
     scalars,
+    storage,
     streams,
     windowing,
 )

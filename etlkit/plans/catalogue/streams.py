@@ -12,6 +12,7 @@ from etlkit.plans.catalogue.registry import query
 from etlkit.plans.catalogue.relational import _INTERVAL_SQL, _two_event_sides
 from etlkit.runtime import shared_dir
 from etlkit.streaming import events as E
+from etlkit.streaming import late as L
 from etlkit.streaming.inputs import file_source, flushed_source, with_event_time
 from etlkit.streaming.sinks import run_to_table, start_file_sink
 
@@ -229,3 +230,72 @@ def safe_event_amounts(t):
     amount = F.when(F.col("event_id") % 10 == 0, F.lit(None)).when(F.col("value") < 10, -1.0).otherwise(F.col("value"))
     rows = t.events.select("event_id", "ts", amount.alias("amount"))
     return E.safe_amounts(rows, "amount", as_of=F.col("ts")).select("event_id", "amount_validated", "processed_timestamp")
+
+
+# Arrival of events in twenty slots: up to 19 minutes after their time, every fortieth six hours more.
+_SLOTS = 20
+_ARRIVAL_MINUTES = "(event_id * 7 % 20 + CASE WHEN event_id % 40 = 0 THEN 360 ELSE 0 END)"
+
+
+def _arriving(t, label, max_files=None):
+    """The events as a stream that they come to slot by slot, and the steps that bring the slots."""
+    arrival = F.unix_seconds(F.col("ts").cast("timestamp")) + F.expr(_ARRIVAL_MINUTES) * 60
+    known = t.events.agg(F.min(arrival).alias("first"), (F.max(arrival) - F.min(arrival) + 1).alias("span"))
+    first, span = known.first()
+    slot = F.expr("0") if first is None else F.floor((arrival - first) * _SLOTS / span)
+    path, steps = L.arrivals(t.spark, t.events.withColumn("slot", slot.cast("int")), "slot", label)
+    return file_source(t.spark, path, t.events.schema, max_files=max_files), steps
+
+
+def _late_run(t, label, delay, stateful, mode="update", keys=()):
+    source, steps = _arriving(t, label, max_files=4)
+    # All slots are there at once; files are taken a few at a time in whatever order they are listed.
+    list(steps())
+    return L.run_with_late_rows(source, "ts", delay, stateful, label, mode, keys)
+
+
+def _late_windows(t, label, delay, by, length, slide=None):
+    parts = lambda rows: E.window_parts(rows, "ts", by, "value", length, slide)
+    run = _late_run(t, label, delay, parts, keys=[*_WINDOW, by])
+    return E.add_windows(run.emitted.unionByName(parts(run.late)), by)
+
+
+@query(_TUMBLE_SQL)
+def late_tumbling_windows(t):
+    """Five-minute windows with a ten-minute watermark; late rows are added to closed windows."""
+    return _shape(_late_windows(t, "late-tumbling", "10 minutes", "event_type", "5 minutes"), _TOTALS)
+
+
+@query(_SLIDES_SQL.format(unique=""))
+def late_sliding_windows(t):
+    return _shape(_late_windows(t, "late-sliding", "10 minutes", "event_type", "5 minutes", "1 minute"), _TOTALS)
+
+
+@query(_FRAUD_SQL)
+def late_fraud_windows(t):
+    windows = _late_windows(t, "late-fraud", "5 minutes", "user_id", "1 hour").drop("avg_amount")
+    return _shape(E.score_windows(windows, 2, 300, 0.4), _FRAUD)
+
+
+@query(_SESSIONS_SQL)
+def late_session_windows(t):
+    """Sessions with a fifteen-minute watermark; late rows join or bridge closed sessions."""
+    sessions = lambda rows: E.session_stats(rows, "ts", "user_id", "value", "30 minutes")
+    run = _late_run(t, "late-sessions", "15 minutes", sessions, "append")
+    return _shape(E.join_sessions(run.emitted.unionByName(sessions(run.late)), "user_id", "30 minutes"), {"total_amount": 4})
+
+
+@query(f"""
+    WITH arrived AS (SELECT *, epoch(ts)::BIGINT + {_ARRIVAL_MINUTES} * 60 AS came FROM events),
+    slots AS (SELECT *, ((came - min(came) OVER ()) * {_SLOTS} / (max(came) OVER () - min(came) OVER () + 1))::DOUBLE AS place FROM arrived),
+    marks AS (SELECT floor(place) AS slot, max(ts) AS latest FROM slots GROUP BY 1),
+    before AS (SELECT slot, max(latest) OVER (ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mark FROM marks)
+    SELECT event_id, user_id, ts FROM slots JOIN before ON slot = floor(place) WHERE ts < mark - INTERVAL 10 MINUTE
+""")
+def late_rows_aside(t):
+    """The rows that a ten-minute watermark leaves behind when the slots come one after the other."""
+    source, steps = _arriving(t, "late-rows")
+    folder = shared_dir(t.spark, "late-rows")
+    for _ in steps():
+        L.start_divert(source, "ts", "10 minutes", folder, {"availableNow": True}).awaitTermination()
+    return L.late_rows(t.spark, folder, t.events.schema).select("event_id", "user_id", "ts")

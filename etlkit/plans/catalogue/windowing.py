@@ -164,3 +164,15 @@ def time_range_frames(t):
 def zscore_per_group(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
     return W.zscore(rows, "o_custkey", "o_totalprice").select("o_orderkey", F.round("z_score", 6).alias("z_score"))
+
+
+@query("""
+    SELECT event_id, round(sum(value) OVER w, 4) AS total_3d, count(value) OVER w AS events_3d, min(value) OVER w AS min_3d,
+           max(value) OVER w AS max_3d, round(avg(value) OVER w, 10) AS avg_3d
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts RANGE BETWEEN INTERVAL 3 DAY PRECEDING AND CURRENT ROW)
+""")
+def time_range_frames_split(t):
+    """Frames of three days over a few keys, no window over more than 20,000 rows of a cell."""
+    frames = {"total_3d": ("sum", "value"), "events_3d": ("count", "value"), "min_3d": ("min", "value"), "max_3d": ("max", "value"), "avg_3d": ("avg", "value")}
+    out = W.moving_range_split(t.events.select("event_id", "event_type", "ts", "value"), "event_type", "ts", 3 * 86_400, frames, rows=20_000)
+    return out.select("event_id", F.round("total_3d", 4).alias("total_3d"), "events_3d", "min_3d", "max_3d", F.round("avg_3d", 10).alias("avg_3d"))

@@ -213,20 +213,22 @@ def _as_number(df: DataFrame, column: str) -> Column:
     raise ValueError(f"z-order needs numeric or time columns, not {kind.simpleString()} {column!r}")
 
 
-def write_zordered(
-    df: DataFrame, path: str, columns: Sequence[str], n_files: int, bits: int = 8,
-    mode: str = "errorifexists",
-) -> None:
-    """Cluster files on several columns at once, so range filters on any of them skip files.
+def zordered(df: DataFrame, columns: Sequence[str], n_files: int, bits: int = 8) -> DataFrame:
+    """Rows arranged in ``n_files`` tasks that are clustered on several columns at once.
 
-    The order is broken by a row hash, so one very frequent z value still spreads over files.
+    The order is broken by a row hash, so one very frequent z value still spreads over tasks.
     """
     z = z_value(df, columns, bits)
     ranged = df.withColumns({"__z": z, "__h": F.xxhash64(*df.columns)})
-    (
-        ranged.repartitionByRange(n_files, "__z", "__h").sortWithinPartitions("__z", *columns)
-        .drop("__z", "__h").write.mode(mode).parquet(path)
-    )
+    return ranged.repartitionByRange(n_files, "__z", "__h").sortWithinPartitions("__z", *columns).drop("__z", "__h")
+
+
+def write_zordered(
+    df: DataFrame, path: str, columns: Sequence[str], n_files: int, bits: int = 8,
+    mode: str = "errorifexists",
+) -> None:
+    """Files clustered on several columns at once, so range filters on any of them skip files."""
+    zordered(df, columns, n_files, bits).write.mode(mode).parquet(path)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:

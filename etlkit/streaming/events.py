@@ -88,10 +88,46 @@ def session_stats(
     return whole.select("window_start", "window_end", *key, "total_amount", "transaction_count")
 
 
-def _numbered_sessions(rows: DataFrame, keys: Sequence[str], first: Column, last: Column, gap: Column) -> DataFrame:
-    """Number rows per key so that rows which follow each other within ``gap`` share a number."""
+def window_parts(
+    sdf: DataFrame, ts: str, by: str | Sequence[str], amount: str, length: str = "5 minutes", slide: str | None = None
+) -> DataFrame:
+    """Totals per window and key that can be added up: sum, rows, rows with an amount."""
+    by = names(by)
+    require(sdf, ts, *by, amount)
+    at = F.window(F.col(ts).cast("timestamp") if not sdf.isStreaming else ts, length, slide)
+    return _ends(sdf.groupBy(at.alias("window"), *by).agg(
+        F.sum(amount).alias("total_amount"), F.count(F.lit(1)).alias("transaction_count"), F.count(amount).alias("amounts")))
+
+
+def add_windows(parts: DataFrame, by: str | Sequence[str]) -> DataFrame:
+    """Windows from parts of several runs, one row per window and key, with the average amount."""
+    whole = parts.groupBy("window_start", "window_end", *names(by)).agg(
+        *[F.sum(c).alias(c) for c in ("total_amount", "transaction_count", "amounts")])
+    return whole.withColumn("avg_amount", F.try_divide("total_amount", "amounts")).drop("amounts")
+
+
+def join_sessions(parts: DataFrame, key: str | Sequence[str], gap: str = "5 minutes") -> DataFrame:
+    """Sessions from parts of several runs: parts of a key that follow within ``gap`` become one."""
+    key, length = names(key), F.expr(f"INTERVAL {gap}")
+    pieces = parts.withColumn("__last", F.col("window_end") - length)
+    whole = _numbered_sessions(pieces, key, F.col("window_start"), F.max("__last").over(_before(key)), length, running=True)
+    whole = whole.groupBy(*key, "__session").agg(
+        F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end"),
+        F.sum("total_amount").alias("total_amount"), F.sum("transaction_count").alias("transaction_count"))
+    return whole.select("window_start", "window_end", *key, "total_amount", "transaction_count")
+
+
+def _before(keys: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy("window_start").rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _numbered_sessions(rows: DataFrame, keys: Sequence[str], first: Column, last: Column, gap: Column, running: bool = False) -> DataFrame:
+    """Number rows per key so that rows which follow each other within ``gap`` share a number.
+
+    With ``running``, ``last`` is already the latest end of all rows before.
+    """
     order = Window.partitionBy(*keys).orderBy(first)
-    starts = F.when(first <= F.lag(last).over(order) + gap, 0).otherwise(1)
+    starts = F.when(first <= (last if running else F.lag(last).over(order)) + gap, 0).otherwise(1)
     return rows.withColumn("__starts", starts).withColumn(
         "__session", F.sum("__starts").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     ).drop("__starts")
@@ -114,7 +150,11 @@ def fraud_scores(
     min_count: int = 10, min_total: float = 50_000, min_score: float = 20,
 ) -> DataFrame:
     """Busy or expensive customer windows, scored by 0.3 x count + 0.7 x total / 1000."""
-    windows = tumbling_stats(sdf, ts, customer, amount, length).drop("avg_amount")
+    return score_windows(tumbling_stats(sdf, ts, customer, amount, length).drop("avg_amount"), min_count, min_total, min_score)
+
+
+def score_windows(windows: DataFrame, min_count: int = 10, min_total: float = 50_000, min_score: float = 20) -> DataFrame:
+    """The windows of ``fraud_scores`` among finished totals."""
     score = F.col("transaction_count") * 0.3 + F.col("total_amount") / 1000 * 0.7
     return (
         windows.filter((F.col("transaction_count") > min_count) | (F.col("total_amount") > min_total))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -78,11 +80,66 @@ def start_batch_sink(
     trigger: Mapping[str, object] | None = None,
 ) -> StreamingQuery:
     """Call ``write(batch, batch_id)`` per batch. A batch may be repeated after a failure, so
-    ``write`` must replace what it wrote for the same id before."""
+    ``write`` must replace what it wrote for the same id before, or use ``commit_batch``."""
     writer = sdf.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
     return with_trigger(writer.outputMode(_mode(mode)), trigger).start()
 
 
+def _path(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def committed_batches(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the batches that ``commit_batch`` has put below ``path``."""
+    at, fs = _path(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(int(n.removeprefix("batch=")) for n in found if n.startswith("batch="))
+
+
+def commit_batch(batch: DataFrame, batch_id: int, path: str, by: str | Sequence[str] = ()) -> bool:
+    """Put a batch in ``path/batch=<id>`` once; False if the batch is there already.
+
+    Rows are staged beside the table and moved there in one step, which records the batch's number by
+    the folder's name. A failure before that step leaves nothing that readers see (names with an
+    underscore are hidden); a repeat after it changes nothing. Of two attempts at once the second
+    move fails and is taken back. The folder's file system must move folders in one step.
+    """
+    spark = batch.sparkSession
+    target, fs = _path(spark, f"{path}/batch={batch_id}")
+    if fs.exists(target):
+        return False
+    staged, _ = _path(spark, f"{path}/_staged/{batch_id}-{uuid.uuid4().hex}")
+    writer = batch.write
+    (writer.partitionBy(*names(by)) if by else writer).parquet(staged.toString())
+    jvm = spark._jvm.org.apache.hadoop.fs
+    context = jvm.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(jvm, "Options$Rename"), 0)
+    try:
+        context.rename(staged, target, plain)
+    except Py4JJavaError:
+        if not fs.exists(target):
+            raise
+        fs.delete(staged, True)
+        return False
+    return True
+
+
+def start_committed_sink(
+    sdf: DataFrame, path: str, ckpt: str, by: str | Sequence[str] = (), mode: str = "append",
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """A sink per batch that leaves every batch once, also when Spark repeats it after a failure."""
+    return start_batch_sink(sdf, lambda batch, batch_id: commit_batch(batch, batch_id, path, by) and None, ckpt, mode, trigger)
+
+
+def latest_versions(versions: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The row of the last ``batch`` for each key."""
+    rest = [c for c in columns if c not in keys]
+    latest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__row"))
+    return latest.select(*keys, "__row.*").select(*columns)
+
+
 def rows_dropped(query: StreamingQuery) -> int:
     """Rows that a finished query left out because they came later than the watermark allows.
 
@@ -135,7 +192,4 @@ def run_to_table(
     if mode == "complete":
         last = query.lastProgress["batchId"]
         return spark.read.schema(sdf.schema).parquet(f"{out}/batch={last}")
-    rest = [c for c in sdf.columns if c not in keys]
-    versions = spark.read.parquet(out)
-    latest = versions.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__row"))
-    return latest.select(*keys, "__row.*").select(*sdf.columns)
+    return latest_versions(spark.read.parquet(out), keys, sdf.columns)

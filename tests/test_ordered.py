@@ -115,3 +115,32 @@ def test_group_stats_with_null_keys(spark):
 def test_first_last_rejects_unknown_frame(spark):
     with pytest.raises(ValueError, match="frame"):
         W.first_last(frame(spark, [("a", 1, 1)]), "k", ["t", "id"], "v", frame="rows")
+
+
+def _skewed(spark):
+    rows = [("hot" if i % 5 else f"k{i % 3}", None if i % 97 == 0 else 1_700_000_000 + (i * 7919) % 40_000, None if i % 13 == 0 else float(i % 101)) for i in range(4_000)]
+    frame = spark.createDataFrame(rows, "k string, at long, v double")
+    return frame.withColumn("ts", F.timestamp_seconds("at")).withColumn("id", F.monotonically_increasing_id())
+
+
+@pytest.mark.parametrize("limit", [100_000, 200, 1])
+def test_split_range_frames_equal_the_window(spark, limit):
+    frames = {"s": ("sum", "v"), "n": ("count", "v"), "lo": ("min", "v"), "hi": ("max", "v"), "m": ("avg", "v")}
+    df = _skewed(spark).cache()
+    got = W.moving_range_split(df, "k", "ts", 9_000, frames, rows=limit)
+    want = W.moving_range(df, "k", "ts", 9_000, {"s": F.sum("v"), "n": F.count("v"), "lo": F.min("v"), "hi": F.max("v"), "m": F.avg("v")})
+    assert got.columns == [*df.columns, *frames]
+    a = {r.id: r for r in got.collect()}
+    b = {r.id: r for r in want.collect()}
+    assert set(a) == set(b) and len(a) == 4_000
+    for i, r in a.items():
+        assert (r.n, r.lo, r.hi) == (b[i].n, b[i].lo, b[i].hi)
+        assert r.s == pytest.approx(b[i].s) and r.m == pytest.approx(b[i].m)
+
+
+def test_cells_hold_no_more_rows_than_asked(spark):
+    df = _skewed(spark).filter("ts IS NOT NULL")
+    length = W.cell_seconds(df, "k", "ts", 9_000, 200)
+    most = df.groupBy("k", F.floor(F.unix_micros("ts") / (length * 1e6))).count().agg(F.max("count")).first()[0]
+    longer = df.groupBy("k", F.floor(F.unix_micros("ts") / (2 * length * 1e6))).count().agg(F.max("count")).first()[0]
+    assert most <= 200 < longer and length <= 9_000
