@@ -136,6 +136,27 @@ def bucketed_join(
     return spark.table(left).join(spark.table(right).hint("merge"), key, how)
 
 
+def bucketed_join_split(
+    spark: SparkSession, left: str, right: str, key: str, row_id: Sequence[str], how: str = "inner", share: float = 0.005, **options,
+) -> DataFrame:
+    """``bucketed_join`` for keys that may be very frequent in ``left``.
+
+    A bucket is one task, so a hot key makes a hot task. Keys above ``share`` of the rows are taken out of both sides
+    and joined with salts (``copartitioned_join``); all other keys still join bucket by bucket
+    without an exchange. The list has at most ``1 / share`` keys. Rows with a NULL key are cold.
+    """
+    a, b = spark.table(left), spark.table(right)
+    hot = list(hot_keys(a, key, share))
+    if not hot:
+        return bucketed_join(spark, left, right, key, how)
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError("only the left side may be split: use inner, left, left_semi or left_anti")
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    cold = a.filter(~is_hot).join(b.filter(~is_hot).hint("merge"), key, how)
+    split = copartitioned_join(a.filter(is_hot), b.filter(is_hot), key, row_id, how=how, share=share, **options)
+    return cold.unionByName(split)
+
+
 def deviation_from_group(
     df: DataFrame, by: str | Sequence[str], value: str, avg: str = "group_avg", name: str = "deviation"
 ) -> DataFrame:

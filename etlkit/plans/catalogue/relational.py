@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from etlkit.operators.joins import (
-    bucketed_join, copartitioned_join, deviation_from_group, interval_join, join_auto, join_chain,
+    bucketed_join, bucketed_join_split, copartitioned_join, deviation_from_group, interval_join, join_auto, join_chain,
     join_dim, join_with, matched, star_join, unmatched,
 )
 from etlkit.operators.relational import (
@@ -287,6 +287,26 @@ def join_bucketed(t):
     return bucketed_join(t.spark, *tables, "l_orderkey")
 
 
+# Four fifths of the lines get one order key.
+@query("""
+    SELECT l.key AS l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderstatus
+    FROM (SELECT *, CASE WHEN l_partkey % 5 > 0 THEN (SELECT min(o_orderkey) FROM orders) ELSE l_orderkey END AS key FROM lineitem) l
+    JOIN orders ON l.key = o_orderkey
+""")
+def join_bucketed_hot_key(t):
+    """Cold keys join bucket by bucket, the hot one with salts."""
+    lines, orders = _lines_and_orders(t)
+    one = orders.agg(F.min("l_orderkey")).first()[0]
+    skewed = lines.withColumn("l_orderkey", F.when(F.col("l_partkey") % 5 > 0, F.lit(one)).otherwise(F.col("l_orderkey")))
+    base = shared_dir(t.spark, "hot-buckets")
+    tables = []
+    for name, df in (("lines", skewed), ("orders", orders)):
+        tables.append(scratch_table(f"etlkit_hot_{name}_{base.rsplit('-', 1)[1]}"))
+        write_bucketed(df, tables[-1], "l_orderkey", t.spark.sparkContext.defaultParallelism, sort_by="l_orderkey", path=f"{base}/{name}")
+    out = bucketed_join_split(t.spark, *tables, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], share=0.05)
+    return out.select(*LINE_ID, "o_orderstatus")
+
+
 def _geography(t):
     return t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "n_name", "r_name")
 

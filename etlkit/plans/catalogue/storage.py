@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from etlkit.operators import sketches as S
 from etlkit.operators.joins import join_pruned
 from etlkit.plans.catalogue.registry import query
 from etlkit.runtime import shared_dir
 from etlkit.sinks import versions as V
-from etlkit.sinks.files import write_files, zordered
+from etlkit.sinks.files import append_evolving, read_evolving, write_files, zordered
 from etlkit.sources.files import read_files
 
 
@@ -118,3 +119,46 @@ def read_merged_schemas(t):
     _orders(t).filter("o_orderkey % 2 = 0").select("o_orderkey", "o_totalprice").write.parquet(f"{path}/part=0")
     _orders(t).filter("o_orderkey % 2 <> 0").select("o_orderkey", "o_totalprice", "o_orderpriority").write.parquet(f"{path}/part=1")
     return read_files(t.spark, path, merge_schema=True, glob="*.parquet").drop("part")
+
+
+@query("""
+    SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS o_orderpriority FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, floor(o_totalprice)::DOUBLE, o_orderpriority FROM orders WHERE o_orderkey % 3 = 1
+    UNION ALL SELECT o_orderkey, o_totalprice, NULL FROM orders WHERE o_orderkey % 3 = 2
+""")
+def append_widened(t):
+    """Appends with an int beside a double, an int beside a long and a column more."""
+    path = shared_dir(t.spark, "widened")
+    third = lambda k: _orders(t).filter(F.pmod("o_orderkey", F.lit(3)) == k)
+    append_evolving(third(0).select(F.col("o_orderkey").cast("int").alias("o_orderkey"), "o_totalprice"), path)
+    append_evolving(third(1).select("o_orderkey", F.floor("o_totalprice").cast("int").alias("o_totalprice"), "o_orderpriority"), path)
+    append_evolving(third(2).select("o_orderkey", "o_totalprice"), path)
+    return read_evolving(t.spark, path)
+
+
+@query("""
+    SELECT 'month' AS period, date_trunc('month', ts)::DATE AS first_day, count(*) AS n_rows, count(DISTINCT user_id) AS users, true AS users_in_bounds, true AS median_in_bounds FROM events GROUP BY 2
+    UNION ALL SELECT 'week', date_trunc('week', ts)::DATE, count(*), count(DISTINCT user_id), true, true FROM events GROUP BY 2
+""")
+def sketch_rollup(t):
+    """Daily sketches, stored and rolled up to weeks and months; exact figures beside them tell whether they hold.
+
+    A distinct count may be five standard errors off, a median as far as its rank may be.
+    """
+    path = shared_dir(t.spark, "daily-sketches")
+    S.sketched(t.events.withColumn("day", F.to_date("ts")), "day", "user_id", "value").write.parquet(path)
+    daily = t.spark.read.parquet(path)
+    low, high = 0.5 - S.RANK_ERROR, 0.5 + S.RANK_ERROR
+    out = None
+    for period in ("month", "week"):
+        start = lambda c, unit=period: F.to_date(F.date_trunc(unit, c)).alias("first_day")
+        found = S.estimates(S.rolled_up(daily, start("day")))
+        exact = t.events.groupBy(start("ts")).agg(F.count_distinct("user_id").alias("users"))
+        ranks = t.events.select(start("ts"), "value").join(found.select("first_day", F.col("quantiles")[0].alias("median")), "first_day").groupBy("first_day").agg(
+            F.avg((F.col("value") < F.col("median")).cast("int")).alias("below"), F.avg((F.col("value") <= F.col("median")).cast("int")).alias("upto"))
+        both = found.join(exact, "first_day").join(ranks, "first_day").select(
+            F.lit(period).alias("period"), "first_day", "n_rows", "users",
+            (F.abs(F.col("distinct_keys") - F.col("users")) <= 5 * 1.04 / 64 * F.col("users") + 1).alias("users_in_bounds"),
+            ((F.col("below") <= high) & (F.col("upto") >= low)).alias("median_in_bounds"))
+        out = both if out is None else out.unionByName(both)
+    return out

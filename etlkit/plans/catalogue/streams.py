@@ -14,6 +14,7 @@ from etlkit.runtime import shared_dir
 from etlkit.streaming import events as E
 from etlkit.streaming import late as L
 from etlkit.streaming.inputs import file_source, flushed_source, with_event_time
+from etlkit.streaming.sessions import run_split_sessions
 from etlkit.streaming.sinks import run_to_table, start_file_sink
 
 _SLIDES_SQL = """
@@ -299,3 +300,10 @@ def late_rows_aside(t):
     for _ in steps():
         L.start_divert(source, "ts", "10 minutes", folder, {"availableNow": True}).awaitTermination()
     return L.late_rows(t.spark, folder, t.events.schema).select("event_id", "user_id", "ts")
+
+
+@query(_SESSIONS_SQL)
+def stream_split_sessions(t):
+    """Sessions per user and two hours, joined over the borders by a second stateful query."""
+    out = run_split_sessions(_raw(t), "ts", "user_id", "value", 1800, 7200, _delay(t), "split")
+    return _shape(out, {"total_amount": 4})

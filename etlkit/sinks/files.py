@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
@@ -253,7 +254,90 @@ def compact(
     return out
 
 
-def append_evolving(df: DataFrame, path: str) -> None:
-    """Append files that may carry new columns; read them back with ``merge_schema``."""
-    write_files(df, path, mode="append")
+# Types that take every value of another without loss.
+WIDER = {
+    "tinyint": ("smallint", "int", "bigint", "double"), "smallint": ("int", "bigint", "double"), "int": ("bigint", "double"),
+    "float": ("double",), "date": ("timestamp_ntz",),
+}
+# Columns of a folder that grew by ``append_evolving``; hidden from readers of rows.
+_SCHEMA_FILE = "_evolved_schema"
+
+
+class SchemaClash(ValueError):
+    """A column has types that do not widen into each other."""
+
+
+def _wider(old: T.DataType, new: T.DataType, name: str) -> T.DataType:
+    """The type that holds the values of both."""
+    a, b = old.simpleString(), new.simpleString()
+    if a == b or b in ("void",):
+        return old
+    if a == "void" or b in WIDER.get(a, ()):
+        return new
+    if a in WIDER.get(b, ()):
+        return old
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        return merged_schema(old, new, f"{name}.")
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return T.ArrayType(_wider(old.elementType, new.elementType, f"{name}[]"))
+    raise SchemaClash(f"column {name}: {a} and {b} do not widen into each other")
+
+
+def merged_schema(old: T.StructType, new: T.StructType, prefix: str = "") -> T.StructType:
+    """Columns of both, old ones first, each with a type that loses nothing; clashes are an error. All may be null."""
+    known = {f.name: f.dataType for f in new}
+    fields = [T.StructField(f.name, _wider(f.dataType, known[f.name], prefix + f.name) if f.name in known else f.dataType) for f in old]
+    return T.StructType(fields + [T.StructField(f.name, f.dataType) for f in new if f.name not in {g.name for g in old}])
+
+
+def _as_type(value: Column, old: T.DataType, new: T.DataType) -> Column:
+    """A value in a wider type; fields that a struct lacks are NULL."""
+    if old == new:
+        return value
+    if isinstance(old, T.StructType) and isinstance(new, T.StructType):
+        fields = [(_as_type(value[f.name], old[f.name].dataType, f.dataType) if f.name in old.names else F.lit(None).cast(f.dataType)).alias(f.name) for f in new]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(old, T.ArrayType) and isinstance(new, T.ArrayType):
+        return F.transform(value, lambda v: _as_type(v, old.elementType, new.elementType))
+    return value.cast(new)
+
+
+def evolved_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a folder of files: those noted by ``append_evolving``, else those of its footers; None without files."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    notes = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_SCHEMA_FILE}")
+    if fs.exists(notes):
+        numbers = sorted(int(s.getPath().getName()) for s in fs.listStatus(notes))
+        return T.StructType.fromJson(json.loads(spark.read.text(f"{path}/{_SCHEMA_FILE}/{numbers[-1]}").first()[0]))
+    if not fs.exists(target) or not any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(target)):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(path).schema
+
 
+def append_evolving(df: DataFrame, path: str) -> T.StructType:
+    """Append files that may bring new columns or wider or narrower types; returns the folder's columns after it.
+
+    The columns are compared before anything is written: a narrower type is written as the wider one, a wider one widens the
+    folder's column, an int beside a text is an error and nothing is written. The columns are noted beside the
+    files for ``read_evolving``. One writer at a time.
+    """
+    spark = df.sparkSession
+    old = evolved_schema(spark, path)
+    schema = merged_schema(old, df.schema) if old else merged_schema(T.StructType([]), df.schema)
+    wanted = {f.name: f.dataType for f in schema}
+    write_files(df.select(*[_as_type(F.col(f.name), f.dataType, wanted[f.name]).alias(f.name) for f in df.schema]), path, mode="append")
+    noted = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_SCHEMA_FILE}")
+    fs = noted.getFileSystem(spark._jsc.hadoopConfiguration())
+    number = len(fs.listStatus(noted)) if fs.exists(noted) else 0
+    if old != schema or not number:
+        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(f"{path}/{_SCHEMA_FILE}/{number}")
+    return schema
+
+
+def read_evolving(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a folder that grew by ``append_evolving``, in its present columns; what a file lacks is NULL."""
+    schema = evolved_schema(spark, path)
+    if schema is None:
+        raise ValueError(f"no files in {path}")
+    return spark.read.schema(schema).parquet(path)

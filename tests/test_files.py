@@ -163,3 +163,22 @@ def test_shared_dir_follows_the_session(spark, tmp_path):
         if before and spark.conf.get("spark.checkpoint.dir", None) != before:
             spark.conf.set("spark.checkpoint.dir", before)
     assert os.path.isabs(shared_dir(spark, "y"))
+
+
+def test_appends_widen_or_are_refused(spark, tmp_path):
+    path = f"{tmp_path}/grown"
+    frame = lambda sql: spark.sql(f"SELECT {sql}")
+    S.append_evolving(frame("1 AS id, 'a' AS name, named_struct('x', 1) AS s"), path)
+    S.append_evolving(frame("3000000000L AS id, 'b' AS name, named_struct('x', 2L, 'y', 'new') AS s"), path)
+    S.append_evolving(frame("CAST(7 AS SMALLINT) AS id, array(named_struct('k', 1)) AS l"), path)
+    schema = S.append_evolving(frame("8 AS id, array(named_struct('k', 2, 'm', 'z')) AS l"), path)
+    assert schema.simpleString() == "struct<id:bigint,name:string,s:struct<x:bigint,y:string>,l:array<struct<k:int,m:string>>>"
+    got = {r.id: (r.name, r.s and tuple(r.s), r.l and [tuple(e) for e in r.l]) for r in S.read_evolving(spark, path).collect()}
+    assert got == {1: ("a", (1, None), None), 3_000_000_000: ("b", (2, "new"), None), 7: (None, None, [(1, None)]), 8: (None, None, [(2, "z")])}
+    before = sorted(parts(path))
+    for clash in ("'text' AS id", "1 AS id, 5 AS name", "1 AS id, named_struct('x', 'text') AS s", "1.5D AS id"):
+        with pytest.raises(S.SchemaClash):
+            S.append_evolving(frame(clash), path)
+    assert sorted(parts(path)) == before
+    with pytest.raises(ValueError):
+        S.read_evolving(spark, f"{tmp_path}/none")

@@ -98,3 +98,22 @@ def test_deviation_and_chain(spark):
     assert rows(J.deviation_from_group(df, "g", "v")) == [("a", 1.0, 2.0, 1.0), ("a", 3.0, 2.0, 1.0), ("b", 5.0, 5.0, 0.0)]
     chain = J.join_chain(df, (spark.createDataFrame([("a", 9)], "g string, n int"), "g"))
     assert chain.count() == 2
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
+def test_bucketed_join_with_a_hot_key(spark, tmp_path, how):
+    from conftest import initial_plan
+    from etlkit.operators.joins import bucketed_join_split
+    from etlkit.sinks.files import write_bucketed
+
+    left = spark.range(5_000).select(F.when(F.col("id") % 5 > 0, 1).when(F.col("id") % 35 == 0, None).otherwise(F.col("id") % 50).cast("long").alias("k"), F.col("id").alias("row"))
+    right = spark.range(0, 60, 2).unionByName(spark.createDataFrame([(1,)], "id long")).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    tables = [f"hot_{how}_{n}" for n in ("l", "r")]
+    for name, df in zip(tables, (left, right)):
+        write_bucketed(df, name, "k", 4, sort_by="k", path=f"{tmp_path}/{name}")
+    got = bucketed_join_split(spark, *tables, "k", ["row"], how=how, rows_per_salt=500)
+    assert rows(got) == rows(left.join(right, "k", how)) if how != "left" else sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", how).collect()))
+    cold = initial_plan(got).split("Union")[1].split("__salt")[0]
+    assert "SelectedBucketsCount: 4 out of 4" in initial_plan(got) and "Exchange hashpartitioning(k" not in cold.split("SortMergeJoin")[1]
+    for name in tables:
+        spark.sql(f"DROP TABLE {name}")

@@ -101,3 +101,18 @@ def test_a_batch_repeated_after_a_failure_changes_nothing(spark, tmp_path):
 def test_run_needs_keys_for_update(spark):
     with pytest.raises(ValueError):
         L.run_with_late_rows(spark.range(1), "id", "1 minute", lambda f: f, "x", "update")
+
+
+def test_sessions_split_over_stretches_equal_the_batch(spark, tmp_path):
+    from etlkit.streaming.sessions import run_split_sessions
+
+    # One user has events every few minutes for ten hours, some exactly a gap apart.
+    minutes = [0, 5, 10, 14, 30, 35, 36, 58, 61, 66, 119, 120, 125, 131, 200, 355, 360, 365, 370, 600]
+    data = [("hot", m, 1.0) for m in minutes for _ in range(40)] + [("cold", m, 2.0) for m in (3, 59, 62, 64)] + [(None, 7, 1.0)]
+    frame = spark.createDataFrame(data, "k string, m int, value double").select("k", F.timestamp_seconds(1_700_006_400 + F.col("m") * 60).alias("ts"), "value")
+    frame.repartition(5).write.parquet(f"{tmp_path}/in")
+    source = file_source(spark, f"{tmp_path}/in", frame.schema, max_files=2)
+    got = run_split_sessions(source, "ts", "k", "value", 300, 3600, "11 hours", "test")
+    want = E.session_stats(frame, "ts", "k", "value", "5 minutes")
+    key = lambda f: sorted(str(tuple(r)) for r in f.select(*sorted(f.columns)).collect())
+    assert key(got) == key(want) and got.filter("k = 'hot'").count() == 9

@@ -32,7 +32,19 @@ def test_aggregation_combines_before_its_only_shuffle(spark, data):
     assert exchanges(plan) == 1 and "partial_sum" in plan
     plan = initial_plan(QUERIES["group_on_partition_key"](spark, data))
     assert exchanges(plan) == 1
-    assert exchanges(initial_plan(QUERIES["table_profile"](spark, data))) == 2
+    assert exchanges(plan) == 1
+
+
+def test_profile_shuffles_hashes_not_rows(spark, table):
+    from etlkit.operators.quality import profile
+
+    plan = initial_plan(profile(table("documents")))
+    hashed = [line for line in plan.splitlines() if "Exchange hashpartitioning(__h1" in line]
+    assert hashed and "partial_count" in plan
+    # What is grouped by hash before the shuffle is two hashes and a count; texts follow only for repeated hashes.
+    before = [line for line in plan.splitlines() if "HashAggregate(keys=[__h1" in line]
+    assert before and not any("text" in line for line in before)
+    assert "LeftSemi" in plan
 
 
 def test_top_k_keeps_k_rows_per_task(spark, data):

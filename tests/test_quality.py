@@ -166,3 +166,16 @@ def test_relational_and_reshape(spark):
     assert rows(P.crosstab(df, "g", "h", ["x", "q"])) == [("a", 2, 0), ("b", 2, 0)]
     alerts = R.union_alerts(spark.createDataFrame([(1, 60000.0)], "id int, amount double"), spark.createDataFrame([(2, 60.0), (3, 1.0)], "id int, fraud_score double"))
     assert {r.id: r.alert_severity for r in alerts.collect()} == {1: "CRITICAL", 2: "HIGH", 3: "MEDIUM"}
+
+
+def test_profile_tells_rows_apart_by_null_marks(spark):
+    rows = [(None, "a", 1), ("a", None, 1), ("a", None, 1), (None, None, None), (None, None, None), (None, None, None), ("x", "y", 2)]
+    got = {r.metric: r.value for r in Q.profile(spark.createDataFrame(rows, "p string, q string, n int")).collect()}
+    assert got["duplicate_rows"] == 3 and got["total_records"] == 7 and got["nulls.p"] == 4 and got["nulls.q"] == 5
+
+
+def test_profile_compares_rows_of_equal_hashes(spark, monkeypatch):
+    # With a hash that is the same for all rows, only the full comparison tells them apart.
+    monkeypatch.setattr(Q.F, "xxhash64", lambda *c: F.lit(7).cast("long"))
+    got = {r.metric: r.value for r in Q.profile(spark.createDataFrame([(1,), (2,), (2,), (3,)], "n int")).collect()}
+    assert got["duplicate_rows"] == 1
