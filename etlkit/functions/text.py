@@ -10,6 +10,12 @@ __all__ = [
     "name_parts", "no_space_length", "similar", "url_parts", "word_count",
 ]
 
+# Patterns that define what these functions find.
+EMAIL_DOMAIN = "@(.+)"
+AREA_CODE = r"\((\d{3})\)"
+PHONE_DIGITS, PHONE_FORM = r"(\d{3})(\d{3})(\d{4})", "($1) $2-$3"
+URL_PARTS = {"protocol": "^(https?)://", "domain": "://([^/]+)", "path": "://[^/]+(/.*)"}
+
 
 def clean_text(text: Column) -> Column:
     """Keep letters, digits and spaces; lower-case, squeeze runs of space, trim."""
@@ -30,27 +36,23 @@ def last_token(text: Column) -> Column:
 
 
 def email_domain(email: Column) -> Column:
-    return F.lower(F.regexp_extract(email, "@(.+)", 1))
+    return F.lower(F.regexp_extract(email, EMAIL_DOMAIN, 1))
 
 
 def area_code(phone: Column) -> Column:
     """The three digits in parentheses; empty when there are none."""
-    return F.regexp_extract(phone, r"\((\d{3})\)", 1)
+    return F.regexp_extract(phone, AREA_CODE, 1)
 
 
 def format_phone(phone: Column) -> Column:
     """Digits only, then ``(ddd) ddd-dddd``."""
     digits = F.regexp_replace(phone, "[^0-9]", "")
-    return F.regexp_replace(digits, r"(\d{3})(\d{3})(\d{4})", "($1) $2-$3")
+    return F.regexp_replace(digits, PHONE_DIGITS, PHONE_FORM)
 
 
 def url_parts(url: Column) -> Column:
     """Struct of protocol, domain and path (query and fragment stay with the path)."""
-    return F.struct(
-        F.regexp_extract(url, "^(https?)://", 1).alias("protocol"),
-        F.regexp_extract(url, "://([^/]+)", 1).alias("domain"),
-        F.regexp_extract(url, "://[^/]+(/.*)", 1).alias("path"),
-    )
+    return F.struct(*[F.regexp_extract(url, pattern, 1).alias(part) for part, pattern in URL_PARTS.items()])
 
 
 def word_count(text: Column) -> Column:

@@ -107,7 +107,8 @@ def iqr_outliers(df: DataFrame, column: str, k: float = 1.5, accuracy: int = 10_
     require(df, column)
     if exact:
         found = _exact_quartiles(df.select(F.lit(0).alias("__whole"), column), ["__whole"], column)
-        return _fence(df.withColumns({q: found.agg(F.max(q)).scalar() for q in ("__q1", "__q3")}), column, k)
+        both = df.withColumn("__q", found.agg(F.struct(*[F.max(q).alias(q) for q in ("__q1", "__q3")]).alias("q")).scalar())
+        return _fence(both.withColumns({q: F.col(f"__q.{q}") for q in ("__q1", "__q3")}).drop("__q"), column, k)
     quartiles = df.agg(F.percentile_approx(column, [0.25, 0.75], accuracy).alias("q")).scalar()
     return _fence(
         df.withColumns({"__q1": F.get(quartiles, F.lit(0)), "__q3": F.get(quartiles, F.lit(1))}), column, k
