@@ -63,25 +63,33 @@ def test_matches_brute_force(spark, options):
     assert got(spark, rows, **options) == sorted(want) and len(want) >= 6
 
 
-def test_buffers_and_chunks_change_nothing(monkeypatch):
+def test_buffers_and_parts_change_nothing(monkeypatch):
     import pyarrow as pa
 
     rng = np.random.default_rng(0)
-    texts = [" ".join(rng.choice(["a", "b", "c", "d.", "e"], 500)).encode() for _ in range(8)]
-    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 8), pa.array([0, 1] * 4, pa.int32())], names=["t", "l", "s"])
+    texts = [" ".join(rng.choice(["a", "b", "c", "d.", "e"], 500)).encode() for _ in range(8)] + [b"one two three", b"", b"x"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(["en"] * 11), pa.array([0, 1] * 5 + [0], pa.int32())], names=["t", "l", "s"])
 
     def total():
         out = Counter()
         for group, words, packed, n in P.counted(iter([batch]), 3):
-            for parts in zip(*(p.tolist() for p in P._parts(packed)), n.tolist()):
-                out[group, tuple(words[i] for i in parts[:-1] if i)] += parts[-1]
+            found, sizes = P._phrases(packed, words)
+            for phrase, size, m in zip(found.to_pylist(), sizes.tolist(), n.tolist()):
+                assert len(phrase.split()) == size
+                out[group, phrase] += m
         return out
 
     whole = total()
-    monkeypatch.setattr(P, "CHUNK", 7)
-    monkeypatch.setattr(P, "BUFFER", 50)
-    monkeypatch.setattr(P, "VOCABULARY", 5)
-    assert total() == whole and sum(whole.values()) > 8 * 1000
+    for size in (1, 7, 50, 999):
+        monkeypatch.setattr(P, "BUFFER", size)
+        assert total() == whole and sum(whole.values()) > 8 * 1000
+
+
+def test_many_buckets_change_nothing(spark, monkeypatch):
+    rows = corpus()
+    monkeypatch.setattr(P, "MERGED", 5_000)
+    monkeypatch.setattr(P, "BUFFER", 3_000)
+    assert got(spark, rows) == sorted(brute(rows))
 
 
 def test_a_full_bitmap_only_costs_time(spark, monkeypatch):
