@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from etlkit.runtime import require
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# What may follow in a tag, up to its end or a quote.
+WITHIN = re.compile(r"[^>\"']*")
 ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|hidden|aria-hidden|style)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 # Elements whose content is no text, elements without content, and elements inside a line.
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video select textarea title".split())
@@ -41,6 +42,8 @@ OTHER_WORDS = frozenset(
     "disqus login search form pagination tags copyright legal toolbar".split())
 
 PATH_SLOTS, WORD_SLOTS, MEASURES = 96, 48, 6
+# Elements nested deeper count as content of the last one, as in browsers.
+DEEPEST = 512
 INPUTS = PATH_SLOTS + WORD_SLOTS + MEASURES
 
 
@@ -65,6 +68,63 @@ def _steps(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(w for w in words if w)
 
 
+class _Scanner:
+    """Tags and texts of a page, in one pass.
+
+    Whatever is not closed is known after one search to the end of the page: places of the next ``>``, and kinds of
+    quotes that come no more, are remembered.
+    """
+
+    def __init__(self, page: str) -> None:
+        self.page, self.end = page, len(page)
+        self.after = -1  # the first ``>`` at or after the last place asked for, or the end
+        self.unclosed: dict[str, int] = {}
+
+    def _next_end(self, at: int) -> int:
+        if self.after < at:
+            found = self.page.find(">", at)
+            self.after = self.end if found < 0 else found
+        return self.after
+
+    def _tag_end(self, at: int) -> int:
+        """Place of the ``>`` that ends a tag, quoted ones passed over; a quote without an end is a character like others."""
+        first = self._next_end(at)
+        if first == self.end:
+            return -1
+        begin = at
+        while True:
+            at = WITHIN.match(self.page, at).end()
+            if at >= self.end:
+                # All that follow stand in quotes: the tag ends at the first of them.
+                return self._next_end(begin)
+            mark = self.page[at]
+            if mark == ">":
+                return at
+            closed = -1 if self.unclosed.get(mark, self.end) <= at else self.page.find(mark, at + 1)
+            if closed < 0:
+                self.unclosed[mark] = min(at, self.unclosed.get(mark, at))
+            at = max(closed, at) + 1
+
+    def __call__(self, at: int) -> tuple[int, str | None, bool, str, str]:
+        """The part at a place: its end, its text (None for markup), whether an end tag, its name (empty: none), its attributes."""
+        page = self.page
+        if page[at] != "<":
+            to = page.find("<", at)
+            to = self.end if to < 0 else to
+            return to, page[at:to], False, "", ""
+        if page.startswith("<!--", at):
+            to = page.find("-->", at + 4)
+            return (self.end if to < 0 else to + 3), None, False, "", ""
+        if page.startswith(("<!", "<?"), at):
+            to = self._next_end(at)
+            return (at + 1, "<", False, "", "") if to == self.end else (to + 1, None, False, "", "")
+        tag = TAG.match(page, at) if self._next_end(at) < self.end else None
+        to = self._tag_end(tag.end()) if tag else -1
+        if to < 0:
+            return at + 1, "<", False, "", ""
+        return to + 1, None, bool(tag.group(1)), tag.group(2), page[tag.end() : to]
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """Blocks of a page in order. Broken markup is read as browsers do; a missing page has none.
 
@@ -75,12 +135,16 @@ def blocks_of(page: str | None) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, at, end = 0, 0, len(page)
+    scan, paths = _Scanner(page), []
 
     def flush() -> None:
         nonlocal linked
         text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, tuple(step for tag, step in stack if tag not in INLINE), min(linked, len(text))))
+            # The path is made anew only when the open elements have changed.
+            if not paths:
+                paths.append(tuple(step for tag, step in stack if tag not in INLINE))
+            out.append(Block(text, paths[0], min(linked, len(text))))
         parts.clear()
         linked = 0
 
@@ -88,21 +152,19 @@ def blocks_of(page: str | None) -> list[Block]:
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in tags:
                 del stack[k:]
+                paths.clear()
                 return
             if stack[k][0] in scope:
                 return
 
     while at < end:
-        token = TOKEN.match(page, at)
-        at = token.end()
-        slash, tag, attributes = token.group(1), token.group(2), token.group(3)
-        if tag is None:
-            raw = token.group()
-            if raw[0] != "<" or raw == "<":
-                text = unescape(raw)
-                parts.append(text)
-                if any(t == "a" for t, _ in stack[-4:]):
-                    linked += len(text.strip())
+        at, raw, slash, tag, attributes = scan(at)
+        if raw is not None:
+            text = unescape(raw) if raw != "<" else raw
+            parts.append(text)
+            if any(t == "a" for t, _ in stack[-4:]):
+                linked += len(text.strip())
+        if not tag:
             continue
         tag = tag.lower()
         if not slash and tag in SILENT:
@@ -124,8 +186,9 @@ def blocks_of(page: str | None) -> list[Block]:
             close(("p",), scope=frozenset(("div", "article", "section", "td", "li", "main", "body")))
         if tag in CLOSES:
             close(CLOSES[tag], scope=frozenset(("ul", "ol", "table", "dl", "select", "div", "article", "section", "body")))
-        if not attributes.rstrip().endswith("/"):
+        if not attributes.rstrip().endswith("/") and len(stack) < DEEPEST:
             stack.append((tag, _steps(tag, attributes)))
+            paths.clear()
     flush()
     return out
 
@@ -170,10 +233,11 @@ class Encoder:
         rows: list[int] = []
         slots: list[tuple[int, float]] = []
         for i, b in enumerate(blocks):
-            # The first words, each once: a block of one repeated word is like any other.
-            found = [self.word(w) for w in dict.fromkeys(b.text[:256].split(" ", 12)[:12])]
+            # Every word once, all of a block together as strong as sixteen words: long blocks are like short ones.
+            found = [self.word(w) for w in dict.fromkeys(b.text.split(" "))]
+            share = 4 / np.sqrt(max(16, len(found)))
             rows += [i] * len(found)
-            slots += found
+            slots += [(k, sign * share) for k, sign in found]
             n = len(b.text)
             stops = b.text.count(".") + b.text.count(",")
             x[i, :PATH_SLOTS] = self.path(b.path)
@@ -253,9 +317,9 @@ def _padded(pages: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(pages: Sequence[np.ndarray], labels: Sequence[np.ndarray], hidden: int = 16, epochs: int = 14, batch: int = 32, rate: float = 0.02, seed: int = 4) -> Labeller:
-    """Train by Adam on the mean log-loss of blocks. Long pages are cut to 64 blocks for training only."""
+    """Train by Adam on the mean log-loss of blocks, on whole pages."""
     rng = np.random.default_rng(seed)
-    some = [(p[:64], np.asarray(y, dtype=np.float32)[:64]) for p, y in zip(pages, labels) if len(p)]
+    some = [(p, np.asarray(y, dtype=np.float32)) for p, y in zip(pages, labels) if len(p)]
     parts = [rng.normal(0, 0.15, (2, INPUTS, 4 * hidden)), rng.normal(0, 0.15, (2, hidden, 4 * hidden)), np.zeros((2, 4 * hidden)), rng.normal(0, 0.3, 2 * hidden), np.zeros(1)]
     parts[2][:, hidden : 2 * hidden] = 1.0
     first, second, step = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts], 0
@@ -346,7 +410,7 @@ def training_set(pages: Sequence[str], variants: int, seed: int) -> tuple[list[n
     for page in pages:
         blocks = blocks_of(page)
         labels = [place_label(b) for b in blocks]
-        texts += [b.text[:400].replace("<", " ").replace("&", " ") for b, t in zip(blocks, labels) if t]
+        texts += [b.text.replace("<", " ").replace("&", " ") for b, t in zip(blocks, labels) if t]
         if any(t is not None for t in labels):
             # Where the markup does not tell, a block counts as other.
             x.append(encoder.page(blocks)), y.append(np.array([t or 0.0 for t in labels]))

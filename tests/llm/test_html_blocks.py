@@ -89,3 +89,43 @@ def test_edge_cases(spark, model):
     assert len(got) == 4 and [r.text for r in got[:2]] == ["", ""] and got[2].text == "Only this text stands here."
     empty = spark.createDataFrame([], "page_id long, html string, url string")
     assert H.extracted(empty, H.fit_pages(empty, rows=2, variants=2)).count() == 0
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<", "<!", "<a \"", "<a '\"", "<div>x", "<p title=\">\">y", "<script", "</", "<a b='", "&lt;<b>"])
+def test_broken_markup_takes_linear_time(unit):
+    import time
+
+    start = time.process_time()
+    H.blocks_of(unit * 200_000)
+    assert time.process_time() - start < 12
+
+
+def test_unclosed_tags_and_quotes():
+    texts = lambda page: [b.text for b in H.blocks_of(page)]
+    assert texts("a <b and <c") == ["a <b and <c"]
+    assert texts("<p class=\"x>one</p><p>two</p>") == ["one", "two"]
+    assert texts("<p a='>' b=\">\">one</p>") == ["one"]
+    assert texts("1 < 2 <i>x</i> <! y") == ["1 < 2 x <! y"]
+
+
+def test_the_last_words_of_a_block_tell():
+    start = "the same opening words stand here before all of what tells these apart " * 5
+    one, two = (H.Encoder().page([H.Block(start + last, (("p",),), 0)]) for last in ("subscribe now", "river ran high"))
+    assert len(start + "subscribe now") != len(start + "river ran high") or not np.array_equal(one, two)
+    assert not np.array_equal(one[:, H.PATH_SLOTS : -H.MEASURES], two[:, H.PATH_SLOTS : -H.MEASURES])
+
+
+def test_late_words_can_be_learned():
+    rng = np.random.default_rng(3)
+    filler = [f"w{k}" for k in range(300)]
+    pages, labels = [], []
+    for _ in range(120):
+        blocks, y = [], []
+        for _ in range(6):
+            main = rng.random() < 0.5
+            words = list(rng.choice(filler, 40)) + (["chapter", "narrative", "story"] if main else ["subscribe", "newsletter", "cookie"])
+            blocks.append(H.Block(" ".join(words), (("div",),), 0)), y.append(float(main))
+        pages.append(H.Encoder().page(blocks)), labels.append(np.array(y))
+    model = H.fit(pages[:90], labels[:90], epochs=40)
+    right = sum(int(((p >= 0.5) == y).sum()) for p, y in zip(H.probabilities(model, pages[90:]), labels[90:]))
+    assert right / (30 * 6) > 0.8
