@@ -55,9 +55,14 @@ def budgets(leaves: DataFrame, budget: Column, epochs: int) -> DataFrame:
     return now
 
 
-def _place(seed: int, epoch: Column, doc_id: Column) -> Column:
-    """A row's place in an epoch: 60 bits of an md5 of seed, epoch and id."""
-    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")))
+def _key(doc_id: Column, text: Column) -> Column:
+    """What tells rows apart: the id, or the md5 of the text where there is none."""
+    return F.when(doc_id.isNotNull(), doc_id.cast("string")).otherwise(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _place(seed: int, epoch: Column, key: Column) -> Column:
+    """A row's place in an epoch: 60 bits of an md5 of seed, epoch and key."""
+    text = F.concat_ws(":", F.lit(str(seed)), epoch.cast("string"), key)
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
@@ -70,8 +75,8 @@ def mixed(
     ``domain``, ``lang`` and ``source`` name a row's leaf (null counts as the empty name).
     ``weights`` has a whole-number weight for ``domain``, ``lang`` and ``source``; a leaf with a
     weight below 1 gets nothing. The budget is ``share`` of all tokens, tokens being words. A leaf's
-    prefix ends before its budget is passed; rows without tokens have 0 copies. Rows of one id and
-    length are interchangeable. Columns of ``docs`` named like the added ones are replaced; an empty
+    prefix ends before its budget is passed; rows without tokens have 0 copies. Rows of one id (without
+    ids: one text) and length are taken together or not at all, so a prefix may end before them. Columns of ``docs`` named like the added ones are replaced; an empty
     table gives no rows.
 
     Texts are read and never shuffled: the prefix of a leaf is one cut in the order of its epoch,
@@ -81,7 +86,7 @@ def mixed(
     require(docs, doc_id, text)
     named = [F.coalesce(c.cast("string"), F.lit("")).alias(name) for c, name in zip((domain, lang, source), LEVELS)]
     weighted = [F.coalesce(weights[k].cast("long"), F.lit(0)).alias(f"__w{i}") for i, k in enumerate(("domain", "lang", "source"))]
-    slim = docs.select(F.col(doc_id).alias("__id"), n_words(F.col(text)).alias("__n"), *named, *weighted)
+    slim = docs.select(_key(F.col(doc_id), F.col(text)).alias("__id"), n_words(F.col(text)).alias("__n"), *named, *weighted)
     slim = materialize(slim, "mix-rows")
     leaves = slim.groupBy(*LEVELS).agg(F.sum("__n").alias("__tokens"), *[F.max(f"__w{i}").alias(f"__w{i}") for i in range(3)])
     leaves = materialize(leaves, "mix-leaves")
@@ -99,17 +104,20 @@ def mixed(
         F.min("__stretch").alias("__end"), F.min_by(F.col("__past") - F.col("__sum"), "__stretch").alias("__before"))
     ends = materialize(ends, "mix-ends")
     last = rows.join(ends, list(LEVELS)).filter(F.col("__stretch") == F.col("__end"))
+    # Equal rows are summed first, so that they share one place and one row of the window.
+    same = last.groupBy(*LEVELS, "__u", "__id", "__n").agg(F.sum("__n").alias("__all"), F.first("__before").alias("__before"), F.first("__rest").alias("__rest"))
     by_row = Window.partitionBy(*LEVELS).orderBy("__u", "__id", "__n").rowsBetween(Window.unboundedPreceding, 0)
-    last = last.withColumn("__past", F.col("__before") + F.sum("__n").over(by_row)).filter("__past <= __rest")
+    last = same.withColumn("__past", F.col("__before") + F.sum("__all").over(by_row)).filter("__past <= __rest")
     spot = lambda u, i, n: F.struct(u.alias("u"), i.alias("i"), n.alias("n"))
     cuts = last.groupBy(*LEVELS).agg(F.max(spot(F.col("__u"), F.col("__id"), F.col("__n"))).alias("__cut"))
     plan = materialize(planned.join(ends, list(LEVELS), "left").join(cuts, list(LEVELS), "left"), "mix-cuts")
 
     out = docs.drop("n_tokens", "copies").withColumns({n: c for n, c in zip(LEVELS, named)}).withColumn("n_tokens", n_words(F.col(text)))
     out = out.join(plan, list(LEVELS))
-    u = _place(seed, F.col("__full"), F.col(doc_id))
+    key = _key(F.col(doc_id), F.col(text))
+    u = _place(seed, F.col("__full"), key)
     stretch = F.shiftright(u, EPOCH_BITS - STRETCH_BITS)
-    at_end = (stretch == F.col("__end")) & F.coalesce(spot(u, F.col(doc_id), F.col("n_tokens")) <= F.col("__cut"), F.lit(False))
+    at_end = (stretch == F.col("__end")) & F.coalesce(spot(u, key, F.col("n_tokens")) <= F.col("__cut"), F.lit(False))
     in_prefix = (stretch < F.col("__end")) | at_end
     copies = F.when(F.col("n_tokens") > 0, F.col("__full") + in_prefix.cast("long")).otherwise(F.lit(0)).cast("long")
     kept = [c for c in docs.columns if c not in ("n_tokens", "copies")]

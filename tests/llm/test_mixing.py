@@ -1,6 +1,7 @@
 import hashlib
 import random
 from collections import defaultdict
+from itertools import groupby
 from math import floor
 
 import pytest
@@ -34,8 +35,9 @@ def fill(children, budget):
 def brute(rows, share, epochs, seed):
     leaf = defaultdict(list)
     for i, t, d, l, s in rows:
-        leaf[d or "", l or "", s or ""].append((i, len((t or "").split())))
-    tokens = {k: sum(n for _, n in v) for k, v in leaf.items()}
+        key = hashlib.md5((t or "").encode()).hexdigest() if i is None else str(i)
+        leaf[d or "", l or "", s or ""].append((key, len((t or "").split()), i))
+    tokens = {k: sum(n for _, n, _ in v) for k, v in leaf.items()}
     w = lambda level, name: W[level].get(name, 1)
     room = {k: n * epochs if min(w("domain", k[0]), w("lang", k[1]), w("source", k[2])) > 0 else 0 for k, n in tokens.items()}
     given = {(): floor(sum(tokens.values()) * share)}
@@ -48,11 +50,12 @@ def brute(rows, share, epochs, seed):
     out = []
     for k, docs in leaf.items():
         full, rest = divmod(given[k], tokens[k]) if tokens[k] else (0, 0)
-        place = lambda x: (int(hashlib.md5(f"{seed}:{full}:{'null' if x[0] is None else x[0]}".encode()).hexdigest()[:15], 16), x[0] or 0, x[1])  # noqa: E731,B023
+        place = lambda x: (int(hashlib.md5(f"{seed}:{full}:{x[0]}".encode()).hexdigest()[:15], 16), x[0], x[1])  # noqa: E731,B023
         past = 0
-        for i, n in sorted(docs, key=place):
-            past += n
-            out.append((str(i), *k, n, (full + (past <= rest)) if n else 0))
+        for _, same in groupby(sorted(docs, key=place), key=place):
+            same = list(same)
+            past += sum(n for _, n, _ in same)
+            out += [(str(i), *k, n, (full + (past <= rest)) if n else 0) for _, n, i in same]
     return sorted(out)
 
 
@@ -75,6 +78,17 @@ def test_matches_brute_force(spark, share, epochs):
     assert out.columns == ["doc_id", "text", "domain", "lang", "source", "__domain", "__lang", "__source", "n_tokens", "copies"]
 
 
+@pytest.mark.parametrize("rows", [[(5, "w " * 10)] * 1_000, [(None, f"{k % 3} " * 10) for k in range(1_000)], [(None, f"t{k} " * 10) for k in range(1_000)], [(k, None) for k in range(9)]])
+def test_a_budget_is_not_passed_on_ties(spark, rows):
+    docs = spark.createDataFrame([(i, t, "en", "s", "x") for i, t in rows], "doc_id long, text string, lang string, source string, __domain string").repartition(4)
+    out = mixing.mixed(docs, F.lit("d"), F.col("lang"), F.col("source"), {k: F.lit(1) for k in W}, share=0.35)
+    total = sum(len((t or "").split()) for _, t in rows)
+    given = out.agg(F.sum(F.col("n_tokens") * F.col("copies"))).first()[0]
+    assert given <= 0.35 * total and out.count() == len(rows)
+    # Texts told apart fill the budget up to one text.
+    assert given > 0.35 * total - 11 or len(set(rows)) < 9 or not total
+
+
 def test_empty_table_and_plan(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     out = mixing.mixed(docs, F.lit("d"), F.col("lang"), F.col("source"), {k: F.lit(1) for k in W})
