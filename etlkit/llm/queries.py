@@ -147,17 +147,15 @@ def list_entries(pages: DataFrame) -> DataFrame:
     """Dated list entries ``(key, action, at)`` derived from the hosts, parent domains and first path parts of pages."""
     host = urls.url_host(F.col("url"))
     section = F.concat(host, F.regexp_extract(urls.url_path(F.col("url")), "^(/[^/]+)", 1))
-    keys = pages.select(host.alias("host"), F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"), section.alias("section"))
-    digest = F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("int")
-    parts = []
-    for kind, remainder, modulus, action, days in _ENTRIES:
-        known = keys.select(F.col(kind).alias("key")).filter("key IS NOT NULL").distinct().filter(digest % modulus == remainder)
-        at = F.expr(f"timestampadd(DAY, digest % 150 + {days}, timestamp_ntz'2024-01-01 00:00:00')").alias("at")
-        parts.append(known.withColumn("digest", digest).select("key", F.lit(action).alias("action"), at))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    kinds = {"host": host, "domain": F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1), "section": section}
+    named = F.explode(F.array(*[F.struct(F.lit(kind).alias("kind"), key.alias("key")) for kind, key in kinds.items()]))
+    keys = pages.select(named.alias("k")).select("k.*").filter("key IS NOT NULL").distinct()
+    keys = keys.withColumn("digest", F.conv(F.substring(F.md5("key"), 1, 6), 16, 10).cast("int"))
+    entry = lambda kind, remainder, modulus, action, days: F.when(
+        (F.col("kind") == kind) & (F.col("digest") % modulus == remainder), F.struct(F.lit(action).alias("action"), F.lit(days).alias("days")))
+    chosen = F.explode(F.filter(F.array(*[entry(*e) for e in _ENTRIES]), lambda e: e.isNotNull()))
+    at = F.expr("timestampadd(DAY, digest % 150 + e.days, timestamp_ntz'2024-01-01 00:00:00')").alias("at")
+    return keys.withColumn("e", chosen).select("key", "e.action", at)
 
 
 def _url_sql() -> str:
@@ -178,7 +176,7 @@ asked AS (SELECT page_id, fetched_at, host, string_split(host, '.') AS l, string
 looks AS (
   SELECT page_id, fetched_at, unnest(range(1, len(l) + 1)) AS rank, array_to_string(l[len(l) - rank + 1 :], '.') AS key FROM asked WHERE host IS NOT NULL
   UNION ALL
-  SELECT page_id, fetched_at, 1000 + unnest(range(1, least(len(s) - 1, 3) + 1)) + 0 AS rank, host || array_to_string(s[: rank - 1000 + 1], '/') AS key FROM asked WHERE host IS NOT NULL AND len(s) > 1),
+  SELECT page_id, fetched_at, 1000000 + unnest(range(1, len(s))) + 0 AS rank, host || array_to_string(s[: rank - 1000000 + 1], '/') AS key FROM asked WHERE host IS NOT NULL AND len(s) > 1),
 met AS (SELECT page_id, action, key, since, row_number() OVER (PARTITION BY page_id ORDER BY rank DESC) AS k FROM looks JOIN spans USING (key)
   WHERE action <> 'remove' AND since <= fetched_at AND (until IS NULL OR fetched_at < until))
 SELECT page_id, url, fetched_at, coalesce(action = 'block', false) AS blocked, key AS matched_key, since FROM p LEFT JOIN (SELECT * FROM met WHERE k = 1) USING (page_id)"""

@@ -14,9 +14,6 @@ from pyspark.sql.window import Window
 from etlkit.llm.common import materialize
 from etlkit.runtime import require
 
-# Path beginnings looked at: /a, /a/b, /a/b/c.
-DEPTH = 3
-
 
 def url_host(url: Column) -> Column:
     """Host in lower case without user, port and final dot; null for anything that is not a URL."""
@@ -31,8 +28,8 @@ def url_path(url: Column) -> Column:
     return F.regexp_replace(path, r"/+$", "")
 
 
-def lookup_keys(url: Column) -> Column:
-    """Keys a list may hold for a URL: its host and each parent domain, and its host with up to three path parts.
+def lookup_keys(url: Column, depth: int) -> Column:
+    """Keys a list may hold for a URL: its host and each parent domain, and its host with up to ``depth`` path parts.
 
     ``rank`` orders them: a longer path is more specific than a host, a longer host than its parent.
     """
@@ -41,10 +38,10 @@ def lookup_keys(url: Column) -> Column:
     domains = F.transform(
         F.sequence(F.lit(1), F.size(labels)),
         lambda n: F.struct(F.concat_ws(".", F.slice(labels, F.size(labels) - n + 1, n)).alias("key"), n.alias("rank")))
-    deep = F.least(F.size(parts) - 1, F.lit(DEPTH))
+    deep = F.least(F.size(parts) - 1, F.lit(depth))
     paths = F.when(deep > 0, F.transform(
         F.sequence(F.lit(1), deep),
-        lambda n: F.struct(F.concat(host, F.concat_ws("/", F.slice(parts, 1, n + 1))).alias("key"), (n + 1_000).alias("rank"))))
+        lambda n: F.struct(F.concat(host, F.concat_ws("/", F.slice(parts, 1, n + 1))).alias("key"), (n + 1_000_000).alias("rank"))))
     return F.when(host.isNotNull(), F.concat(domains, F.coalesce(paths, F.slice(domains, 1, 0))))
 
 
@@ -80,8 +77,10 @@ def judged(
     require(captures, capture_id, url, fetched)
     rows = captures.select(F.col(capture_id).alias("capture_id"), F.col(url).alias("url"), F.col(fetched).cast("timestamp_ntz").alias("fetched_at"))
     intervals = materialize(validity(entries, key, action, at), "list-intervals")
+    # No key has more path parts than the list's deepest.
+    depth = intervals.agg(F.max(F.size(F.split("key", "/")) - 1)).first()[0] or 0
     asked = rows.groupBy("url", "fetched_at").agg(F.count(F.lit(1)).alias("__n")).drop("__n")
-    keyed = asked.filter(F.col("fetched_at").isNotNull()).withColumn("look", F.explode(lookup_keys(F.col("url"))))
+    keyed = asked.filter(F.col("fetched_at").isNotNull()).withColumn("look", F.explode(lookup_keys(F.col("url"), depth)))
     keyed = keyed.select("url", "fetched_at", F.col("look.key").alias("key"), F.col("look.rank").alias("rank"))
     in_force = (F.col("since") <= F.col("fetched_at")) & (F.col("until").isNull() | (F.col("fetched_at") < F.col("until")))
     met = keyed.join(intervals, "key").filter(in_force)

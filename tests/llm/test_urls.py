@@ -42,3 +42,20 @@ def test_empty_tables(spark):
     entries = spark.createDataFrame(ENTRIES, "key string, action string, at timestamp_ntz")
     assert urls.judged(captures.filter(F.lit(False)), entries).count() == 0
     assert not urls.judged(captures, entries.filter(F.lit(False))).first().blocked
+
+
+def test_entries_of_any_depth(spark):
+    deep = "a.com/" + "/".join(f"p{k}" for k in range(12))
+    entries = spark.createDataFrame([("a.com/x/y/z/w", "block", DAY(1)), (deep, "block", DAY(1)), ("a.com/x/y/z/w/v", "allow", DAY(1))], "key string, action string, at timestamp_ntz")
+    asked = {"http://a.com/x/y/z/w/page": True, "http://a.com/x/y/z": False, "http://a.com/x/y/z/w/v/u": False, f"http://{deep}/q?z": True, "http://a.com/": False, "http://b.a.com/x/y/z/w": False}
+    captures = spark.createDataFrame([(k, u, DAY(3)) for k, u in enumerate(asked)], "page_id long, url string, fetched_at timestamp_ntz")
+    assert {r.url: r.blocked for r in urls.judged(captures, entries).collect()} == asked
+
+
+def test_list_of_the_query_is_one_pass(spark, data):
+    from etlkit.llm.queries import list_entries
+
+    pages = spark.read.parquet(f"{data}/pages.parquet")
+    entries = list_entries(pages)
+    assert entries._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    assert entries.count() > 10
