@@ -5,9 +5,9 @@ of the covering code within its radius plus one. Two fingerprints that differ in
 some block meet at an anchor, where they are compared whole against a loose bound of bits. The bound
 only picks candidates: a link is a pair whose sets of shingles have the wanted Jaccard similarity.
 
-A group of near copies is not compared pair by pair. Where many candidates hang together at an anchor
-they are first paired with the one that has most of them; after those links, what is still apart is
-compared in a second search, whose candidates are only pairs of different groups.
+Candidates go out as pairs only where few hang together at an anchor. A crowd goes out as one edge a row, which
+names the crowd it belongs to; its sets of shingles are then compared inside tasks, block by block, and only a
+spanning forest of its links leaves them.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ from etlkit.runtime import require
 
 ANCHORS = 4096
 # Anchors within RADIUS + 1 of a block, on average (5.3), and candidates that hang together before they are a crowd.
-FILED, CROWD = 5.4, 32
+FILED, CROWD = 5.4, 16
+# Rows and shingles of a block of a crowd.
+BLOCK_ROWS, BLOCK_SHINGLES = 2_048, 2_000_000
 SEED = 9
 
 
@@ -47,7 +49,7 @@ def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return sum(np.bitwise_count(a[..., k] ^ b[..., k]).astype(np.int16) for k in range(a.shape[-1]))
 
 
-def _near(words: np.ndarray, rows: np.ndarray, bits: int, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _near(words: np.ndarray, bits: int, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of ``left`` and ``right`` positions within ``bits``, by steps of bounded size."""
     step = max(1, 1_000_000 // max(1, len(right)))
     for at in range(0, len(left), step):
@@ -58,45 +60,34 @@ def _near(words: np.ndarray, rows: np.ndarray, bits: int, left: np.ndarray, righ
         yield i[keep], j[keep]
 
 
-def crowd_pairs(ids: np.ndarray, words: np.ndarray, side: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of one anchor: all of a small group, the best connected row with all others of a crowd.
-
-    Rows of a crowd are marked by a pair of themselves.
-    """
+def crowd_pairs(ids: np.ndarray, words: np.ndarray, side: np.ndarray, bits: int, crowd: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Candidates of one anchor: all pairs of a small group; of a crowd its smallest id with every other; and which are of crowds."""
     at = np.arange(len(ids))
     two = side.min() != side.max()
     left, right = (at[side == 0], at[side == 1]) if two else (at, at)
-    labels, degree, kept, held = at, np.zeros(len(ids), dtype=np.int64), [], 0
-    for i, j in _near(words, at, bits, left, right):
-        degree += np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-        labels = merge_links(labels, i, j) if len(i) else labels
-        if held < 500_000:
-            kept.append((i, j))
-            held += len(i)
+    labels, kept, held = at, [], 0
+    for i, j in _near(words, bits, left, right):
+        if len(i):
+            labels = merge_links(labels, i, j)
+            if held < 500_000:
+                kept.append((i, j))
+                held += len(i)
     sizes = np.bincount(labels, minlength=len(ids))[labels]
-    out: list[tuple[np.ndarray, np.ndarray]] = []
-    small = np.flatnonzero((sizes > 1) & (sizes <= CROWD))
+    small = np.flatnonzero((sizes > 1) & (sizes <= crowd))
     if held < 500_000:
         i, j = (np.concatenate([p[k] for p in kept]) if kept else at[:0] for k in (0, 1))
-        good = sizes[i] <= CROWD
-        out.append((i[good], j[good]))
+        pairs = [(i[sizes[i] <= crowd], j[sizes[i] <= crowd])]
     else:
-        for group in np.split(small[np.argsort(labels[small], kind="stable")], np.flatnonzero(np.diff(np.sort(labels[small]))) + 1):
-            out.extend(_near(words, at, bits, group, group))
-    for label in np.unique(labels[sizes > CROWD]):
-        group = np.flatnonzero(labels == label)
-        hub = group[np.argmax(degree[group])]
-        out.extend(_near(words, at, bits, np.array([hub]), group))
-        out.append((group, group))
-    a, b = (ids[np.concatenate([p[k] for p in out])] if out else ids[:0] for k in (0, 1))
-    return np.minimum(a, b), np.maximum(a, b)
-
-
-def candidates(classes: DataFrame, bits: int, words: int, blocks: int, apart: bool = False) -> DataFrame:
-    """``(a, b)`` candidate pairs of rows ``(id, label, fingerprint)``, each at most once, ``a`` below ``b``.
-
-    With ``apart`` these are all pairs within ``bits`` of different labels that meet at an anchor; otherwise those
-    of ``crowd_pairs``. An anchor that holds more than CELL_ROWS rows is cut in cells by a hash of the
+        order = small[np.argsort(labels[small], kind="stable")]
+        pairs = [p for group in np.split(order, np.flatnonzero(np.diff(labels[order])) + 1) for p in _near(words, bits, group, group)]
+    i, j = (np.concatenate([p[k] for p in pairs]) if pairs else at[:0] for k in (0, 1))
+    big = np.flatnonzero((sizes > crowd) & (labels != at))
+    a, b = ids[np.concatenate([i, labels[big]])], ids[np.concatenate([j, big])]
+    return np.minimum(a, b), np.maximum(a, b), np.arange(len(a)) >= len(i)
+
+
+def candidates(classes: DataFrame, bits: int, words: int, blocks: int, crowd: int = CROWD) -> DataFrame:
+    """``(a, b, crowd)`` of rows ``(id, fingerprint)`` by ``crowd_pairs``, each at most once, ``a`` below ``b``. An anchor that holds more than CELL_ROWS rows is cut in cells by a hash of the
     id, and every pair of its cells is compared in a task of its own. Only the cells of crowded
     anchors are broadcast, at most 4,096 a block.
     """
@@ -105,7 +96,7 @@ def candidates(classes: DataFrame, bits: int, words: int, blocks: int, apart: bo
     columns = [f"w{k}" for k in range(words)]
 
     def places(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        raw = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 8 * words)
+        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint8).reshape(batch.num_rows, 8 * words)
         longs = raw.view(">u8").astype(np.uint64).view(np.int64)
         for b, x in enumerate(_blocks(raw, blocks)):
             for at in range(0, len(x), 4096):
@@ -120,7 +111,7 @@ def candidates(classes: DataFrame, bits: int, words: int, blocks: int, apart: bo
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some])], names=["anchor", "n"])
 
-    read = classes.select("id", "label", "fingerprint")
+    read = classes.select("id", "fingerprint")
     crowded = read.mapInArrow(measure, "anchor int, n long").groupBy("anchor").agg(F.sum("n").alias("n")).filter(F.col("n") > CELL_ROWS).toArrow()
     cells = np.ones(ANCHORS * blocks, dtype=np.int32)
     cells[crowded["anchor"].to_numpy()] = -(-crowded["n"].to_numpy() // CELL_ROWS)
@@ -130,7 +121,7 @@ def candidates(classes: DataFrame, bits: int, words: int, blocks: int, apart: bo
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, labels = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
             mixed = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
             for row, anchor, longs in places(batch):
                 many = shared.value[anchor]
@@ -139,34 +130,25 @@ def candidates(classes: DataFrame, bits: int, words: int, blocks: int, apart: bo
                 own = (mixed[row] % many.astype(np.uint64)).astype(np.int64)
                 made = [anchor // width, np.minimum(own, other), np.maximum(own, other), anchor, own > other]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(m.astype(np.int32)) for m in made], pa.array(ids[row]), pa.array(labels[row]), *[pa.array(longs[row, k]) for k in range(words)]],
-                    names=["bundle", "low", "high", "anchor", "side", "id", "label", *columns])
+                    [*[pa.array(m.astype(np.int32)) for m in made], pa.array(ids[row]), *[pa.array(longs[row, k]) for k in range(words)]],
+                    names=["bundle", "low", "high", "anchor", "side", "id", *columns])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = pa.Table.from_batches(list(batches))
-        ids, labels, side, anchor = (t[c].to_numpy() for c in ("id", "label", "side", "anchor"))
+        ids, side, anchor = (t[c].to_numpy() for c in ("id", "side", "anchor"))
         packed = np.stack([t[c].to_numpy() for c in columns], axis=1).view(np.uint64)
         order = np.argsort(anchor, kind="stable")
         for g in np.split(order, np.flatnonzero(np.diff(anchor[order])) + 1):
-            if len(g) < 2:
-                continue
-            if not apart:
-                parts = [crowd_pairs(ids[g], packed[g], side[g], bits)]
-            else:
-                at, two = np.arange(len(g)), side[g].min() != side[g].max()
-                sides = (at[side[g] == 0], at[side[g] == 1]) if two else (at, at)
-                parts = ((ids[g[i]], ids[g[j]]) for i, j in ((i[w], j[w]) for i, j in _near(packed[g], at, bits, *sides) for w in [labels[g[i]] != labels[g[j]]]))
-            for a, b in parts:
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    schema = "bundle int, low int, high int, anchor int, side int, id long, label long, " + ", ".join(f"{c} long" for c in columns)
-    return read.mapInArrow(file, schema).groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long").distinct()
-
-
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int, jaccard: float) -> DataFrame:
-    """Those of the pairs ``(a, b)`` of class ids whose texts have at least the Jaccard similarity. Texts without words are equal."""
-    asked = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            a, b, many = crowd_pairs(ids[g], packed[g], side[g], bits, crowd)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(many)], names=["a", "b", "crowd"])
+
+    schema = "bundle int, low int, high int, anchor int, side int, id long, " + ", ".join(f"{c} long" for c in columns)
+    return read.mapInArrow(file, schema).groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long, crowd boolean").distinct()
+
+
+def sets_of(asked: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """``(id, s)``: the sets of shingles of the classes whose ``id`` is asked for."""
     asked = materialize(classes.join(asked, "id").select("id", F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), "near-asked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,17 +160,66 @@ def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
 
     keyed = docs.select(F.col(doc_id).cast("long").alias("__key"), _digest(text).alias("__d"), F.col(text).alias("__text"))
     rows = keyed.join(asked, keyed["__key"].eqNullSafe(asked["__id"]) & (F.col("__d") == F.col("__digest"))).select("id", "__text")
-    sets = rows.mapInArrow(run, "id long, s array<long>").groupBy("id").agg(F.any_value("s").alias("s"))
-    sets = materialize(sets, "near-sets")
+    return rows.mapInArrow(run, "id long, s array<long>").groupBy("id").agg(F.any_value("s").alias("s"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose sets have at least the Jaccard similarity. Empty sets are equal."""
     one, two = sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b")
+    both = pairs.select("a", "b").join(one, "a").join(two, "b")
     shared = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - shared
-    return both.filter(shared >= jaccard * union - 1e-9).select("a", "b")
+    return both.filter(shared >= jaccard * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
+
+
+def set_links(ids: np.ndarray, side: np.ndarray, starts: np.ndarray, shingles: np.ndarray, jaccard: float) -> tuple[np.ndarray, np.ndarray]:
+    """Forest of the links between rows (of two sides, or within one) whose sets have the Jaccard similarity.
+
+    ``starts`` cuts ``shingles`` in the rows' sets. A row's shared shingles with all others are counted along the lists of the rows
+    that hold each of its shingles.
+    """
+    n, sizes = len(ids), np.diff(starts)
+    row = np.repeat(np.arange(n), sizes)
+    codes = np.unique(shingles, return_inverse=True)[1]
+    by_code = np.argsort(codes, kind="stable")
+    lists, many = row[by_code], np.bincount(codes, minlength=1)
+    first = np.cumsum(many) - many
+    labels, two = np.arange(n), side.min() != side.max()
+    for i in np.flatnonzero(side == 0) if two else range(n):
+        held = codes[starts[i] : starts[i + 1]]
+        count = many[held]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first[held], count)
+        shared = np.bincount(lists[at], minlength=n)
+        near = shared >= jaccard * (sizes[i] + sizes - shared) - 1e-9
+        near &= side != side[i] if two else np.arange(n) > i
+        j = np.flatnonzero(near)
+        if len(j):
+            labels = merge_links(labels, np.full(len(j), i), j)
+    moved = np.flatnonzero(labels != np.arange(n))
+    return ids[moved], ids[labels[moved]]
+
+
+def crowd_links(crowds: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
+    """``(a, b)`` links inside crowds ``(node, component)``: every pair of blocks of a crowd is compared in a task of its own."""
+    rows = materialize(crowds.withColumnRenamed("node", "id").join(sets, "id"), "near-crowds")
+    sizes = rows.groupBy("component").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum(F.size("s")) / BLOCK_SHINGLES)).cast("int").alias("cells"))
+    split = rows.join(materialize(sizes, "near-crowd-sizes"), "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
+        "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "s")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        t = pa.Table.from_batches(list(batches))
+        listed = t["s"].combine_chunks()
+        starts = np.concatenate(([0], np.cumsum(listed.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))))
+        a, b = set_links(t["id"].to_numpy(), t["side"].to_numpy(), starts, listed.flatten().to_numpy(), jaccard)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return split.groupBy("component", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def near_text_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, jaccard: float = 0.8, bits: int = 60, words: int = 4, blocks: int = 11,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """``(doc_id, digest, component)``, one row for each row of ``docs``; near duplicates share the component.
 
@@ -196,7 +227,8 @@ def near_text_groups(
     when their sets of ``shingle``-word shingles (A-Z lower-cased, words cut at ASCII white space; fewer
     words are one shingle) have a Jaccard similarity of ``jaccard`` or more, and texts without words link with each other;
     no pair below it links. Candidates are pairs of fingerprints of ``64 * words`` bits that
-    differ in at most ``bits`` and, in one of ``blocks`` runs of 23 bits, in at most two. ``component``
+    differ in at most ``bits`` and, in one of ``blocks`` runs of 23 bits, in at most two; where more than ``crowd`` hang together at an
+    anchor, all of them are compared. ``component``
     is a number that means nothing else. Rows with a null id have classes like others; rows of one id and
     different texts are different rows; extra columns play no part; an empty table gives no rows.
     """
@@ -211,18 +243,13 @@ def near_text_groups(
     rows = materialize(picked.mapInArrow(run, "doc_id long, digest string, fingerprint binary"), "near-rows")
     classes = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.any_value("fingerprint").alias("fingerprint"))
     # Numbers are fixed once written.
-    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()).withColumn("label", F.col("id")), "near-classes")
-    found = materialize(candidates(classes, bits, words, blocks), "near-candidates")
-    links = materialize(verified(found.filter("a < b"), classes, docs, doc_id, text, shingle, jaccard), "near-links")
-    parts = components(links, "a", "b")
-    crowd = found.filter("a = b").select(F.col("a").alias("id"))
-    if crowd.limit(1).count():
-        joined = materialize(parts.withColumnRenamed("node", "id"), "near-parts")
-        apart = classes.join(crowd, "id").drop("label").join(joined, "id", "left").withColumn("label", F.coalesce("component", "id"))
-        apart = materialize(apart.select("id", "label", "fingerprint"), "near-crowd")
-        more = materialize(candidates(apart, bits, words, blocks, apart=True), "near-apart")
-        more = verified(more, classes, docs, doc_id, text, shingle, jaccard)
-        parts = components(links.unionByName(more), "a", "b")
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
+    found = materialize(candidates(classes, bits, words, blocks, crowd), "near-candidates")
+    asked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = materialize(sets_of(asked, classes, docs, doc_id, text, shingle), "near-sets")
+    links = verified(found.filter("NOT crowd"), sets, jaccard)
+    crowds = components(found.filter("crowd"), "a", "b")
+    parts = components(links.unionByName(crowd_links(crowds, sets, jaccard)), "a", "b")
     named = classes.join(parts, classes["id"] == parts["node"], "left").select("digest", F.coalesce("component", "id").alias("component"))
     return rows.select("doc_id", "digest").join(materialize(named, "near-named"), "digest")
 

@@ -63,9 +63,9 @@ def groups(spark, rows, **options):
 
 @pytest.mark.parametrize("crowd", [8, 1_000])
 def test_matches_brute_force(spark, monkeypatch, crowd):
-    monkeypatch.setattr(N, "CROWD", crowd)
+    monkeypatch.setattr(N, "BLOCK_ROWS", 50)
     texts = corpus()
-    found = {r.doc_id: r.component for r in groups(spark, [(i, t, "x", 1) for i, t in enumerate(texts)])}
+    found = {r.doc_id: r.component for r in groups(spark, [(i, t, "x", 1) for i, t in enumerate(texts)], crowd=crowd)}
     labels, pairs = brute(texts)
     assert grouped([found[i] for i in range(len(texts))]) == grouped(labels) and len(pairs) > 500
 
