@@ -157,18 +157,19 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
     return found.select("doc_id", "value", "start", F.col("n_chars").cast("int").alias("n_chars"), "probability", "is_secret")
 
 
-def redacted(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = "source", mark: str = "[SECRET]", **options) -> DataFrame:
+def redacted(docs: DataFrame, text: str = "text", path: str = "source", mark: str = "[SECRET]", **options) -> DataFrame:
     """``docs`` with every place of each found secret in its row's text replaced by ``mark``.
 
-    Columns and rows stay; ``n_chars``, where there is one, follows the text. Secrets of rows that
-    share an id (null ids among them) are taken out of all of these rows.
+    Columns and rows stay; ``n_chars``, where there is one, follows the text. Rows are told apart by their text, so
+    a secret of one row changes no other text, whatever ids they have or lack. Reviewed labels have the text's md5 as ``doc_id``.
     """
-    found = scan(docs, doc_id, text, path, **options).filter("is_secret")
+    keyed = docs.select(F.md5(text).alias("__key"), F.col(text).alias(text), F.col(path).alias(path))
+    found = scan(keyed, "__key", text, path, **options).filter("is_secret")
     # Longer values first, so that a secret that holds another is taken out whole.
     longest_first = F.array_sort(F.collect_set(F.struct((-F.length("value")).alias("k"), F.col("value").alias("v"))))
-    lists = found.groupBy("doc_id").agg(longest_first.alias("__secrets")).withColumnRenamed("doc_id", "__owner")
+    lists = found.groupBy(F.col("doc_id").alias("__owner")).agg(longest_first.alias("__secrets"))
     lists = materialize(lists, "secret-lists")
-    out = docs.join(lists, F.col(doc_id).eqNullSafe(F.col("__owner")), "left")
+    out = docs.join(lists, F.md5(text) == F.col("__owner"), "left")
     clean = F.aggregate("__secrets", F.col(text), lambda t, s: F.replace(t, s["v"], F.lit(mark)))
     out = out.withColumn(text, F.when(F.col("__secrets").isNull(), F.col(text)).otherwise(clean))
     if "n_chars" in docs.columns:

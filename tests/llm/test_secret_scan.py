@@ -89,3 +89,12 @@ def test_every_place_is_a_finding(spark):
     assert sum(r.value == h for r in got if r.doc_id == 900) == 3
     assert all(r.is_secret for r in S.scan(docs).filter("doc_id = 900").collect() if r.value == h)
     assert h not in next(r.text for r in S.redacted(docs).collect() if r.doc_id == 900)
+
+
+def test_a_secret_changes_no_other_row(spark):
+    h = "0a1b2c3d4e5f60718293a4b5c6d7e8f9"
+    rows, _ = corpus()
+    mine = [(None, f'token = "{h}"', "a", 0, "x"), (None, f"see commit {h} of last week", "a", 0, "x"), (7_000, f'api_key = "{h}"', "a", 0, "x"), (7_000, f"file {h} was moved", "a", 0, "x")]
+    out = S.redacted(spark.createDataFrame(rows + mine, SCHEMA)).filter("doc_id IS NULL OR doc_id = 7000").collect()
+    texts = sorted(r.text for r in out)
+    assert texts == sorted(['token = "[SECRET]"', f"see commit {h} of last week", 'api_key = "[SECRET]"', f"file {h} was moved"])
