@@ -112,7 +112,7 @@ def test_bucketed_join_with_a_hot_key(spark, tmp_path, how):
     for name, df in zip(tables, (left, right)):
         write_bucketed(df, name, "k", 4, sort_by="k", path=f"{tmp_path}/{name}")
     got = bucketed_join_split(spark, *tables, "k", ["row"], how=how, rows_per_salt=500)
-    assert rows(got) == rows(left.join(right, "k", how)) if how != "left" else sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", how).collect()))
+    assert sorted(map(str, got.collect())) == sorted(map(str, left.join(right, "k", how).collect()))
     cold = initial_plan(got).split("Union")[1].split("__salt")[0]
     assert "SelectedBucketsCount: 4 out of 4" in initial_plan(got) and "Exchange hashpartitioning(k" not in cold.split("SortMergeJoin")[1]
     for name in tables:
