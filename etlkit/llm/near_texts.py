@@ -7,7 +7,8 @@ only picks candidates: a link is a pair whose sets of shingles have the wanted J
 
 Candidates go out as pairs only where few hang together at an anchor. A crowd goes out as one edge a row, which
 names the crowd it belongs to; its sets of shingles are then compared inside tasks, block by block, and only a
-spanning forest of its links leaves them.
+spanning forest of its links leaves them. Pairs that hang together in small groups are compared the same way, so that each
+set of shingles crosses the network once for its group; only pairs of long chains are verified one by one.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ FILED, CROWD = 5.4, 16
 # Rows and shingles of a block of a crowd.
 BLOCK_ROWS, BLOCK_SHINGLES = 2_048, 2_000_000
 SEED = 9
+# Bits of the map that keeps texts which no candidate asks for off the network.
+ASKED_LOG2 = 25
 
 
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
@@ -147,6 +150,28 @@ def candidates(classes: DataFrame, bits: int, words: int, blocks: int, crowd: in
     return read.mapInArrow(file, schema).groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long, crowd boolean").distinct()
 
 
+def _asked_only(keyed: DataFrame, asked: DataFrame) -> DataFrame:
+    """``keyed`` without most rows that are not asked for, by a bitmap of 2^ASKED_LOG2 bits of hashed keys.
+
+    A filter only: rows that pass by chance fall out of the join that follows. The bitmap never grows; where it fills up it
+    lets all rows through.
+    """
+    cell = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << ASKED_LOG2))
+    bits = asked.select(cell("__id", "__digest").alias("c")).groupBy(F.expr("c div 64").alias("word"))
+    bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(c % 64 AS int))")).alias("bits")).toArrow()
+    bitmap = np.zeros(1 << (ASKED_LOG2 - 6), dtype=np.int64)
+    bitmap[bits["word"].to_numpy()] = bits["bits"].to_numpy()
+    shared = keyed.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(3).to_numpy()
+            on = shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64) & np.uint64(1)
+            yield batch.select([0, 1, 2]).filter(pa.array(on.astype(bool)))
+
+    return keyed.withColumn("__cell", cell("__key", "__d")).mapInArrow(run, keyed.schema)
+
+
 def sets_of(asked: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
     """``(id, s)``: the sets of shingles of the classes whose ``id`` is asked for."""
     asked = materialize(classes.join(asked, "id").select("id", F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), "near-asked")
@@ -159,6 +184,7 @@ def sets_of(asked: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str,
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.list_(pa.int64()))], names=["id", "s"])
 
     keyed = docs.select(F.col(doc_id).cast("long").alias("__key"), _digest(text).alias("__d"), F.col(text).alias("__text"))
+    keyed = _asked_only(keyed, asked)
     rows = keyed.join(asked, keyed["__key"].eqNullSafe(asked["__id"]) & (F.col("__d") == F.col("__digest"))).select("id", "__text")
     return rows.mapInArrow(run, "id long, s array<long>").groupBy("id").agg(F.any_value("s").alias("s"))
 
@@ -217,6 +243,15 @@ def crowd_links(crowds: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame
     return split.groupBy("component", "low", "high").applyInArrow(compare, "a long, b long")
 
 
+def groups_of_pairs(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(node, component)`` of pairs that hang together in at most BLOCK_ROWS rows, and the pairs ``(a, b)`` of longer chains."""
+    groups = materialize(components(pairs, "a", "b"), "near-groups")
+    small = F.col("n") <= BLOCK_ROWS
+    sized = groups.join(groups.groupBy("component").agg(F.count(F.lit(1)).alias("n")), "component")
+    chained = pairs.select("a", "b").join(sized.filter(~small).select(F.col("node").alias("a")), "a", "left_semi")
+    return sized.filter(small).select("node", "component"), chained
+
+
 def near_text_groups(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, jaccard: float = 0.8, bits: int = 60, words: int = 4, blocks: int = 11,
     crowd: int = CROWD,
@@ -247,9 +282,11 @@ def near_text_groups(
     found = materialize(candidates(classes, bits, words, blocks, crowd), "near-candidates")
     asked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = materialize(sets_of(asked, classes, docs, doc_id, text, shingle), "near-sets")
-    links = verified(found.filter("NOT crowd"), sets, jaccard)
-    crowds = components(found.filter("crowd"), "a", "b")
-    parts = components(links.unionByName(crowd_links(crowds, sets, jaccard)), "a", "b")
+    groups, chained = groups_of_pairs(found.filter("NOT crowd"))
+    # A row may be in a crowd and in a group; groups have the negative numbers.
+    groups = groups.select("node", (-1 - F.col("component")).alias("component"))
+    crowds = components(found.filter("crowd"), "a", "b").unionByName(groups)
+    parts = components(verified(chained, sets, jaccard).unionByName(crowd_links(crowds, sets, jaccard)), "a", "b")
     named = classes.join(parts, classes["id"] == parts["node"], "left").select("digest", F.coalesce("component", "id").alias("component"))
     return rows.select("doc_id", "digest").join(materialize(named, "near-named"), "digest")
 
