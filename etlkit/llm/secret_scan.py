@@ -7,14 +7,28 @@ from collections.abc import Callable
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etlkit.llm.common import materialize
+from etlkit.llm.secret_labels import labelled_findings
 from etlkit.runtime import require
 
-# Web tokens of three parts, and runs of 16 or more key characters with a digit among them.
-CANDIDATE = r"\beyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+|(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*[0-9])[A-Za-z0-9_+/\-]{16,}={0,2}"
+# Names of credentials, where a value is given to them.
+_GIVEN = (
+    r"(?i:token|secret|passwd|password|passphrase|pwd|key|credentials?|auth|authorization|value)[\"']?\s{0,2}(?:=>?|:)\s{0,2}"
+)
+# Private key blocks, user and password of URLs, web tokens of three parts, values of 8 or more characters given to a
+# credential's name (quoted or bare), and runs of 16 or more key characters with a digit among them.
+CANDIDATE = (
+    r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}+-----END (?:[A-Z]+ )*PRIVATE KEY-----"
+    r"|(?<=://)[^\s/:@\"']{1,64}:[^\s/:@\"']{6,}(?=@)"
+    r"|\beyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]+|\b(?:AKIA|ASIA)[0-9A-Z]{16}\b"
+    rf"|(?<=[\"'])(?<={_GIVEN}[\"'])[^\s\"']{{8,}}(?=[\"'])"
+    rf"|(?<=[=:>\s])(?<={_GIVEN})[^\s\"'`<>,;&(){{}}\[\]]{{8,}}"
+    r"|(?<![A-Za-z0-9_+/\-])(?=[A-Za-z_+/\-]*[0-9])[A-Za-z0-9_+/\-]{16,}={0,2}"
+)
+SHORTEST = 8
 # Words that often stand beside a credential, and words that secrets do not spell.
 NEIGHBOURS = (
     r"(?i)(token|secret|passw|password|passphrase|pwd|api_?-?key|apikey|access_?-?key|private|private_?-?key|credentials?|bearer"
@@ -23,19 +37,20 @@ NEIGHBOURS = (
 # Forms that issuers give their keys.
 KNOWN = (
     r"^(eyJ[\w\-]+\.[\w\-]+\.[\w\-]+|(AKIA|ASIA)[0-9A-Z]{16}|gh[opsur]_[A-Za-z0-9]{36,}|github_pat_\w{22,}|glpat-[\w\-]{20,}"
-    r"|xox[abeprs]-[\w\-]{10,}|AIza[\w\-]{35}|[rs]k_(live|test)_[A-Za-z0-9]{16,})$"
+    r"|xox[abeprs]-[\w\-]{10,}|AIza[\w\-]{35}|[rs]k_(live|test)_[A-Za-z0-9]{16,})$|^-----BEGIN "
 )
 DICTIONARY = (
     "the", "and", "for", "with", "this", "that", "from", "test", "example", "sample", "dummy", "file", "page", "index",
     "image", "http", "https", "www", "html", "content", "article", "number", "order", "date", "time", "name", "user",
-    "value", "data", "table", "version", "license", "public", "section", "chapter", "item", "list", "text",
+    "value", "data", "table", "version", "license", "public", "section", "chapter", "item", "list", "text", "your", "here",
+    "change", "insert", "placeholder", "password", "secret", "token", "none", "null",
 )
 TEST_PATH = r"(?i)(test|example|sample|mock|fixture|demo|docs?/)"
 BEFORE, AFTER = 48, 16
 FEATURES = (
     "n_chars", "digit_share", "upper_share", "other_share", "distinct_share", "switches", "case_switches", "longest_letters",
     "longest_digits", "is_hex", "is_digits", "word_share", "test_path", "path_depth", "near_keyword", "assigned", "quoted",
-    "before_letters", "after_letters", "bearer", "known_form",
+    "before_letters", "after_letters", "bearer", "known_form", "in_url", "marked",
 )
 
 
@@ -60,10 +75,10 @@ def findings(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path:
     found = F.struct(F.regexp_extract_all(body, F.lit(CANDIDATE), F.lit(0)).alias("v"), F.split(body, CANDIDATE, -1).alias("p"))
 
     def at(i: Column, s: Column, starts: Column) -> Column:
-        # Values have 16 or more characters, so three of them fill the text before a place.
+        # So many values of the least length fill the text before a place, or after it.
         piece = lambda a, k: F.coalesce(F.get(a, k), F.lit(""))
-        prior = F.concat(*[piece(s[n], i - k) for k in (3, 2, 1) for n in ("p", "v")], piece(s["p"], i))
-        after = F.concat(piece(s["p"], i + 1), piece(s["v"], i + 1))
+        prior = F.concat(*[piece(s[n], i - k) for k in range(BEFORE // SHORTEST, 0, -1) for n in ("p", "v")], piece(s["p"], i))
+        after = F.concat(*[piece(s[n], i + k) for k in range(1, AFTER // SHORTEST + 1) for n in ("p", "v")])
         return F.struct(
             F.get(s["v"], i).alias("value"), (F.get(starts, i) + F.char_length(piece(s["p"], i)) + 1).alias("start"),
             F.right(prior, F.lit(BEFORE)).alias("before"), F.left(after, F.lit(AFTER)).alias("after"))
@@ -94,22 +109,20 @@ def with_features(found: DataFrame) -> DataFrame:
         "before_letters": F.length(F.regexp_extract(before, r"(\p{L}*)\P{L}*$", 1)).cast("double"),
         "after_letters": F.length(F.regexp_extract(after, r"^\P{L}*(\p{L}*)", 1)).cast("double"),
         "bearer": flag(before.rlike(r"(?i)\bbearer\s+$")), "known_form": flag(v.rlike(KNOWN)),
+        "in_url": flag(before.endswith("://")), "marked": count(v, r"[^A-Za-z0-9_+/=\-]"),
     }
     return found.withColumns(columns)
 
 
-def rule_labels(found: DataFrame) -> Column:
-    """Labels of findings where no reviewer gave any.
+def known_findings(spark: SparkSession, **options) -> DataFrame:
+    """Findings with features and ``label`` in the labelled texts of ``secret_labels``."""
+    texts = materialize(labelled_findings(spark, **options), "secret-labels")
+    found = findings(texts, "doc_id", "text", "path")
+    marks = texts.select("doc_id", F.col("value").alias("__value"), "label")
+    return with_features(found.join(marks, "doc_id").filter(F.contains("value", "__value") | F.contains("__value", "value")).drop("__value"))
 
-    A value given to a credential's name, quoted or not, a bearer's and one of a known form are
-    secrets. Others beside such a name, but for numbers, are left without a label (null), the rest are none.
-    """
-    named = (F.col("near_keyword") > 0) & (F.col("assigned") > 0) | (F.col("bearer") > 0)
-    secret = (F.col("known_form") > 0) | named & (F.col("is_digits") == 0)
-    return F.when(secret, 1.0).when((F.col("near_keyword") > 0) & (F.col("is_digits") == 0), F.lit(None)).otherwise(0.0)
 
-
-def scored_findings(featured: DataFrame, labelled: DataFrame, rows: int = 5_000, trees: int = 20, depth: int = 6, seed: int = 1) -> DataFrame:
+def scored_findings(featured: DataFrame, labelled: DataFrame, rows: int = 5_000, trees: int = 40, depth: int = 10, seed: int = 1) -> DataFrame:
     """``featured`` with ``probability`` and ``is_secret``, by a forest fitted on at most ``rows`` labelled findings.
 
     ``labelled`` has the feature columns, ``doc_id``, ``value`` and ``label``. The bound and the order of
@@ -135,21 +148,16 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str
 
     ``probability`` is that of the place; a value is a secret in all its places in the rows of an id if
     it is in one. Whole texts are searched; null and empty texts have no candidates. Repeated rows give repeated
-    findings. ``labelled`` are reviewed findings (``doc_id``, ``value``, ``label``); without them the rule
-    of ``rule_labels`` labels the corpus's own, and what it calls a secret is one whatever the forest
-    makes of a rare form. Extra columns play no part. An empty table gives no rows.
+    findings. ``labelled`` are reviewed findings (``doc_id``, ``value``, ``label``) of these rows; without them the forest is
+    fitted on the labelled texts of ``secret_labels``. The forest alone judges. Extra columns play no part. An empty table gives no rows.
     """
     featured = materialize(with_features(findings(docs, doc_id, text, path)), "findings")
     if labelled is None:
-        known = featured.withColumn("label", rule_labels(featured)).filter("label IS NOT NULL")
+        known = known_findings(docs.sparkSession)
     else:
         marks = labelled.select("doc_id", "value", F.col("label").cast("double").alias("label")).distinct()
         known = featured.join(marks, ["doc_id", "value"])
     found = scored_findings(featured, known, **options)
-    if labelled is None:
-        ruled = F.coalesce(rule_labels(found), F.lit(0.0)) > 0
-        found = found.withColumn("probability", F.when(ruled, 1.0).otherwise(F.col("probability")))
-        found = found.withColumn("is_secret", F.col("is_secret") | ruled)
     found = materialize(found, "scored-findings")
     secret = found.filter("is_secret").select(F.col("doc_id").alias("__d"), F.col("value").alias("__v")).distinct()
     found = found.join(secret, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("value") == F.col("__v")), "left")

@@ -110,12 +110,3 @@ def test_shingle_sets():
     assert len(N.shingle_set(None, 5)) == 0 == len(N.shingle_set(" \n", 5))
     assert np.array_equal(N.shingle_set("A b", 5), N.shingle_set("a\tB", 5))
     assert len(N.shingle_set("a b c d e f a b c d e", 5)) == 6
-
-
-def test_long_chains_are_verified_by_pair(spark, monkeypatch):
-    """With groups of at most three rows, longer chains go the way of single pairs and give the same links."""
-    texts = corpus(copies=12)[:60]
-    rows = [(k, t, "x", 1) for k, t in enumerate(texts)]
-    wide = groups(spark, rows)
-    monkeypatch.setattr(N, "BLOCK_ROWS", 3)
-    assert groups(spark, rows) == wide == grouped(brute(texts)[0])
