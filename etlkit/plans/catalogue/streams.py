@@ -240,7 +240,8 @@ _ARRIVAL_MINUTES = "(event_id * 7 % 20 + CASE WHEN event_id % 40 = 0 THEN 360 EL
 
 def _arriving(t, label, max_files=None):
     """The events as a stream that they come to slot by slot, and the steps that bring the slots."""
-    arrival = F.unix_seconds(F.col("ts").cast("timestamp")) + F.expr(_ARRIVAL_MINUTES) * 60
+    # To the nearest second, halves to the even one.
+    arrival = F.rint(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).cast("long") + F.expr(_ARRIVAL_MINUTES) * 60
     known = t.events.agg(F.min(arrival).alias("first"), (F.max(arrival) - F.min(arrival) + 1).alias("span"))
     first, span = known.first()
     slot = F.expr("0") if first is None else F.floor((arrival - first) * _SLOTS / span)

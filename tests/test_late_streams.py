@@ -2,10 +2,13 @@
 
 import shutil
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import harness
 from conftest import rows
+from etlkit.plans.catalogue import ORACLES, QUERIES
 from etlkit.streaming import events as E
 from etlkit.streaming import late as L
 from etlkit.streaming.inputs import file_source
@@ -116,3 +119,18 @@ def test_sessions_split_over_stretches_equal_the_batch(spark, tmp_path):
     want = E.session_stats(frame, "ts", "k", "value", "5 minutes")
     key = lambda f: sorted(str(tuple(r)) for r in f.select(*sorted(f.columns)).collect())
     assert key(got) == key(want) and got.filter("k = 'hot'").count() == 8
+
+
+def test_arrivals_are_taken_to_the_nearest_second(spark, tmp_path):
+    # Slots of 2,000 seconds. Event 40 comes 21,600 seconds after its time: at 21,999.6 it belongs to the slot that begins
+    # at 22,000, after event 100; cut down to 21,999 it came with event 100 and was on time.
+    seconds = {20: 0.0, 40: 399.6, 100: 20_500.0, 60: 39_999.0}
+    events = spark.createDataFrame(list(seconds.items()), "event_id long, s double").select(
+        "event_id", F.timestamp_micros((1_704_067_200_000_000 + F.col("s") * 1_000_000).cast("long")).cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("long").alias("user_id"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    got = QUERIES["late_rows_aside"](spark, str(tmp_path)).toArrow()
+    assert harness.compare(got, con.sql(ORACLES["late_rows_aside"]).to_arrow_table()) == []
+    assert got["event_id"].to_pylist() == [40]
