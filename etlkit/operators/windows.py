@@ -102,7 +102,8 @@ def moving_range(
 
     Time is cut into stretches one frame long. A row is also copied into the next stretch, so each
     window runs over one key and two stretches, never over a whole key. Rows without a time see each
-    other, as they do in a SQL window.
+    other, as they do in a SQL window. Any aggregate goes, but Spark sums up each row's frame anew: where frames
+    hold many rows, ``moving_range_split`` takes sums, counts, averages and extremes.
     """
     by = names(by)
     require(df, *by, ts)

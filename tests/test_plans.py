@@ -124,3 +124,8 @@ def test_two_level_totals_and_range_sort(spark, table):
 def test_operator_set_totals_reads_each_table_once_a_use(spark, data):
     plan = initial_plan(QUERIES["operator_set_totals"](spark, data))
     assert plan.count("FileScan") == 3 and "stddev" not in plan
+
+
+def test_time_frames_of_many_rows_are_put_together_of_pieces(spark, data):
+    # A range frame of six hours sums up all its rows anew for each row.
+    assert "-21600000000" not in initial_plan(QUERIES["time_range_frames"](spark, data))
