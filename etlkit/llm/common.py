@@ -5,18 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.runtime import shared_dir
-
-
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame below ``spark.checkpoint.dir`` and read it back.
-
-    The files are on storage that all executors reach, so a lost executor costs at most the tasks
-    that were running. Reading back also gives joins a plain scan, whose shuffle AQE may split.
-    """
-    path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from etlkit.runtime import materialize
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:

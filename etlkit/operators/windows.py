@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from etlkit.operators.ordered import Ordering, over_blocks, rankings, running
-from etlkit.runtime import join_groups, names, require
+from etlkit.runtime import join_groups, materialize, names, require, settled
 
 __all__ = [
     "Ordering", "deltas", "first_last", "moving", "moving_range", "rankings", "running",
@@ -17,13 +17,17 @@ __all__ = [
 
 
 def with_group_stats(
-    df: DataFrame, by: str | Sequence[str], stats: Mapping[str, Column]
+    df: DataFrame, by: str | Sequence[str], stats: Mapping[str, Column], few: bool = False
 ) -> DataFrame:
-    """Group aggregates on every detail row: aggregate with map-side combine, then join back."""
+    """Group aggregates on every detail row: aggregate with map-side combine, then join back.
+
+    Say ``few`` where groups are few and large: they are written first, so that their size is known when the
+    join is planned, and a shuffle does not deal all rows to a few tasks. Right for any number of groups.
+    """
     by = names(by)
     require(df, *by)
     groups = df.groupBy(*by).agg(*[column.alias(name) for name, column in stats.items()])
-    return join_groups(df, groups, by)
+    return join_groups(df, settled(groups) if few else groups, by)
 
 
 def zscore(df: DataFrame, by: str | Sequence[str], value: str, name: str = "z_score") -> DataFrame:
@@ -92,7 +96,10 @@ def first_last(
         return with_group_stats(df, by, {**first, **last})
     if frame != "peers":
         raise ValueError("frame must be 'all' or 'peers'")
-    return with_group_stats(with_group_stats(df, by, first), [*by, order[0]], last)
+    # The first of a group is the first of its first peers.
+    peers = materialize(df.groupBy(*by, order[0]).agg(*[column.alias(name) for name, column in {**first, **last}.items()]), "peers")
+    firsts = peers.groupBy(*by).agg(F.min_by("first_value", F.struct(order[0])).alias("first_value"))
+    return join_groups(df, settled(join_groups(peers.drop("first_value"), firsts, by)), [*by, order[0]])
 
 
 def moving_range(

@@ -129,3 +129,8 @@ def test_operator_set_totals_reads_each_table_once_a_use(spark, data):
 def test_time_frames_of_many_rows_are_put_together_of_pieces(spark, data):
     # A range frame of six hours sums up all its rows anew for each row.
     assert "-21600000000" not in initial_plan(QUERIES["time_range_frames"](spark, data))
+
+
+def test_peers_are_looked_up_without_dealing_rows_by_group(spark, data):
+    plan = executed_plan(QUERIES["first_and_last_of_peers"](spark, data))
+    assert "BroadcastHashJoin" in plan and not exchanges(plan)
