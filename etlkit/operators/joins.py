@@ -161,7 +161,7 @@ def deviation_from_group(
     df: DataFrame, by: str | Sequence[str], value: str, avg: str = "group_avg", name: str = "deviation"
 ) -> DataFrame:
     """Each row's distance from the average of its group."""
-    rows = with_group_stats(df, by, {avg: F.avg(value)})
+    rows = with_group_stats(df, by, {avg: F.avg(value)}, few=True)
     return rows.withColumn(name, F.abs(F.col(value) - F.col(avg)))
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from etlkit.operators.aggregates import exact_percentiles, value_levels
 from etlkit.operators.joins import unmatched
 from etlkit.operators.windows import with_group_stats
-from etlkit.runtime import join_groups, names, require
+from etlkit.runtime import join_groups, names, require, settled
 
 __all__ = [
     "CLEANING_PLANS", "CleaningPlan", "Cleaned", "clean", "cleaning_stats", "dead_letter",
@@ -122,12 +122,12 @@ def iqr_outliers_by_group(
     require(df, column)
     if exact:
         by = names(by)
-        return _fence(join_groups(df, _exact_quartiles(df, by, column), by), column, k)
+        return _fence(join_groups(df, settled(_exact_quartiles(df, by, column)), by), column, k)
     stats = {
         "__q1": F.percentile_approx(column, 0.25, accuracy),
         "__q3": F.percentile_approx(column, 0.75, accuracy),
     }
-    return _fence(with_group_stats(df, by, stats), column, k)
+    return _fence(with_group_stats(df, by, stats, few=True), column, k)
 
 
 def validate(df: DataFrame, rules: Mapping[str, Column], errors: str = "validation_errors") -> DataFrame:

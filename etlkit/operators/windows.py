@@ -30,10 +30,10 @@ def with_group_stats(
     return join_groups(df, settled(groups) if few else groups, by)
 
 
-def zscore(df: DataFrame, by: str | Sequence[str], value: str, name: str = "z_score") -> DataFrame:
-    """``(x - avg) / stddev`` per group; NULL for one-row groups and for zero spread."""
+def zscore(df: DataFrame, by: str | Sequence[str], value: str, name: str = "z_score", few: bool = False) -> DataFrame:
+    """``(x - avg) / stddev`` per group; NULL for one-row groups and for zero spread. ``few`` as for ``with_group_stats``."""
     stats = {"__avg": F.avg(value), "__std": F.stddev(value)}
-    rows = with_group_stats(df, by, stats)
+    rows = with_group_stats(df, by, stats, few)
     return rows.withColumn(
         name, F.try_divide(F.col(value) - F.col("__avg"), F.col("__std"))
     ).drop("__avg", "__std")
@@ -93,7 +93,7 @@ def first_last(
     first = {"first_value": F.min_by(value, along)}
     last = {"last_value": F.max_by(value, along)}
     if frame == "all":
-        return with_group_stats(df, by, {**first, **last})
+        return with_group_stats(df, by, {**first, **last}, few=True)
     if frame != "peers":
         raise ValueError("frame must be 'all' or 'peers'")
     # The first of a group is the first of its first peers.

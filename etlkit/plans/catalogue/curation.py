@@ -200,7 +200,7 @@ def operator_set_totals(t):
         FROM r WINDOW w AS (PARTITION BY category)) WHERE amount_squared > 1000000
 """)
 def operator_set_large(t):
-    rows = zscore(_operator_set(t), "category", "l_extendedprice", "normalized")
+    rows = zscore(_operator_set(t), "category", "l_extendedprice", "normalized", few=True)
     return rows.filter(F.col("amount_squared") > 1_000_000).select(
         *LINE_ID, "amount_squared", F.round("log_amount", 8).alias("log_amount"), F.round("normalized", 6).alias("normalized")
     )

@@ -38,7 +38,7 @@ def group_stats_on_rows(t):
     rows = t.lineitem.select("l_returnflag", "l_linestatus", *LINE_ID, v)
     return W.with_group_stats(rows, ["l_returnflag", "l_linestatus"], {
         "total_sales": F.round(F.sum(v), 2), "avg_sales": F.round(F.avg(v), 4), "min_sales": F.min(v), "max_sales": F.max(v),
-    }).select(*LINE_ID, "total_sales", "avg_sales", "min_sales", "max_sales")
+    }, few=True).select(*LINE_ID, "total_sales", "avg_sales", "min_sales", "max_sales")
 
 
 @query(f"""

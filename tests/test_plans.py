@@ -134,3 +134,9 @@ def test_time_frames_of_many_rows_are_put_together_of_pieces(spark, data):
 def test_peers_are_looked_up_without_dealing_rows_by_group(spark, data):
     plan = executed_plan(QUERIES["first_and_last_of_peers"](spark, data))
     assert "BroadcastHashJoin" in plan and not exchanges(plan)
+
+
+@pytest.mark.parametrize("name", ["first_and_last", "group_stats_on_rows"])
+def test_few_groups_are_looked_up_without_dealing_rows_by_group(spark, data, name):
+    plan = executed_plan(QUERIES[name](spark, data))
+    assert "BroadcastHashJoin" in plan and not exchanges(plan)
