@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from etlkit.runtime import join_groups, names, require
+from etlkit.runtime import join_groups, materialize, names, require, settled
 
 CELL = "__cell"
 # How partial results of one measure are put together.
@@ -183,7 +183,8 @@ def rankings(
     require(df, *by, order, *ties)
     inner = Ordering([*by, order], ties, fine or [F.lit(0)], descending)
     base = inner.with_cell(df)
-    cells = inner.cells(base, {"__rows": F.count(F.lit(1))})
+    # Written, as it is read several times: the rows themselves are counted once.
+    cells = materialize(inner.cells(base, {"__rows": F.count(F.lit(1))}), "cells")
 
     above = {f"__coarse{i}": column for i, column in enumerate(coarse)}
     peers = cells.withColumns(above).groupBy(*by, *above, order).agg(F.sum("__rows").alias("__rows"))
@@ -195,23 +196,24 @@ def rankings(
         *by, order, "__n", "__rows",
         (F.coalesce("__rows_before", F.lit(0)) + 1).alias("rank"),
         (F.coalesce("__values_before", F.lit(0)) + 1).alias("dense_rank"),
-    ).withColumns({
-        "percent_rank": F.when(F.col("__n") == 1, 0.0).otherwise((F.col("rank") - 1) / (F.col("__n") - 1)),
-        "cume_dist": (F.col("rank") - 1 + F.col("__rows")) / F.col("__n"),
-    }).drop("__rows")
+    ).withColumnRenamed("__rows", "__peers")
 
     inside = inner.prefixes(cells, {"__rows": F.sum})
-    per_cell = join_groups(inside, ranks, [*by, order])
+    # Small where values repeat; else rows meet it on plain columns, the one with the most values first, which sort fast.
+    per_cell = settled(join_groups(inside, ranks, [*by, order]))
     numbered = base.withColumn("__in_cell", F.row_number().over(inner.in_cell()))
-    rows = inner.attach(numbered, per_cell).withColumn(
-        "row_number", F.col("rank") - 1 + F.coalesce("__rows", F.lit(0)) + F.col("__in_cell")
-    )
+    numbered = numbered.withColumns({name: F.col(CELL)[name] for name in inner.level_names})
+    rows = join_groups(numbered, per_cell, [order, *by, *inner.level_names]).withColumns({
+        "percent_rank": F.when(F.col("__n") == 1, 0.0).otherwise((F.col("rank") - 1) / (F.col("__n") - 1)),
+        "cume_dist": (F.col("rank") - 1 + F.col("__peers")) / F.col("__n"),
+        "row_number": F.col("rank") - 1 + F.coalesce("__rows", F.lit(0)) + F.col("__in_cell"),
+    })
     at, each, extra = F.col("row_number") - 1, F.expr(f"__n div {buckets}"), F.expr(f"__n % {buckets}")
     wide = extra * (each + 1)
     tile = F.when(at < wide, F.floor(at / (each + 1))).otherwise(
         extra + F.floor(F.try_divide(at - wide, each))
     )
-    return rows.withColumn("ntile", (tile + 1).cast("int")).drop(CELL, "__rows", "__in_cell", "__n")
+    return rows.withColumn("ntile", (tile + 1).cast("int")).drop(CELL, "__rows", "__peers", "__in_cell", "__n", *inner.level_names)
 
 
 def search_tree(value: Column, bounds: Sequence[float], low: int, high: int) -> Column:

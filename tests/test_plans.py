@@ -140,3 +140,8 @@ def test_peers_are_looked_up_without_dealing_rows_by_group(spark, data):
 def test_few_groups_are_looked_up_without_dealing_rows_by_group(spark, data, name):
     plan = executed_plan(QUERIES[name](spark, data))
     assert "BroadcastHashJoin" in plan and not exchanges(plan)
+
+
+def test_ranks_of_repeated_values_are_looked_up_without_a_shuffle_of_the_rows(spark, data):
+    plan = executed_plan(QUERIES["rank_by_value_descending"](spark, data))
+    assert "BroadcastHashJoin" in plan and not exchanges(plan)
