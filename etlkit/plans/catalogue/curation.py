@@ -54,8 +54,11 @@ def stores(t):
     return join_dim(rows, _regions(t), "nation").drop("nation")
 
 
-def transactions(t):
-    """Lines with their order's customer and date; every 50th product key is unknown."""
+def transactions(t, customers=None, how="inner"):
+    """Lines with their order's customer and date; every 50th product key is unknown.
+
+    ``customers`` are joined with the orders, of which there are fewer than lines.
+    """
     lines = t.lineitem.select(
         F.concat_ws("-", *LINE_ID).alias("transaction_id"), "l_orderkey",
         F.when(F.col("l_partkey") % 50 == 0, -1).otherwise(F.col("l_partkey")).alias("product_id"),
@@ -66,6 +69,8 @@ def transactions(t):
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer_id"),
         F.to_date("o_orderdate").alias("transaction_date"),
     )
+    if customers is not None:
+        orders = join_dim(orders, customers.select(*C.CUSTOMER_COLUMNS), "customer_id", how)
     return lines.join(orders, "l_orderkey").drop("l_orderkey")
 
 
@@ -121,7 +126,8 @@ def product_dimension(t):
 
 
 def _fact(t, how="inner"):
-    return C.fact_sales(transactions(t), C.dim_customer(customers(t), as_of()), C.dim_product(products(t)), stores(t), how)
+    buyers = C.dim_customer(customers(t), as_of())
+    return C.fact_sales(transactions(t, buyers, how), buyers, C.dim_product(products(t)), stores(t), how)
 
 
 _MONEY = ["revenue", "cost", "profit"]

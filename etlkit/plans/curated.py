@@ -37,6 +37,8 @@ class Curated:
 VETERAN_DAYS, ESTABLISHED_DAYS = 1095, 365
 RISK_STEPS = [(50_000.0, "Low Risk"), (20_000.0, "Medium Risk")]
 PRICE_STEPS = [(1_000.0, "Premium"), (100.0, "Standard")]
+# Columns of a customer in the fact.
+CUSTOMER_COLUMNS = ["customer_id", "customer_type", "region", "tier", "risk_category"]
 
 
 def dim_customer(customers: DataFrame, as_of: Column) -> DataFrame:
@@ -67,14 +69,16 @@ def fact_sales(
     """Transactions with their dimensions, revenue, cost, profit, margin and calendar parts.
 
     ``how='left'`` keeps transactions with unknown keys: their missing amounts count as 0 and the
-    margin is 0 where there is no revenue.
+    margin is 0 where there is no revenue. A dimension whose columns the transactions hold already, as when customers
+    were joined with the orders of many lines, is not joined again.
     """
     dims = [
-        (customers.select("customer_id", "customer_type", "region", "tier", "risk_category"), "customer_id"),
+        (customers.select(*CUSTOMER_COLUMNS), "customer_id"),
         (products.select("product_id", "category", "brand", "list_price", "cost_price", "price_tier"), "product_id"),
         (stores.select("store_id", "store_type", F.col("region").alias("store_region")), "store_id"),
     ]
-    joined = star_join(transactions, dims, how)
+    held = set(transactions.columns)
+    joined = star_join(transactions, [(dim, on) for dim, on in dims if not set(dim.columns) <= held], how)
     if how == "left":
         revenue = F.coalesce("amount", F.lit(0.0))
         cost = F.coalesce("cost_price", F.lit(0.0)) * F.coalesce("quantity", F.lit(0))

@@ -56,3 +56,16 @@ def test_dimension_classes(spark):
     p = spark.createDataFrame([("a", 1500.0, 1000.0), ("b", 100.0, 50.0), ("c", 0.0, 1.0)], "product_id string, list_price double, cost_price double")
     got = C.dim_product(p).select("product_id", "price_tier", F.coalesce("margin_percentage", F.lit(-1.0)))
     assert rows(got) == [("a", "Premium", 33.33), ("b", "Budget", 50.0), ("c", "Budget", -1.0)]
+
+
+def test_customers_held_by_the_transactions_are_not_joined_again(spark):
+    sold = spark.createDataFrame([("t", 1, 1, 1, 2.0, 8.0, "A", "EUROPE", "VIP", "Low Risk")], """transaction_id string, customer_id long, product_id long,
+        store_id long, quantity double, amount double, customer_type string, region string, tier string, risk_category string""")
+    sold = sold.selectExpr("*", "DATE '2001-02-03' AS transaction_date")
+    buyers = sold.select("customer_id", "customer_type", "region", "tier", "risk_category")
+    goods = spark.sql("SELECT 1L AS product_id, 'c' AS category, 'b' AS brand, 4.0D AS list_price, 3.0D AS cost_price, 'Budget' AS price_tier")
+    shops = spark.sql("SELECT 1L AS store_id, 'Mall' AS store_type, 'ASIA' AS region")
+    for how in ("inner", "left"):
+        plain = C.fact_sales(sold.drop("customer_type", "region", "tier", "risk_category"), buyers, goods, shops, how)
+        held = C.fact_sales(sold, buyers, goods, shops, how)
+        assert held.select(*plain.columns).collect() == plain.collect() and held.count() == 1
