@@ -20,6 +20,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from etlkit.llm.common import components, materialize
 from etlkit.llm.simhash import CELL_ROWS, GROUP_ROWS, RADIUS, _blocks, anchors_of, fingerprint, merge_links
@@ -28,8 +29,8 @@ from etlkit.runtime import require
 ANCHORS = 4096
 # Anchors within RADIUS + 1 of a block, on average (5.3), and candidates that hang together before they are a crowd.
 FILED, CROWD = 5.4, 16
-# Rows and shingles of a block of a crowd.
-BLOCK_ROWS, BLOCK_SHINGLES = 2_048, 2_000_000
+# Rows and bytes of text of a block of a crowd (about 1.7 million shingles, 5 million at most).
+BLOCK_ROWS, BLOCK_BYTES = 2_048, 10_000_000
 SEED = 9
 # Bits of the map that keeps texts which no candidate asks for off the network.
 ASKED_LOG2 = 25
@@ -150,43 +151,50 @@ def candidates(classes: DataFrame, bits: int, words: int, blocks: int, crowd: in
     return read.mapInArrow(file, schema).groupBy("bundle", "low", "high").applyInArrow(compare, "a long, b long, crowd boolean").distinct()
 
 
-def _asked_only(keyed: DataFrame, asked: DataFrame) -> DataFrame:
-    """``keyed`` without most rows that are not asked for, by a bitmap of 2^ASKED_LOG2 bits of hashed keys.
+def _asked(marks: DataFrame, key: str, digest: str):
+    """A flag for rows ``(key, digest)``: false only where ``marks`` (``__id``, ``__digest``) has no such row, by a bitmap of 2^ASKED_LOG2 bits.
 
     A filter only: rows that pass by chance fall out of the join that follows. The bitmap never grows; where it fills up it
-    lets all rows through.
+    lets all rows through. Python sees the hashes alone.
     """
     cell = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << ASKED_LOG2))
-    bits = asked.select(cell("__id", "__digest").alias("c")).groupBy(F.expr("c div 64").alias("word"))
+    bits = marks.select(cell("__id", "__digest").alias("c")).groupBy(F.expr("c div 64").alias("word"))
     bits = bits.agg(F.bit_or(F.expr("shiftleft(1L, cast(c % 64 AS int))")).alias("bits")).toArrow()
     bitmap = np.zeros(1 << (ASKED_LOG2 - 6), dtype=np.int64)
     bitmap[bits["word"].to_numpy()] = bits["bits"].to_numpy()
-    shared = keyed.sparkSession.sparkContext.broadcast(bitmap)
+    shared = marks.sparkSession.sparkContext.broadcast(bitmap)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(3).to_numpy()
-            on = shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64) & np.uint64(1)
-            yield batch.select([0, 1, 2]).filter(pa.array(on.astype(bool)))
+    @F.arrow_udf("boolean")
+    def held(cells: pa.Array) -> pa.Array:
+        at = cells.to_numpy(zero_copy_only=False)
+        on = shared.value[at >> 6].view(np.uint64) >> (at & 63).astype(np.uint64) & np.uint64(1)
+        return pa.array(on.astype(bool))
 
-    return keyed.withColumn("__cell", cell("__key", "__d")).mapInArrow(run, keyed.schema)
+    return held(cell(key, digest))
 
 
-def sets_of(asked: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
-    """``(id, s)``: the sets of shingles of the classes whose ``id`` is asked for."""
-    asked = materialize(classes.join(asked, "id").select("id", F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), "near-asked")
+def sets_of(asked: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """``asked`` (written, one row for each ``__id`` and ``__digest``) with ``s``, the set of shingles of its text.
+
+    Rows of one id and text are one before the shuffle, and each text crosses the network once at any size.
+    """
+    rest = [f for f in asked.schema if f.name not in ("__id", "__digest")]
+    names = [f.name for f in rest]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
                 part = batch.slice(low, 256)
-                made = [shingle_set(t.as_py(), shingle) for t in part.column(1)]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.list_(pa.int64()))], names=["id", "s"])
+                made = [shingle_set(t.as_py(), shingle) for t in part.column(len(names))]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], pa.array(made, pa.list_(pa.int64()))], names=[*names, "s"])
+
+    def keys(key: str, digest: str):
+        return [F.coalesce(key, F.lit(0)).alias("__at"), F.col(key).isNull().alias("__none"), F.col(digest).alias("__d")]
 
     keyed = docs.select(F.col(doc_id).cast("long").alias("__key"), _digest(text).alias("__d"), F.col(text).alias("__text"))
-    keyed = _asked_only(keyed, asked)
-    rows = keyed.join(asked, keyed["__key"].eqNullSafe(asked["__id"]) & (F.col("__d") == F.col("__digest"))).select("id", "__text")
-    return rows.mapInArrow(run, "id long, s array<long>").groupBy("id").agg(F.any_value("s").alias("s"))
+    texts = keyed.filter(_asked(asked, "__key", "__d")).groupBy(*keys("__key", "__d")).agg(F.any_value("__text").alias("__text"))
+    rows = texts.join(asked.select(*names, *keys("__id", "__digest")), ["__at", "__none", "__d"]).select(*names, "__text")
+    return rows.mapInArrow(run, StructType([*rest, StructField("s", ArrayType(LongType()))]))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
@@ -224,12 +232,21 @@ def set_links(ids: np.ndarray, side: np.ndarray, starts: np.ndarray, shingles: n
     return ids[moved], ids[labels[moved]]
 
 
-def crowd_links(crowds: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
-    """``(a, b)`` links inside crowds ``(node, component)``: every pair of blocks of a crowd is compared in a task of its own."""
-    rows = materialize(crowds.withColumnRenamed("node", "id").join(sets, "id"), "near-crowds")
+def crowd_links(crowds: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int, jaccard: float) -> DataFrame:
+    """``(a, b)`` links inside crowds ``(node, component)``: every pair of blocks of a crowd is compared in a task of its own.
+
+    Texts are looked up with the places of their rows beside them, so a set goes straight from where it is made to the tasks that compare it.
+    """
+    rows = materialize(crowds.withColumnRenamed("node", "id").join(classes.drop("fingerprint"), "id"), "near-crowds")
     sizes = rows.groupBy("component").agg(F.greatest(
-        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum(F.size("s")) / BLOCK_SHINGLES)).cast("int").alias("cells"))
-    split = rows.join(materialize(sizes, "near-crowd-sizes"), "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
+        F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.ceil(F.sum("n_bytes") / BLOCK_BYTES)).cast("int").alias("cells"))
+    placed = rows.join(materialize(sizes, "near-crowd-sizes"), "component")
+    # A row is in one crowd and one group at most.
+    asked = placed.groupBy("id", F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")).agg(
+        F.collect_list(F.struct("component", "cells")).alias("places"))
+    sets = sets_of(materialize(asked, "near-asked"), docs, doc_id, text, shingle)
+    split = sets.select("id", "s", F.explode("places").alias("place")).select("id", "s", "place.*")
+    split = split.withColumn("own", F.pmod(F.xxhash64("id"), F.col("cells")).cast("int"))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1))).select(
         "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"), "id", "s")
 
@@ -271,22 +288,28 @@ def near_text_groups(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t.as_py(), shingle, words) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(made, pa.binary())], names=["doc_id", "digest", "fingerprint"])
+            made = [fingerprint(t.as_py(), shingle, words) for t in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(made, pa.binary())], names=["doc_id", "digest", "n_bytes", "fingerprint"])
 
-    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _digest(text).alias("digest"), F.col(text).alias("text"))
-    rows = materialize(picked.mapInArrow(run, "doc_id long, digest string, fingerprint binary"), "near-rows")
-    classes = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.any_value("fingerprint").alias("fingerprint"))
+    n_bytes = F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes")
+    picked = docs.select(F.col(doc_id).cast("long").alias("doc_id"), _digest(text).alias("digest"), n_bytes, F.col(text).alias("text"))
+    rows = materialize(picked.mapInArrow(run, "doc_id long, digest string, n_bytes long, fingerprint binary"), "near-rows")
+    classes = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.any_value("fingerprint").alias("fingerprint"))
     # Numbers are fixed once written.
     classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "near-classes")
     found = materialize(candidates(classes, bits, words, blocks, crowd), "near-candidates")
-    asked = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = materialize(sets_of(asked, classes, docs, doc_id, text, shingle), "near-sets")
     groups, chained = groups_of_pairs(found.filter("NOT crowd"))
     # A row may be in a crowd and in a group; groups have the negative numbers.
     groups = groups.select("node", (-1 - F.col("component")).alias("component"))
     crowds = components(found.filter("crowd"), "a", "b").unionByName(groups)
-    parts = components(verified(chained, sets, jaccard).unionByName(crowd_links(crowds, sets, jaccard)), "a", "b")
+    linked = crowd_links(crowds, classes, docs, doc_id, text, shingle, jaccard)
+    chained = materialize(chained, "near-chained")
+    if not chained.isEmpty():
+        ids = chained.select(F.col("a").alias("id")).unionByName(chained.select(F.col("b").alias("id"))).distinct()
+        asked = materialize(classes.join(ids, "id").select("id", F.col("doc_id").alias("__id"), F.col("digest").alias("__digest")), "near-asked")
+        sets = materialize(sets_of(asked, docs, doc_id, text, shingle), "near-sets")
+        linked = linked.unionByName(verified(chained, sets, jaccard))
+    parts = components(linked, "a", "b")
     named = classes.join(parts, classes["id"] == parts["node"], "left").select("digest", F.coalesce("component", "id").alias("component"))
     return rows.select("doc_id", "digest").join(materialize(named, "near-named"), "digest")
 
@@ -303,11 +326,12 @@ def distinct_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     best = members.groupBy("component").agg(F.min(rank).alias("best"))
     marked = members.join(best, "component").select(
         F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "n", (F.col("best") == rank).alias("__stays"))
-    # Only rows that go or come more than once are looked up.
+    # Only rows that go or come more than once are looked up; most others stay where they are at any size.
     marked = materialize(marked.filter("NOT __stays OR n > 1"), "near-marked")
     keyed = docs.withColumns({"__key": F.col(doc_id).cast("long"), "__d": _digest(text)})
     same = F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__d") == F.col("__digest"))
-    once = keyed.join(marked, same, "left_anti").select(*docs.columns)
+    looked = _asked(marked, "__key", "__d")
+    once = keyed.filter(~looked).unionByName(keyed.filter(looked).join(marked, same, "left_anti")).select(*docs.columns)
     plain = [c.name for c in docs.schema if c.dataType.typeName() not in ("map", "variant")]
-    repeated = keyed.join(marked.filter("__stays"), same).groupBy("__id", "__digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("row"))
+    repeated = keyed.filter(looked).join(marked.filter("__stays"), same).groupBy("__id", "__digest").agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*plain)).alias("row"))
     return once.unionByName(repeated.select("row.*"))

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import components, materialize
+from etlkit.llm.common import components, materialize, merge_links
 from etlkit.runtime import require
 
 SEED = 42
@@ -161,20 +161,6 @@ def _blocks(raw: np.ndarray, blocks: int) -> list[np.ndarray]:
     return [bits[:, b * BLOCK : (b + 1) * BLOCK].astype(np.int64) @ weights for b in range(blocks)]
 
 
-def merge_links(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Union the classes of linked positions; a label is the lowest position of its class."""
-    while True:
-        la, lb = labels[a], labels[b]
-        low = np.minimum(la, lb)
-        new = labels.copy()
-        np.minimum.at(new, la, low)
-        np.minimum.at(new, lb, low)
-        new = new[new]
-        if np.array_equal(new, labels):
-            return labels
-        labels = new
-
-
 def link_within(ids: np.ndarray, words: np.ndarray, home: np.ndarray, side: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest over the rows of one anchor: ``(id, lowest linked id)`` for rows not their own lowest.
 

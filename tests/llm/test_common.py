@@ -1,5 +1,8 @@
 import random
 
+import pytest
+
+from etlkit.llm import common
 from etlkit.llm.common import components
 
 
@@ -25,3 +28,23 @@ def test_components_of_chain_star_and_noise(spark):
 
 def test_components_of_nothing(spark):
     assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
+
+
+@pytest.mark.parametrize("held", [40, 1_000_000])
+def test_rounds_begin_with_forests(spark, monkeypatch, held):
+    """A group in which all are linked goes into the rounds as a tree, and no round makes two rows of an edge."""
+    kept, plans, real = {}, [], common.materialize
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        out = real(df, label)
+        kept.setdefault(label, out.count())
+        return out
+
+    monkeypatch.setattr(common, "materialize", noted)
+    monkeypatch.setattr(common, "FOREST_EDGES", held)
+    edges = [(i, j) for i in range(40) for j in range(i)] + [(i, i + 1) for i in range(100, 160)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long").coalesce(1), "a", "b").collect()}
+    assert got == {i: 0 for i in range(40)} | {i: 100 for i in range(100, 161)}
+    assert not [p for p in plans if "Generate" in p]
+    assert kept["edges"] <= 39 + 60 or held == 40

@@ -110,3 +110,42 @@ def test_shingle_sets():
     assert len(N.shingle_set(None, 5)) == 0 == len(N.shingle_set(" \n", 5))
     assert np.array_equal(N.shingle_set("A b", 5), N.shingle_set("a\tB", 5))
     assert len(N.shingle_set("a b c d e f a b c d e", 5)) == 6
+
+
+def test_sets_go_straight_to_the_comparison(spark, monkeypatch):
+    """No set of shingles is written, or sent by its id, on its way to the tasks that compare it."""
+    written, real = [], N.materialize
+    monkeypatch.setattr(N, "materialize", lambda df, label: written.append((label, df.columns)) or real(df, label))
+    rows = [(i, t, "x", 1) for i, t in enumerate(corpus(3, 40))]
+    # The same row many times, and rows without id.
+    rows += [(0, rows[0][1], "x", 1)] * 50 + [(None, rows[1][1], "x", 1)] * 3 + [(None, None, "x", 1), (None, "", "x", 1)]
+    found = groups(spark, rows)
+    labels, _ = brute([r[1] or "" for r in rows[: len(rows) - 55]])
+    assert grouped([{r.doc_id: r.component for r in found}[i] for i in range(len(labels))]) == grouped(labels) and len(found) == len(rows)
+    assert written and not [label for label, columns in written if "s" in columns]
+
+
+def test_long_chains_are_verified_pair_by_pair(spark, monkeypatch):
+    monkeypatch.setattr(N, "BLOCK_ROWS", 3)
+    texts = corpus(6, 30)
+    found = {r.doc_id: r.component for r in groups(spark, [(i, t, "x", 1) for i, t in enumerate(texts)], crowd=1_000)}
+    assert grouped([found[i] for i in range(len(texts))]) == grouped(brute(texts)[0])
+
+
+def test_rows_that_stay_are_not_shuffled(spark):
+    """With nothing small enough to broadcast, only rows that go or come twice are exchanged whole."""
+    rows = [(i, f"text number {i} of its own {i * 7} {i * 13} {i * 17}", "x", 1) for i in range(300)] + [(500, "twice", "x", 1)] * 2 + [(None, "gone", "x", 1), (501, "gone", "x", 1)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    limits = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    for key, value in limits.items():
+        spark.conf.set(key, value)
+    try:
+        out = N.distinct_texts(frame)
+        kept = sorted(r.doc_id for r in out.collect())
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for key in limits:
+            spark.conf.unset(key)
+    assert kept == [*range(300), 500, 501]
+    anti = plan[plan.index("LeftAnti"):].split("Join")[0]
+    assert "held(" in anti
