@@ -1,4 +1,4 @@
-"""Scratch tables and connected components shared by the operators here."""
+"""Scratch tables, batches and connected components shared by the operators here."""
 
 from __future__ import annotations
 
@@ -6,13 +6,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from etlkit.runtime import materialize
 
 # Edges that a task holds for its forest.
 FOREST_EDGES = 1_000_000
+# Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 * 1024 * 1024
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on bytes in an Arrow batch, so that a task's memory outside the heap does not grow with the texts.
+
+    Spark's own is 64 MiB, which a task holds several times (as the buffer grows, beside the batch before, and in the
+    worker). A lower bound stays. It is not put back: Spark reads it when a returned frame is written.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
 
 
 def merge_links(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:

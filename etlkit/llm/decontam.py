@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import materialize
+from etlkit.llm.common import bound_batches, materialize
 from etlkit.runtime import require
 
 TOKEN = re.compile(r"\w+")
@@ -131,6 +131,7 @@ def contaminated(
     # A substitution takes away at most three of a window's runs of three.
     least = min(n - len(GRAM) + 1 - len(GRAM) * (n - needed(n, window, share)) for n in lengths)
     require(docs, doc_id, text)
+    bound_batches(docs.sparkSession)
     require(benchmark, item_id, item_text)
     kinds = docs.schema[doc_id].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from etlkit.llm.common import components, materialize
+from etlkit.llm.common import bound_batches, components, materialize
 from etlkit.llm.simhash import CELL_ROWS, GROUP_ROWS, RADIUS, _blocks, anchors_of, fingerprint, merge_links
 from etlkit.runtime import require
 
@@ -285,6 +285,7 @@ def near_text_groups(
     different texts are different rows; extra columns play no part; an empty table gives no rows.
     """
     require(docs, doc_id, text)
+    bound_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

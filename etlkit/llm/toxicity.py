@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from etlkit.llm.common import materialize
+from etlkit.llm.common import bound_batches, materialize
 from etlkit.llm.nbsvm import training_rows
 from etlkit.runtime import require
 
@@ -220,6 +220,7 @@ def scored(docs: DataFrame, chain: Chain, doc_id: str = "doc_id", text: str = "t
     one is replaced. Rows, whatever their ids, are neither dropped nor merged.
     """
     require(docs, text)
+    bound_batches(docs.sparkSession)
     names = [f"p_{link.category}" for link in chain.links]
     shared = docs.sparkSession.sparkContext.broadcast(chain)  # at most 256 words a category
 

@@ -1,8 +1,10 @@
+import contextlib
 import random
 
+import pyarrow as pa
 import pytest
 
-from etlkit.llm import common
+from etlkit.llm import common, decontam, near_texts, toxicity
 from etlkit.llm.common import components
 
 
@@ -48,3 +50,37 @@ def test_rounds_begin_with_forests(spark, monkeypatch, held):
     assert got == {i: 0 for i in range(40)} | {i: 100 for i in range(100, 161)}
     assert not [p for p in plans if "Generate" in p]
     assert kept["edges"] <= 39 + 60 or held == 40
+
+
+@pytest.mark.parametrize("call", [
+    lambda d: toxicity.scored(d, toxicity.Chain((toxicity.Link("toxic", {}, (), 0.0),))),
+    near_texts.near_text_groups,
+    lambda d: decontam.contaminated(d, d.selectExpr("doc_id AS item_id", "text")),
+])
+def test_texts_go_to_python_in_bounded_batches(spark, call, monkeypatch):
+    class Planned(Exception):
+        pass
+
+    def planned(*_):
+        raise Planned
+
+    for module in (near_texts, decontam):
+        monkeypatch.setattr(module, "materialize", planned)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = spark.range(64).selectExpr("id AS doc_id", "repeat(id || ' word ', 30000) AS text").coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes]), pa.array([batch.num_rows])], names=["n_bytes", "n"])
+
+    spark.conf.unset(name)
+    try:
+        with contextlib.suppress(Planned):
+            call(docs)
+        seen = docs.mapInArrow(sizes, "n_bytes long, n long").collect()
+        assert sum(r.n for r in seen) == 64 and max(r.n_bytes for r in seen) < common.BATCH_BYTES + 300_000
+        spark.conf.set(name, "1m")
+        common.bound_batches(spark)
+        assert spark.conf.get(name) == "1m"
+    finally:
+        spark.conf.unset(name)
