@@ -70,7 +70,7 @@ def _stream(t):
 
 
 def _written(t, sdf, label, mode="append", keys=(), flush=None):
-    return run_to_table(sdf, label, mode, keys, flush)
+    return run_to_table(sdf, label, mode, keys, flush, one_batch=t.stream_files is None)
 
 
 def _shape(df, digits):

@@ -1,5 +1,7 @@
 """Rows with NULLs, repeated keys, numbers as list values, stale partitions and many micro-batches."""
 
+from pathlib import Path
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from etlkit.operators import relational as R
 from etlkit.operators import windows as W
 from etlkit.plans import curated
 from etlkit.plans.catalogue import ORACLES, Tables, streams
-from etlkit.runtime import clear_scratch, shared_dir
+from etlkit.runtime import _SCRATCH, clear_scratch, shared_dir
 from etlkit.sinks import files as S
 from etlkit.streaming import events as E
 from etlkit.streaming import inputs as I
@@ -146,3 +148,17 @@ def test_late_rows_are_an_error(spark, many_files):
     sdf = E.tumbling_stats(I.with_event_time(raw, "ts", "1 minute"), "ts", "event_type", "value")
     with pytest.raises(RuntimeError, match="later than the watermark"):
         sinks.run_to_table(sdf, "late", "update", ["window_start", "window_end", "event_type"])
+
+
+@pytest.mark.parametrize("files", [None, 1])
+def test_one_batch_of_input_takes_its_flush_along(spark, many_files, files):
+    """Two batches, one for the rows and one that closes the state; with a limit of files the flush still comes last."""
+    t = Tables(spark, f"{many_files}/ordered")
+    t.stream_files = files and 4
+    raw, flush = I.flushed_source(streams._raw(t), "ts", shared_dir(spark, "flush"))
+    sdf = E.session_stats(I.with_event_time(raw, "ts", streams._delay(t)), "ts", "user_id", "value", "30 minutes")
+    got = streams._written(t, sdf, "flushed", flush=flush)
+    assert got.agg(F.sum("transaction_count")).first()[0] == t.events.count()
+    base = next(f for f in reversed(_SCRATCH["folders"]) if "stream-flushed-" in f).removeprefix("file:")
+    batches = [p for p in (Path(base) / "checkpoint" / "commits").iterdir() if p.name.isdigit()]
+    assert len(batches) == 2 if files is None else len(batches) > 2
